@@ -56,7 +56,11 @@ def top_entities(
 def top_series(
     trend: DataFrame, k: int = 5, by: str = "pick_rate_volatility", entity: str = "entity_id"
 ) -> DataFrame:
-    """Trend rows of the k top entities."""
+    """Trend rows of the k top entities.
+
+    The trend is read twice, for the ranking and for the rows: pass a written one when
+    computing it is expensive.
+    """
     leaders = top_entities(rate_volatility(trend, entity), k, by, entity)
     return keep_members(trend, leaders, entity, size_bound=k)
 

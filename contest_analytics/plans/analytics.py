@@ -37,7 +37,7 @@ def run(spark: SparkSession, folder: str, output: str, fmt: str = "csv", mode: s
     """Load a folder of match files and write every report; returns their record counts."""
     named = reports(load_match_files(spark, folder))
     counts = sinks.save_results(named, output, fmt, mode)
-    # The ranking reads the written trends, so the big join behind them runs once.
+    # The rankings read the written trends, so the big join behind them runs once.
     trend = (
         spark.read.schema(named["entity"]["trends"].schema)
         .format(fmt)

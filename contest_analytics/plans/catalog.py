@@ -15,7 +15,7 @@ from contest_analytics.operators import features, keyed, learning, metrics, tren
 from contest_analytics.operators.enrich import enrich
 from contest_analytics.operators.keyed import KEY, ObjectiveKinds
 from contest_analytics.plans import analytics, models
-from contest_analytics.session import scratch_path
+from contest_analytics.session import cut_lineage, scratch_path
 from contest_analytics.sources import sinks, standins, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -270,6 +270,17 @@ def rate_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.entity_trends(standins.load(spark, sf_dir))
 
 
+def rate_trend_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only draft rows with a match, and only known periods."""
+    rows = _enriched_since_1996(spark, sf_dir, "inner")
+    return trends.rate_trend(rows, drop_null_period=True)
+
+
+def rate_trend_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Draft rows without a match form a group of their own."""
+    return trends.rate_trend(_enriched_since_1996(spark, sf_dir, "left"))
+
+
 def _rounded_volatility(df: DataFrame) -> DataFrame:
     names = ("avg_pick_rate", "pick_rate_volatility", "avg_ban_rate")
     return df.withColumns({c: F.round(c, 6) for c in names})
@@ -289,13 +300,26 @@ def top_by_pick_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topk_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trends.top_series(rate_trend(spark, sf_dir)).select("yr", "entity_id", "pick_rate", "ban_rate")
+    trend = cut_lineage(rate_trend(spark, sf_dir))
+    return trends.top_series(trend).select("yr", "entity_id", "pick_rate", "ban_rate")
 
 
 def phase_win_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winrates.phase_win_rate(standins.selections(spark, sf_dir), standins.matches(spark, sf_dir))
 
 
+def phase_win_rate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of any size; matches of unknown length left out."""
+    return winrates.phase_win_rate(
+        standins.selections(spark, sf_dir), _some_unknown_durations(spark, sf_dir), min_count=0, null_bucket="drop"
+    )
+
+
+def _some_unknown_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = F.when(F.col(KEY) % 11 != 0, F.col("duration"))
+    return standins.matches(spark, sf_dir).withColumn("duration", known)
+
+
 def period_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = trends.period_stats(standins.matches(spark, sf_dir))
     return stats.withColumn("std_dev", F.round("std_dev", 4))
@@ -310,6 +334,14 @@ def bucket_win_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winrates.bucket_win_rate(standins.matches(spark, sf_dir))
 
 
+def bucket_win_rate_nulls_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winrates.bucket_win_rate(_some_unknown_durations(spark, sf_dir))
+
+
+def bucket_win_rate_nulls_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winrates.bucket_win_rate(_some_unknown_durations(spark, sf_dir), "drop")
+
+
 def bucket_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bucket_win_rate(spark, sf_dir).orderBy("bucket_no").select("bucket_no", "bucket", "win_rate")
 
@@ -325,6 +357,13 @@ def moments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finished.withColumns({"mean": F.round("mean", 4), "std_pop": F.round("std_pop", 4)})
 
 
+def moments_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly moments added up from monthly ones."""
+    parts = trends.moments(standins.matches(spark, sf_dir), ["yr", "mo"], "duration")
+    finished = trends.finish_moments(trends.merge_moments(parts, ["yr"]))
+    return finished.withColumns({"mean": F.round("mean", 4), "std_pop": F.round("std_pop", 4)})
+
+
 # --- per-match statistics -----------------------------------------------------------------
 
 
@@ -521,8 +560,9 @@ def queries() -> dict[str, Query]:
         pattern_flags, fill_defaults, guarded_ratio, score_derived,
         enrich_left, enrich_inner, feature_table_outcome, feature_table_duration, feature_table_compact,
         feature_table_duration_compact, topk_series,
-        rate_trend, rate_volatility, top_volatile, top_by_pick_rate, phase_win_rate, period_stats,
-        period_stats_yearly, bucket_win_rate, bucket_ordered, bucket_share, moments,
+        rate_trend, rate_trend_matched, rate_trend_unmatched, rate_volatility, top_volatile, top_by_pick_rate, phase_win_rate, phase_win_rate_all, period_stats,
+        period_stats_yearly, bucket_win_rate, bucket_win_rate_nulls_last, bucket_win_rate_nulls_dropped,
+        bucket_ordered, bucket_share, moments, moments_merged,
         objective_counts_early, objective_counts_all, advantage_stats_window, advantage_stats_xp,
         advantage_swing, side_pick_counts, unique_entities, participant_totals, participant_averages,
         draft_stats, clash_stats_early, clash_stats_all, dedupe_by_key,

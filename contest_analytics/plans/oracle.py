@@ -75,6 +75,9 @@ BUCKETS = f"""
            CAST(sum(CASE WHEN side_a_win THEN 1 ELSE 0 END) AS BIGINT) AS side_a_wins
     FROM matches GROUP BY 1, 2"""
 
+RECENT = "SELECT * FROM matches WHERE yr >= 1996"
+SOME_UNKNOWN = "SELECT * REPLACE (CASE WHEN match_id % 11 <> 0 THEN duration END AS duration) FROM matches"
+
 # Dirty text derived from the match keys, for the cleaning steps.
 DIRTY = """
     SELECT match_id,
@@ -254,6 +257,11 @@ def statements() -> dict[str, str]:
                max(duration) AS longest, round(stddev_samp(duration), 4) AS std_dev,
                round(avg(duration) / 60, 2) AS avg_duration_min
         FROM matches GROUP BY yr, mo"""
+    moments = """
+        SELECT yr, mo, count(duration) AS n, CAST(sum(duration) AS BIGINT) AS total,
+               sum(CAST(duration AS DOUBLE) * duration) AS total_sq, min(duration) AS lowest,
+               max(duration) AS highest, round(avg(duration), 4) AS mean, round(stddev_pop(duration), 4) AS std_pop
+        FROM matches GROUP BY yr, mo"""
     outcome_sum = " + ".join(
         [
             "first_claim_count", "early_towers", "early_couriers", "early_objectives",
@@ -412,6 +420,12 @@ def statements() -> dict[str, str]:
             **trend_steps,
         ),
         "rate_trend": _with("selections matches", TREND),
+        "rate_trend_matched": _with(
+            "selections matches", TREND.replace("LEFT JOIN matches", "JOIN recent").strip(), recent=RECENT
+        ),
+        "rate_trend_unmatched": _with(
+            "selections matches", TREND.replace("LEFT JOIN matches", "LEFT JOIN recent").strip(), recent=RECENT
+        ),
         "rate_volatility": _with(
             "selections matches",
             """SELECT entity_id, round(avg_pick_rate, 6) AS avg_pick_rate,
@@ -442,11 +456,33 @@ def statements() -> dict[str, str]:
                       FROM selections JOIN matches USING (match_id) WHERE is_pick = 1)
                 GROUP BY entity_id, phase HAVING count(*) >= 50""",
         ),
+        "phase_win_rate_all": _with(
+            "selections matches",
+            f"""SELECT entity_id, phase, count(*) AS games, CAST(sum(win) AS BIGINT) AS wins,
+                       round(CAST(sum(win) AS DOUBLE) / count(*) * 100, 2) AS win_rate
+                FROM (SELECT entity_id, {PHASE} AS phase, {SIDE_WIN} AS win
+                      FROM selections JOIN some_unknown USING (match_id)
+                      WHERE is_pick = 1 AND duration IS NOT NULL)
+                GROUP BY entity_id, phase""",
+            some_unknown=SOME_UNKNOWN,
+        ),
         "period_stats": _with("matches", period),
         "period_stats_yearly": _with(
             "matches", period.replace("yr, mo,", "yr,").replace("GROUP BY yr, mo", "GROUP BY yr")
         ),
         "bucket_win_rate": _with("matches", f"SELECT *, {bucket_rate} FROM buckets", buckets=BUCKETS),
+        "bucket_win_rate_nulls_last": _with(
+            "matches",
+            f"SELECT *, {bucket_rate} FROM buckets",
+            some_unknown=SOME_UNKNOWN,
+            buckets=BUCKETS.replace("FROM matches", "FROM some_unknown"),
+        ),
+        "bucket_win_rate_nulls_dropped": _with(
+            "matches",
+            f"SELECT *, {bucket_rate} FROM buckets",
+            some_unknown=SOME_UNKNOWN,
+            buckets=BUCKETS.replace("FROM matches", "FROM some_unknown WHERE duration IS NOT NULL"),
+        ),
         "bucket_ordered": _with(
             "matches", f"SELECT bucket_no, bucket, {bucket_rate} FROM buckets ORDER BY bucket_no", buckets=BUCKETS
         ),
@@ -474,13 +510,9 @@ def statements() -> dict[str, str]:
             """SELECT match_id, max(CAST(side_a_win AS INTEGER)) AS side_a_win
                FROM selections JOIN matches USING (match_id) GROUP BY match_id""",
         ),
-        "moments": _with(
-            "matches",
-            """SELECT yr, mo, count(duration) AS n, CAST(sum(duration) AS BIGINT) AS total,
-                      sum(CAST(duration AS DOUBLE) * duration) AS total_sq, min(duration) AS lowest,
-                      max(duration) AS highest, round(avg(duration), 4) AS mean,
-                      round(stddev_pop(duration), 4) AS std_pop
-               FROM matches GROUP BY yr, mo""",
+        "moments": _with("matches", moments),
+        "moments_merged": _with(
+            "matches", moments.replace("yr, mo,", "yr,").replace("GROUP BY yr, mo", "GROUP BY yr")
         ),
         "assemble_features": _with(
             _ALL,

@@ -50,6 +50,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder, so lost executors do not redo the input plan."""
-    scratch_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write the rows to the shared folder and continue from there.
+
+    Lost executors then re-read files instead of redoing the input plan, and later readers
+    fetch only the columns they need.
+    """
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -59,18 +59,3 @@ def write_single_file(
         kept.repartition(1).write.mode(mode).format(fmt).save(path)
     finally:
         kept.unpersist()
-
-
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str = "errorifexists") -> None:
-    """Store a table bucketed and sorted by its key.
-
-    Aggregates and joins on the key then need no shuffle, which pays off when the same
-    tables feed several feature tables.
-    """
-    (
-        df.repartition(buckets, key)
-        .write.mode(mode)
-        .bucketBy(buckets, key)
-        .sortBy(key)
-        .saveAsTable(table)
-    )
