@@ -38,12 +38,7 @@ def run(spark: SparkSession, folder: str, output: str, fmt: str = "csv", mode: s
     named = reports(load_match_files(spark, folder))
     counts = sinks.save_results(named, output, fmt, mode)
     # The rankings read the written trends, so the big join behind them runs once.
-    trend = (
-        spark.read.schema(named["entity"]["trends"].schema)
-        .format(fmt)
-        .option("header", True)
-        .load(f"{output}/entity_trends")
-    )
+    trend = sinks.read_result(spark, f"{output}/entity_trends", named["entity"]["trends"].schema, fmt)
     ranking = {
         "top_volatile": trends.top_entities(trends.rate_volatility(trend)),
         "top_series": trends.top_series(trend),

@@ -354,14 +354,14 @@ def bucket_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 def moments(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = trends.moments(standins.matches(spark, sf_dir), ["yr", "mo"], "duration")
     finished = trends.finish_moments(parts)
-    return finished.withColumns({"mean": F.round("mean", 4), "std_pop": F.round("std_pop", 4)})
+    return finished.withColumn("std_pop", F.round("std_pop", 4))
 
 
 def moments_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Yearly moments added up from monthly ones."""
     parts = trends.moments(standins.matches(spark, sf_dir), ["yr", "mo"], "duration")
     finished = trends.finish_moments(trends.merge_moments(parts, ["yr"]))
-    return finished.withColumns({"mean": F.round("mean", 4), "std_pop": F.round("std_pop", 4)})
+    return finished.withColumn("std_pop", F.round("std_pop", 4))
 
 
 # --- per-match statistics -----------------------------------------------------------------
@@ -418,10 +418,10 @@ def clash_stats_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedupe_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = enrich(
-        standins.selections(spark, sf_dir).select(KEY), standins.matches(spark, sf_dir), KEY, ["side_a_win"], "inner"
-    )
-    return keyed.dedupe_labels(rows.withColumn("side_a_win", F.col("side_a_win").cast("int")), "side_a_win")
+    """Labels that repeat, and contradict each other, within a match."""
+    label = F.when(F.col("side") == 0, 1).otherwise(0)
+    rows = standins.selections(spark, sf_dir).select(KEY, label.alias("side_a_win"))
+    return keyed.dedupe_labels(rows, "side_a_win")
 
 
 # --- learning -------------------------------------------------------------------------------
@@ -540,7 +540,7 @@ def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = _scored(spark, sf_dir)
+    scored = cut_lineage(_scored(spark, sf_dir))
     scores = {"claims": "claim_score", "gold": "score", "kills": "kill_score"}
     rows = [
         metrics.auc(scored, column, "side_a_win").select(F.lit(model).alias("model"), "auc")

@@ -49,6 +49,13 @@ VIEWS = {
         FROM lineitem WHERE l_linestatus = 'F'""",
 }
 
+
+
+def _half_up(value: str) -> str:
+    """Two decimals of a double as it prints, halves away from zero, as Spark rounds."""
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 20)), 2) AS DOUBLE)"
+
+
 PHASE = """CASE WHEN duration < 1800 THEN 'Early (<30min)' WHEN duration < 2700 THEN 'Mid (30-45min)'
            ELSE 'Late (>45min)' END"""
 BUCKET = """CASE WHEN duration < 1200 THEN '0-20min' WHEN duration < 1800 THEN '20-30min'
@@ -57,13 +64,13 @@ BUCKET_NO = """CASE WHEN duration < 1200 THEN 1 WHEN duration < 1800 THEN 2
                WHEN duration < 2400 THEN 3 WHEN duration < 3000 THEN 4 ELSE 5 END"""
 SIDE_WIN = "CASE WHEN (side = 0 AND side_a_win) OR (side = 1 AND NOT side_a_win) THEN 1 ELSE 0 END"
 
-TREND = """
+TREND = f"""
     SELECT yr, entity_id,
            CAST(sum(is_pick) AS BIGINT) AS picks,
            CAST(sum(1 - is_pick) AS BIGINT) AS bans,
            count(*) AS total_appearances,
-           round(CAST(sum(is_pick) AS DOUBLE) / count(*) * 100, 2) AS pick_rate,
-           round(CAST(sum(1 - is_pick) AS DOUBLE) / count(*) * 100, 2) AS ban_rate
+           {_half_up("CAST(sum(is_pick) AS DOUBLE) / count(*) * 100")} AS pick_rate,
+           {_half_up("CAST(sum(1 - is_pick) AS DOUBLE) / count(*) * 100")} AS ban_rate
     FROM selections LEFT JOIN matches USING (match_id)
     GROUP BY yr, entity_id"""
 VOLATILITY = """
@@ -251,16 +258,16 @@ def _auc_sql(score: str) -> str:
 
 def statements() -> dict[str, str]:
     trend_steps = {"trend": TREND, "volatility": VOLATILITY}
-    bucket_rate = "round(CAST(side_a_wins AS DOUBLE) / total_matches * 100, 2) AS win_rate"
-    period = """
+    bucket_rate = f"{_half_up('CAST(side_a_wins AS DOUBLE) / total_matches * 100')} AS win_rate"
+    period = f"""
         SELECT yr, mo, avg(duration) AS avg_duration_sec, count(*) AS total_matches, min(duration) AS shortest,
                max(duration) AS longest, round(stddev_samp(duration), 4) AS std_dev,
-               round(avg(duration) / 60, 2) AS avg_duration_min
+               {_half_up("avg(duration) / 60")} AS avg_duration_min
         FROM matches GROUP BY yr, mo"""
     moments = """
         SELECT yr, mo, count(duration) AS n, CAST(sum(duration) AS BIGINT) AS total,
                sum(CAST(duration AS DOUBLE) * duration) AS total_sq, min(duration) AS lowest,
-               max(duration) AS highest, round(avg(duration), 4) AS mean, round(stddev_pop(duration), 4) AS std_pop
+               max(duration) AS highest, avg(duration) AS mean, round(stddev_pop(duration), 4) AS std_pop
         FROM matches GROUP BY yr, mo"""
     outcome_sum = " + ".join(
         [
@@ -365,11 +372,12 @@ def statements() -> dict[str, str]:
         ),
         "percent_rate": _with(
             "selections",
-            """SELECT match_id,
-                      CASE WHEN count(CASE WHEN is_pick = 1 THEN 1 END) > 0
-                           THEN round(CAST(count(CASE WHEN is_pick = 1 AND side = 0 THEN 1 END) AS DOUBLE)
-                                      / count(CASE WHEN is_pick = 1 THEN 1 END) * 100, 2) ELSE 0.0 END AS side_a_share
-               FROM selections GROUP BY match_id""",
+            f"""SELECT match_id,
+                       CASE WHEN picks > 0 THEN {_half_up("CAST(picks_a AS DOUBLE) / picks * 100")} ELSE 0.0 END
+                           AS side_a_share
+                FROM (SELECT match_id, sum(is_pick) AS picks,
+                             sum(CASE WHEN side = 0 THEN is_pick ELSE 0 END) AS picks_a
+                      FROM selections GROUP BY match_id)""",
         ),
         "pattern_flags": _with(
             "objectives",
@@ -451,7 +459,7 @@ def statements() -> dict[str, str]:
         "phase_win_rate": _with(
             "selections matches",
             f"""SELECT entity_id, phase, count(*) AS games, CAST(sum(win) AS BIGINT) AS wins,
-                       round(CAST(sum(win) AS DOUBLE) / count(*) * 100, 2) AS win_rate
+                       {_half_up("CAST(sum(win) AS DOUBLE) / count(*) * 100")} AS win_rate
                 FROM (SELECT entity_id, {PHASE} AS phase, {SIDE_WIN} AS win
                       FROM selections JOIN matches USING (match_id) WHERE is_pick = 1)
                 GROUP BY entity_id, phase HAVING count(*) >= 50""",
@@ -459,7 +467,7 @@ def statements() -> dict[str, str]:
         "phase_win_rate_all": _with(
             "selections matches",
             f"""SELECT entity_id, phase, count(*) AS games, CAST(sum(win) AS BIGINT) AS wins,
-                       round(CAST(sum(win) AS DOUBLE) / count(*) * 100, 2) AS win_rate
+                       {_half_up("CAST(sum(win) AS DOUBLE) / count(*) * 100")} AS win_rate
                 FROM (SELECT entity_id, {PHASE} AS phase, {SIDE_WIN} AS win
                       FROM selections JOIN some_unknown USING (match_id)
                       WHERE is_pick = 1 AND duration IS NOT NULL)
@@ -488,8 +496,8 @@ def statements() -> dict[str, str]:
         ),
         "bucket_share": _with(
             "matches",
-            """SELECT bucket, total_matches,
-                      round(CAST(total_matches AS DOUBLE) / (SELECT sum(total_matches) FROM buckets) * 100, 2) AS share
+            f"""SELECT bucket, total_matches,
+                      {_half_up("CAST(total_matches AS DOUBLE) / (SELECT sum(total_matches) FROM buckets) * 100")} AS share
                FROM buckets""",
             buckets=BUCKETS,
         ),
@@ -506,9 +514,9 @@ def statements() -> dict[str, str]:
         "clash_stats_early": _with("clashes", CLASH_EARLY),
         "clash_stats_all": _with("clashes", CLASH_ALL),
         "dedupe_by_key": _with(
-            "matches selections",
-            """SELECT match_id, max(CAST(side_a_win AS INTEGER)) AS side_a_win
-               FROM selections JOIN matches USING (match_id) GROUP BY match_id""",
+            "selections",
+            """SELECT match_id, max(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS side_a_win
+               FROM selections GROUP BY match_id""",
         ),
         "moments": _with("matches", moments),
         "moments_merged": _with(
