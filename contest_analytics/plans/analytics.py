@@ -9,6 +9,12 @@ from contest_analytics.operators.enrich import enrich
 from contest_analytics.sources import sinks
 from contest_analytics.sources.layouts import ContestTables, load_match_files
 
+# The tables and columns the reports read; a folder need not hold more.
+NEEDED = {
+    "matches": ("match_id", "duration", "side_a_win"),
+    "selections": ("match_id", "entity_id", "side", "is_pick"),
+}
+
 
 def enriched_selections(tables: ContestTables, how: str = "left") -> DataFrame:
     """Draft rows with the period and outcome of their match."""
@@ -35,7 +41,7 @@ def reports(tables: ContestTables, min_count: int = 50) -> dict[str, dict[str, D
 
 def run(spark: SparkSession, folder: str, output: str, fmt: str = "csv", mode: str = "errorifexists") -> dict[str, int]:
     """Load a folder of match files and write every report; returns their record counts."""
-    named = reports(load_match_files(spark, folder))
+    named = reports(load_match_files(spark, folder, tuple(NEEDED), only=NEEDED))
     counts = sinks.save_results(named, output, fmt, mode)
     # The rankings read the written trends, so the big join behind them runs once.
     trend = sinks.read_result(spark, f"{output}/entity_trends", named["entity"]["trends"].schema, fmt)

@@ -500,6 +500,18 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked
 
 
+def score_test_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every match of the test part, and only those, gets a prediction."""
+    table = cut_lineage(_duration(spark, sf_dir))
+    data = learning.prepare(table, features.DURATION_FEATURES, features.DURATION_LABEL, KEY)
+    try:
+        model = learning.fit(data, learning.REGRESSORS["linear_regression"]())
+    finally:
+        data.release()
+    known = F.col("prediction").isNotNull() & ~F.isnan("prediction")
+    return learning.score(data, model).select(KEY, features.DURATION_LABEL, known.alias("is_scored"))
+
+
 # --- metrics ----------------------------------------------------------------------------------
 
 
@@ -568,7 +580,7 @@ def queries() -> dict[str, Query]:
         draft_stats, clash_stats_early, clash_stats_all, dedupe_by_key,
         assemble_features, standardize, hash_split,
         auc_metric, accuracy_metric, regression_metrics, model_leaderboard,
-        train_light_profile, feature_importance,
+        train_light_profile, feature_importance, score_test_part,
     ]
     catalog = {query.__name__: query for query in named}
     catalog |= {

@@ -538,6 +538,9 @@ def statements() -> dict[str, str]:
                               FROM matches WHERE {SPLIT})""",
         ),
         "hash_split": _with("matches", f"SELECT match_id, CASE WHEN {SPLIT} THEN 'train' ELSE 'test' END AS part FROM matches"),
+        "score_test_part": _with(
+            "matches", f"SELECT match_id, duration, TRUE AS is_scored FROM base WHERE NOT ({SPLIT})", base=DURATION_BASE
+        ),
         "auc_metric": _with(
             "matches participants",
             f"SELECT round(auc, 8) AS auc FROM ({_auc_sql('score')})",

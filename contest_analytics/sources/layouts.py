@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contest_analytics.functions import cleaning
@@ -13,7 +14,7 @@ from contest_analytics.sources.tables import scan_csv_strings
 
 @dataclass(frozen=True)
 class ContestTables:
-    """One frame per input table, with canonical column names.
+    """One frame per input table, with canonical column names; None for tables not loaded.
 
     ``matches``        match_id, yr, mo, duration, side_a_win, score_a, score_b, league_id, first_claim_time
     ``selections``     match_id, entity_id, side (0/1), is_pick (0/1)
@@ -26,17 +27,19 @@ class ContestTables:
     ``draft_turns``    match_id, time_taken
     """
 
-    matches: DataFrame
-    selections: DataFrame
-    participants: DataFrame
-    objectives: DataFrame
-    gold_advantage: DataFrame
-    xp_advantage: DataFrame
-    clashes: DataFrame
-    draft_turns: DataFrame
+    matches: DataFrame | None = None
+    selections: DataFrame | None = None
+    participants: DataFrame | None = None
+    objectives: DataFrame | None = None
+    gold_advantage: DataFrame | None = None
+    xp_advantage: DataFrame | None = None
+    clashes: DataFrame | None = None
+    draft_turns: DataFrame | None = None
 
     def named(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        """The loaded tables."""
+        found = {f.name: getattr(self, f.name) for f in fields(self)}
+        return {name: df for name, df in found.items() if df is not None}
 
 
 # File names, and per canonical column the column of the file and its type.
@@ -119,15 +122,29 @@ MATCH_FILES = {
 }
 
 
-def load_match_files(spark: SparkSession, folder: str, reject_null_keys: bool = False) -> ContestTables:
-    """All canonical tables from one folder of CSV files."""
+def load_match_files(
+    spark: SparkSession,
+    folder: str,
+    names: Sequence[str] = tuple(MATCH_FILES),
+    reject_null_keys: bool = False,
+    only: Mapping[str, Sequence[str]] | None = None,
+) -> ContestTables:
+    """The named canonical tables from one folder of CSV files.
+
+    ``only`` restricts a table to some of its columns, for files that lack the others.
+    """
+    chosen = only or {}
     return ContestTables(
-        **{name: load_match_file(spark, folder, name, reject_null_keys) for name in MATCH_FILES}
+        **{n: load_match_file(spark, folder, n, reject_null_keys, chosen.get(n)) for n in names}
     )
 
 
 def load_match_file(
-    spark: SparkSession, folder: str, name: str, reject_null_keys: bool = False
+    spark: SparkSession,
+    folder: str,
+    name: str,
+    reject_null_keys: bool = False,
+    only: Sequence[str] | None = None,
 ) -> DataFrame:
     """One canonical table from its CSV file, typed leniently in the same projection.
 
@@ -139,14 +156,15 @@ def load_match_file(
     if name == "matches":
         raw = cleaning.time_parts(raw)
         extra = ["yr", "mo"]
-    typed = raw.select(*[_typed(source, kind).alias(c) for c, (source, kind) in columns.items()], *extra)
+    wanted = columns if only is None else {c: columns[c] for c in only}
+    typed = raw.select(*[_typed(source, kind).alias(c) for c, (source, kind) in wanted.items()], *extra)
     if reject_null_keys:
         keys = [c for c in ("match_id", "entity_id") if c in typed.columns]
         typed = cleaning.drop_null_keys(typed, keys)
     return typed
 
 
-def _typed(source: str, kind: str):
+def _typed(source: str, kind: str) -> Column:
     if kind == "flag":
         return cleaning.bool_normalize(source)
     if kind == "flag01":

@@ -5,6 +5,7 @@ import pytest
 from conftest import SMALL, as_dicts
 from pyspark.sql import functions as F
 
+from contest_analytics import __main__ as cli
 from contest_analytics.operators import learning
 from contest_analytics.plans import analytics, catalog, models
 from contest_analytics.session import cut_lineage, scratch_dir
@@ -93,6 +94,17 @@ def test_reports_from_a_folder(spark, folder, tmp_path):
     assert analytics.run(spark, folder, out, mode="overwrite") == counts
 
 
+def test_reports_need_two_files_only(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines = FILES["main_metadata.csv"].splitlines()
+    narrow = [",".join(line.split(",")[1:4]) for line in lines]
+    (tmp_path / "in" / "main_metadata.csv").write_text("\n".join(narrow))
+    (tmp_path / "in" / "picks_bans.csv").write_text(FILES["picks_bans.csv"])
+    cli.main(["reports", f"{tmp_path}/in", f"{tmp_path}/out", "--overwrite"])
+    periods = spark.read.csv(f"{tmp_path}/out/duration_trends", header=True, inferSchema=True).collect()
+    assert [(r.yr, r.mo, r.total_matches) for r in periods] == [(None, None, 4)]
+
+
 @pytest.fixture(scope="module")
 def larger_folder(spark, tmp_path_factory):
     """The test tables written in the file layout, one CSV folder per file name."""
