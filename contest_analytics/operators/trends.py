@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contest_analytics.functions import expressions as E
@@ -21,12 +21,20 @@ def rate_trend(
     """Picks, bans and their rates for every (period, entity)."""
     if drop_null_period:
         df = df.dropna(subset=[period])
+    return with_rates(df.groupBy(period, entity).agg(*rate_counts(flag)))
+
+
+def rate_counts(flag: str = "is_pick") -> list[Column]:
+    """Aggregates behind the rates; they can be added up over further keys."""
     banned = E.complement(F.col(flag))
-    counts = df.groupBy(period, entity).agg(
+    return [
         F.sum(F.when(F.col(flag) == 1, 1).otherwise(0)).alias("picks"),
         F.sum(F.when(banned == 1, 1).otherwise(0)).alias("bans"),
         F.count(F.lit(1)).alias("total_appearances"),
-    )
+    ]
+
+
+def with_rates(counts: DataFrame) -> DataFrame:
     whole = F.col("total_appearances")
     return counts.withColumns(
         {

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from contest_analytics.functions import expressions as E
 from contest_analytics.operators.enrich import enrich
+from contest_analytics.operators.trends import rate_counts, with_rates
 
 
 def win_rate(
@@ -16,6 +17,12 @@ def win_rate(
 ) -> DataFrame:
     """Games, wins and win rate per group; groups below ``min_count`` games are left out."""
     stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(games), F.sum(win).alias(wins))
+    return with_win_rate(stats, games, wins, min_count)
+
+
+def with_win_rate(
+    stats: DataFrame, games: str = "games", wins: str = "wins", min_count: int = 0
+) -> DataFrame:
     if min_count > 0:
         stats = stats.where(F.col(games) >= min_count)
     return stats.withColumn("win_rate", E.percent_rate(F.col(wins), F.col(games)))
@@ -41,6 +48,40 @@ def phase_win_rate(
     )
 
 
+def draft_cube(selections: DataFrame, matches: DataFrame, null_bucket: str = "last") -> DataFrame:
+    """Draft and win counts per (yr, entity_id, phase) from one join.
+
+    The rate trend and the phase win rates are sums over it, so a run that needs both
+    shuffles the selections once. Draft rows without a match have neither year nor phase.
+    """
+    parents = matches.select("match_id", "yr", "duration", "side_a_win", F.lit(True).alias("matched"))
+    rows = enrich(selections, parents, "match_id", parents.columns[1:])
+    phase = E.bucketize(F.col("duration"), E.PHASE_EDGES, E.PHASE_LABELS, null_bucket)
+    played = F.col("matched") & (F.col("is_pick") == 1)
+    won = F.when(played, E.side_win(F.col("side"), F.col("side_a_win"))).otherwise(0)
+    return (
+        rows.withColumn("phase", F.when(F.col("matched"), phase))
+        .groupBy("yr", "entity_id", "phase")
+        .agg(*rate_counts(), E.count_where(played).alias("games"), F.sum(won).alias("wins"))
+    )
+
+
+def trend_of_cube(cube: DataFrame) -> DataFrame:
+    """The rate trend per (yr, entity_id)."""
+    names = ("picks", "bans", "total_appearances")
+    return with_rates(cube.groupBy("yr", "entity_id").agg(*[F.sum(c).alias(c) for c in names]))
+
+
+def phases_of_cube(cube: DataFrame, min_count: int = 50) -> DataFrame:
+    """The win rate per (entity_id, phase)."""
+    stats = (
+        cube.where(F.col("phase").isNotNull() & (F.col("games") > 0))
+        .groupBy("entity_id", "phase")
+        .agg(F.sum("games").alias("games"), F.sum("wins").alias("wins"))
+    )
+    return with_win_rate(stats, min_count=min_count)
+
+
 def bucket_win_rate(matches: DataFrame, null_bucket: str = "last") -> DataFrame:
     """How often the first side wins, per duration bucket; ``bucket_no`` gives their order."""
     duration = F.col("duration")

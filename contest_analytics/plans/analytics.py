@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from contest_analytics.operators import trends, winrates
 from contest_analytics.operators.enrich import enrich
+from contest_analytics.session import cut_lineage
 from contest_analytics.sources import sinks
 from contest_analytics.sources.layouts import ContestTables, load_match_files
 
@@ -26,11 +27,15 @@ def entity_trends(tables: ContestTables, how: str = "left", drop_null_period: bo
 
 
 def reports(tables: ContestTables, min_count: int = 50) -> dict[str, dict[str, DataFrame]]:
-    """The four reports by category and name; the ranking follows from the entity trends."""
+    """The four reports by category and name; the rankings follow from the entity trends.
+
+    Both entity reports come from one staged cube, so the join behind them runs once.
+    """
+    cube = cut_lineage(winrates.draft_cube(tables.selections, tables.matches))
     return {
         "entity": {
-            "trends": entity_trends(tables),
-            "by_phase": winrates.phase_win_rate(tables.selections, tables.matches, min_count),
+            "trends": winrates.trend_of_cube(cube),
+            "by_phase": winrates.phases_of_cube(cube, min_count),
         },
         "duration": {
             "trends": trends.period_stats(tables.matches),
@@ -43,7 +48,7 @@ def run(spark: SparkSession, folder: str, output: str, fmt: str = "csv", mode: s
     """Load a folder of match files and write every report; returns their record counts."""
     named = reports(load_match_files(spark, folder, tuple(NEEDED), only=NEEDED))
     counts = sinks.save_results(named, output, fmt, mode)
-    # The rankings read the written trends, so the big join behind them runs once.
+    # The rankings read the written trends.
     trend = sinks.read_result(spark, f"{output}/entity_trends", named["entity"]["trends"].schema, fmt)
     ranking = {
         "top_volatile": trends.top_entities(trends.rate_volatility(trend)),

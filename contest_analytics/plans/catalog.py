@@ -315,6 +315,18 @@ def phase_win_rate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def trend_of_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rate trend by way of the shared cube."""
+    parents = standins.matches(spark, sf_dir).where(F.col("yr") >= 1996)
+    return winrates.trend_of_cube(winrates.draft_cube(standins.selections(spark, sf_dir), parents))
+
+
+def phases_of_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phase win rates by way of the shared cube."""
+    cube = winrates.draft_cube(standins.selections(spark, sf_dir), _some_unknown_durations(spark, sf_dir), "drop")
+    return winrates.phases_of_cube(cube, min_count=0)
+
+
 def _some_unknown_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = F.when(F.col(KEY) % 11 != 0, F.col("duration"))
     return standins.matches(spark, sf_dir).withColumn("duration", known)
@@ -572,7 +584,8 @@ def queries() -> dict[str, Query]:
         pattern_flags, fill_defaults, guarded_ratio, score_derived,
         enrich_left, enrich_inner, feature_table_outcome, feature_table_duration, feature_table_compact,
         feature_table_duration_compact, topk_series,
-        rate_trend, rate_trend_matched, rate_trend_unmatched, rate_volatility, top_volatile, top_by_pick_rate, phase_win_rate, phase_win_rate_all, period_stats,
+        rate_trend, rate_trend_matched, rate_trend_unmatched, rate_volatility, top_volatile, top_by_pick_rate, phase_win_rate, phase_win_rate_all, trend_of_cube,
+        phases_of_cube, period_stats,
         period_stats_yearly, bucket_win_rate, bucket_win_rate_nulls_last, bucket_win_rate_nulls_dropped,
         bucket_ordered, bucket_share, moments, moments_merged,
         objective_counts_early, objective_counts_all, advantage_stats_window, advantage_stats_xp,

@@ -257,6 +257,16 @@ def _auc_sql(score: str) -> str:
 
 
 def statements() -> dict[str, str]:
+    """SQL by query name."""
+    found = _statements()
+    # The cube is another way to results that have their SQL already.
+    return found | {
+        "trend_of_cube": found["rate_trend_unmatched"],
+        "phases_of_cube": found["phase_win_rate_all"],
+    }
+
+
+def _statements() -> dict[str, str]:
     trend_steps = {"trend": TREND, "volatility": VOLATILITY}
     bucket_rate = f"{_half_up('CAST(side_a_wins AS DOUBLE) / total_matches * 100')} AS win_rate"
     period = f"""

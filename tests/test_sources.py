@@ -32,7 +32,7 @@ FILES = {
 1,True,0,300,400,2000,20,5,0,1
 2,False,,100,,3000,30,1,2,1
 """,
-    "objectives.csv": 'match_id,time,type\n1,100,CHAT_MESSAGE_FIRSTBLOOD\n1,601,"npc_dota_tower, top"\n2,5,\n',
+    "objectives.csv": 'match_id,time,type\n1,100,CHAT_MESSAGE_FIRSTBLOOD\n1,601,"npc_tower, top"\n2,5,\n',
     "radiant_gold_adv.csv": "minute,gold,match_id\n5,100,1\n10,-300,1\n11,900,1\n",
     "radiant_exp_adv.csv": "minute,exp,match_id\n5,10,1\n",
     "teamfights.csv": "match_id,start,deaths\n1,600,3\n1,700,5\n",

@@ -149,3 +149,18 @@ def test_bucket_totals_cover_all_matches(spark):
     assert total == matches.count()
     rates = winrates.phase_win_rate(standins.selections(spark, SMALL), matches, min_count=0)
     assert rates.where("wins > games").count() == 0
+
+
+@pytest.mark.parametrize("null_bucket", ["last", "drop"])
+def test_cube_gives_the_same_reports(spark, drafts, games, null_bucket):
+    literal = (drafts, games)
+    tables = (standins.selections(spark, SMALL), standins.matches(spark, SMALL).where("yr >= 1996"))
+    for selections, matches in (literal, tables):
+        cube = winrates.draft_cube(selections, matches, null_bucket)
+        pairs = [
+            (winrates.trend_of_cube(cube), trends.rate_trend(enrich(selections, matches, "match_id", ["yr"]))),
+            (winrates.phases_of_cube(cube, 0), winrates.phase_win_rate(selections, matches, 0, null_bucket)),
+            (winrates.phases_of_cube(cube, 2), winrates.phase_win_rate(selections, matches, 2, null_bucket)),
+        ]
+        for got, expected in pairs:
+            assert sorted(map(str, got.collect())) == sorted(map(str, expected.select(got.columns).collect()))
