@@ -54,13 +54,15 @@ def objective_counts_early(
     kinds: ObjectiveKinds = ObjectiveKinds(),
     until: int = EARLY_SECONDS,
     ignore_case: bool = False,
+    count_unknown: bool = False,
 ) -> DataFrame:
+    """Objectives of the early game; those of unknown kind count on request only."""
     kind = F.col("kind")
     stats = {
         "first_claim_count": E.count_where(kind == kinds.first_claim),
         "early_towers": E.count_where(E.matches_pattern(kind, kinds.tower, ignore_case)),
         "early_couriers": E.count_where(E.matches_pattern(kind, kinds.courier)),
-        "early_objectives": F.count(kind),
+        "early_objectives": F.count(F.lit(1) if count_unknown else kind),
     }
     return key_stats(objectives, stats, where=F.col("time_s") <= until)
 

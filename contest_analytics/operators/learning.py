@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contest_analytics.operators import metrics
+from contest_analytics.sources.tables import literal_table
 
 # The training parameters of both profiles.
 TRAIN_SHARE = 0.8
@@ -140,10 +141,8 @@ def regressor_metrics(predictions: DataFrame, label: str, model: str) -> DataFra
 
 def feature_importance(model: Model, columns: Sequence[str], k: int | None = 10) -> DataFrame:
     """Features by importance; the frame has one row per feature."""
-    rows = [(name, float(weight)) for name, weight in zip(columns, model.featureImportances.toArray())]
-    ranked = (
-        SparkSession.getActiveSession()
-        .createDataFrame(rows, "feature string, importance double")
-        .orderBy(F.desc("importance"), "feature")
-    )
+    spark = SparkSession.getActiveSession()
+    rows = list(zip(columns, map(float, model.featureImportances.toArray())))
+    weights = literal_table(spark, rows, {"feature": "string", "importance": "double"})
+    ranked = weights.orderBy(F.desc("importance"), "feature")
     return ranked if k is None else ranked.limit(k)

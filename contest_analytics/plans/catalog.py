@@ -232,17 +232,23 @@ def score_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- joins ------------------------------------------------------------------------------
 
 
-def _enriched_since_1996(spark: SparkSession, sf_dir: str, how: str) -> DataFrame:
-    parents = standins.matches(spark, sf_dir).where(F.col("yr") >= 1996)
+def _renumbered_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All matches, those before 1996 under other keys: their draft rows find no match."""
+    number = F.when(F.col("yr") < 1996, -1 - F.col(KEY)).otherwise(F.col(KEY))
+    return standins.matches(spark, sf_dir).withColumn(KEY, number)
+
+
+def _enriched(spark: SparkSession, sf_dir: str, how: str) -> DataFrame:
+    parents = _renumbered_matches(spark, sf_dir)
     return enrich(standins.selections(spark, sf_dir), parents, KEY, ["yr", "mo", "side_a_win"], how)
 
 
 def enrich_left(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _enriched_since_1996(spark, sf_dir, "left")
+    return _enriched(spark, sf_dir, "left")
 
 
 def enrich_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _enriched_since_1996(spark, sf_dir, "inner")
+    return _enriched(spark, sf_dir, "inner")
 
 
 def feature_table_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,13 +278,13 @@ def rate_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rate_trend_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only draft rows with a match, and only known periods."""
-    rows = _enriched_since_1996(spark, sf_dir, "inner")
+    rows = _enriched(spark, sf_dir, "inner")
     return trends.rate_trend(rows, drop_null_period=True)
 
 
 def rate_trend_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Draft rows without a match form a group of their own."""
-    return trends.rate_trend(_enriched_since_1996(spark, sf_dir, "left"))
+    return trends.rate_trend(_enriched(spark, sf_dir, "left"))
 
 
 def _rounded_volatility(df: DataFrame) -> DataFrame:
@@ -317,8 +323,8 @@ def phase_win_rate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trend_of_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rate trend by way of the shared cube."""
-    parents = standins.matches(spark, sf_dir).where(F.col("yr") >= 1996)
-    return winrates.trend_of_cube(winrates.draft_cube(standins.selections(spark, sf_dir), parents))
+    cube = winrates.draft_cube(standins.selections(spark, sf_dir), _renumbered_matches(spark, sf_dir))
+    return winrates.trend_of_cube(cube)
 
 
 def phases_of_cube(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -82,7 +82,7 @@ BUCKETS = f"""
            CAST(sum(CASE WHEN side_a_win THEN 1 ELSE 0 END) AS BIGINT) AS side_a_wins
     FROM matches GROUP BY 1, 2"""
 
-RECENT = "SELECT * FROM matches WHERE yr >= 1996"
+RENUMBERED = "SELECT * REPLACE (CASE WHEN yr < 1996 THEN -1 - match_id ELSE match_id END AS match_id) FROM matches"
 SOME_UNKNOWN = "SELECT * REPLACE (CASE WHEN match_id % 11 <> 0 THEN duration END AS duration) FROM matches"
 
 # Dirty text derived from the match keys, for the cleaning steps.
@@ -417,12 +417,14 @@ def _statements() -> dict[str, str]:
         "enrich_left": _with(
             "selections matches",
             """SELECT match_id, entity_id, side, is_pick, m.yr, m.mo, m.side_a_win
-               FROM selections LEFT JOIN (SELECT * FROM matches WHERE yr >= 1996) m USING (match_id)""",
+               FROM selections LEFT JOIN renumbered m USING (match_id)""",
+            renumbered=RENUMBERED,
         ),
         "enrich_inner": _with(
             "selections matches",
             """SELECT match_id, entity_id, side, is_pick, m.yr, m.mo, m.side_a_win
-               FROM selections JOIN (SELECT * FROM matches WHERE yr >= 1996) m USING (match_id)""",
+               FROM selections JOIN renumbered m USING (match_id)""",
+            renumbered=RENUMBERED,
         ),
         "feature_table_outcome": OUTCOME_SQL,
         "feature_table_duration": DURATION_SQL,
@@ -439,10 +441,10 @@ def _statements() -> dict[str, str]:
         ),
         "rate_trend": _with("selections matches", TREND),
         "rate_trend_matched": _with(
-            "selections matches", TREND.replace("LEFT JOIN matches", "JOIN recent").strip(), recent=RECENT
+            "selections matches", TREND.replace("LEFT JOIN matches", "JOIN renumbered").strip(), renumbered=RENUMBERED
         ),
         "rate_trend_unmatched": _with(
-            "selections matches", TREND.replace("LEFT JOIN matches", "LEFT JOIN recent").strip(), recent=RECENT
+            "selections matches", TREND.replace("LEFT JOIN matches", "LEFT JOIN renumbered").strip(), renumbered=RENUMBERED
         ),
         "rate_volatility": _with(
             "selections matches",

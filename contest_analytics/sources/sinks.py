@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from contest_analytics.sources.tables import literal_table
+
 SINGLE_FILE_ROWS = 100_000
 
 
@@ -45,7 +47,7 @@ def save_results(
 
 def manifest(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
     """The counts of ``save_results`` as a table."""
-    return spark.createDataFrame(list(counts.items()), "result string, n_records bigint")
+    return literal_table(spark, list(counts.items()), {"result": "string", "n_records": "bigint"})
 
 
 def write_single_file(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,3 +39,13 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, counts)
+
+
+def literal_table(spark: SparkSession, rows: Sequence[tuple], types: Mapping[str, str]) -> DataFrame:
+    """A few driver-side values as a table; it stays in the JVM, without Python workers."""
+    structs = [
+        F.struct(*[F.lit(v).cast(t).alias(name) for v, (name, t) in zip(row, types.items())]) for row in rows
+    ]
+    if not structs:
+        return spark.range(0).select(*[F.lit(None).cast(t).alias(name) for name, t in types.items()])
+    return spark.range(1).select(F.inline(F.array(*structs)))

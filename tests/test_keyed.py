@@ -25,6 +25,7 @@ def test_objective_counts(rows):
         "match_id": 1, "first_claim_count": 1, "early_towers": 1, "early_couriers": 1, "early_objectives": 5,
     }
     assert only(keyed.objective_counts_early(df, ignore_case=True))["early_towers"] == 2
+    assert only(keyed.objective_counts_early(df, count_unknown=True))["early_objectives"] == 6
     assert only(keyed.objective_counts_all(df)) == {
         "match_id": 1, "total_objectives": 9, "total_towers": 3, "total_barracks": 1,
     }

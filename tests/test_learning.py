@@ -1,3 +1,4 @@
+import hashlib
 import math
 import statistics
 
@@ -21,6 +22,13 @@ def test_split_is_disjoint_complete_and_independent_of_layout(spark):
     assert {r.match_id for r in again.collect()} == in_train
 
 
+def test_split_follows_the_digest_of_the_key(spark):
+    keys = spark.range(2000).withColumnRenamed("id", "match_id")
+    train, _ = learning.hash_split(keys, "match_id")
+    expected = {k for k in range(2000) if hashlib.md5(str(k).encode()).hexdigest()[:8] < "cccccccc"}
+    assert {r.match_id for r in train.collect()} == expected
+
+
 def test_standardize_uses_the_statistics_of_the_fit_rows(rows):
     df = rows("k int, x double, c double", (1, 1.0, 4.0), (2, 3.0, 4.0), (3, 11.0, 4.0))
     got = as_dicts(learning.standardize(df, ["x", "c"], fit_on=df.where("k < 3")), "k")
