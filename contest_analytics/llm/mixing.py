@@ -23,6 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 KEY, BLOCK, ORDER = "_mix_source", "_mix_block", "_mix_order"
 
@@ -48,13 +49,13 @@ class Source:
         return round(self.target) - self.passes * self.words
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(T.LongType())
 def count_words(texts: pd.Series) -> pd.Series:
     """Number of runs of anything but the six ASCII blanks, which is what splitting bytes gives."""
     return texts.map(lambda text: 0 if text is None else len(text.encode().split())).astype("int64")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def first_words(texts: pd.Series, counts: pd.Series) -> pd.Series:
     """The texts up to the end of their n-th word; whole where they have no more words."""
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contest_analytics.llm import mixing
+from contest_analytics.llm import fingerprints, mixing, secrets, token_output, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, by patterns and by novelty."""
+    spans = F.col("spans")
+    base = F.filter(spans, lambda s: s["kind"] != "novel")
+    return secrets.find_secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *(secrets.count_kind(spans, kind).alias(f"n_{kind}") for kind in secrets.KINDS),
+        F.sha2(secrets.joined_spans(base), 256).alias("base_sha256"),
+        secrets.joined_spans(spans).alias("spans"),
+    )
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mixture to the weights 3, 1, 2, ... takes of each document."""
     rows = mixing.allocate(table(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -24,8 +36,66 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+    marked = docs.withColumn("fingerprint", fingerprints.fingerprint(F.col("text")))
+    paired = fingerprints.with_next(marked, ["text", "fingerprint"])
+    edited = paired.select(
+        "doc_id",
+        F.length("text").cast("bigint").alias("n_chars"),
+        "fingerprint",
+        "next_fingerprint",
+        fingerprints.edited_text(F.col("text"), F.col("next_text")).alias("edited"),
+    )
+    hashed = edited.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint",
+        fingerprints.fingerprint(F.col("edited")).alias("edited_fingerprint"),
+        "next_fingerprint",
+    )
+    return hashed.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        "fingerprint",
+        "edited_fingerprint",
+        fingerprints.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        fingerprints.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+    )
+
+
+# The rules of the query's contract.
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule and verdict of every page's url."""
+    return url_filters.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each document's token ids lie in the packed files, and their checksum."""
+    return token_output.token_digests(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def queries() -> dict[str, Query]:
-    named = [op6_mix_sources]
+    named = [op1_fingerprints, op4_url_filters, op5_secret_scan, op6_mix_sources, op10_token_files]
     return {query.__name__: query for query in named}
 
 
