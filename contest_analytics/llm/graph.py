@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contest_analytics.session import cut_lineage
@@ -36,3 +39,58 @@ def components(edges: DataFrame) -> DataFrame:
         now = cut_lineage(moved.where("a <> b").distinct())
     ids = reached.groupBy("at").agg(F.min("node").alias("component"))
     return reached.join(ids, "at").select("node", "component")
+
+
+Pairs = Callable[[DataFrame], DataFrame]
+
+
+def linked_components(keys: DataFrame, verify: Pairs, rounds: int = 2) -> DataFrame:
+    """``node`` and ``component`` of every node that a verified pair links to another.
+
+    ``keys`` has ``key``, ``node`` and ``weight``: two nodes may be linked only if they share a key.
+    ``verify`` keeps those rows (a, b) of a table of distinct pairs that are links.
+
+    Every pair that shares a key is verified unless its nodes are connected already, so no two
+    components remain that a link would join. To leave few such pairs, the first rounds compare each
+    node only with one leader: that of its keys' leaders (the members of greatest weight, then of
+    greatest hash) with which it shares most keys. A group of n near copies then costs about n pairs.
+    """
+    links: list[DataFrame] = []
+    tested: list[DataFrame] = []
+    keys = keys.select("key", "node", "weight")
+
+    def placed() -> DataFrame:
+        if not links:
+            return keys.withColumn("comp", F.col("node"))
+        known = components(reduce(DataFrame.union, links)).withColumnRenamed("component", "comp")
+        return keys.join(known, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+
+    def settle(pairs: DataFrame) -> None:
+        for old in tested:
+            pairs = pairs.join(old, ["a", "b"], "left_anti")
+        pairs = cut_lineage(pairs)
+        tested.append(pairs)
+        links.append(cut_lineage(verify(pairs).select("a", "b")))
+
+    def ordered(one: Column, other: Column) -> list[Column]:
+        return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
+
+    for turn in range(rounds):
+        rows = placed()
+        rank = F.col("weight") if turn == 0 else F.xxhash64("node", F.lit(turn)).cast("double")
+        leaders = rows.groupBy("key").agg(F.max(F.struct(rank.alias("rank"), "node", "comp")).alias("leader"))
+        apart = rows.join(leaders, "key").where(F.col("comp") != F.col("leader.comp"))
+        common = apart.groupBy("node", F.col("leader.node").alias("lead")).agg(F.count("*").alias("n"))
+        best = common.groupBy("node").agg(F.max(F.struct("n", "lead")).alias("best"))
+        settle(best.select(*ordered(F.col("node"), F.col("best.lead"))).distinct())
+
+    # What is left: pairs of different components. A key's largest component stands on one side only.
+    rows = cut_lineage(placed())
+    parts = rows.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    mixed = parts.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("largest"), F.count("*").alias("comps"))
+    mixed = cut_lineage(mixed.where("comps > 1").select("key", F.col("largest.comp").alias("largest")))
+    rest = rows.join(mixed, "key").where("comp <> largest").select("key", F.col("node").alias("x"), F.col("comp").alias("cx"))
+    others = rows.join(mixed, "key", "left_semi").select("key", F.col("node").alias("y"), F.col("comp").alias("cy"))
+    met = rest.join(others, "key").where("cx <> cy")
+    settle(met.select(*ordered(F.col("x"), F.col("y"))).distinct())
+    return components(reduce(DataFrame.union, links))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contest_analytics.llm import fingerprints, mixing, secrets, token_output, url_filters
+from contest_analytics.llm import decontamination, fingerprints, jaccard_join, mixing, secrets, token_output, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +68,11 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under links of 5-word shingle sets."""
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 # The rules of the query's contract.
 URL_RULES = [
     ("allow", "org", "/"),
@@ -83,6 +88,11 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents."""
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
@@ -95,7 +105,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = [op1_fingerprints, op4_url_filters, op5_secret_scan, op6_mix_sources, op10_token_files]
+    named = [op1_fingerprints, op3_jaccard_join, op4_url_filters, op5_secret_scan, op6_mix_sources, op8_benchmark_leaks, op10_token_files]
     return {query.__name__: query for query in named}
 
 
