@@ -21,7 +21,6 @@ from contest_analytics.llm.text import let, shingle_hashes, words
 
 BINS, BITS, PROBES = 256, 4, 8
 VALUE_BITS = 64 - (BINS.bit_length() - 1)
-DIGITS = "0123456789abcdef"
 NEIGHBOUR_ROWS = 20_000
 
 
@@ -37,7 +36,7 @@ def bin_values(text: Column) -> Column:
         heads = let(
             in_order,
             lambda h: F.filter(
-                h, lambda x, i: (i == 0) | (F.shiftright(x, VALUE_BITS) != F.shiftright(F.get(h, i - 1), VALUE_BITS))
+                h, lambda x, i: F.coalesce(F.shiftrightunsigned(x.bitwiseXOR(F.get(h, i - 1)), VALUE_BITS) != 0, F.lit(True))
             ),
         )
         values = F.transform(heads, lambda x: F.when(x.bitwiseAND(F.lit(most)) != most, x.bitwiseAND(F.lit(most))))
@@ -49,34 +48,34 @@ def bin_values(text: Column) -> Column:
 def densify(values: Column) -> Column:
     """Fill the empty bins from filled ones."""
 
-    def fill(bins: Column) -> Column:
+    def probed(bins: Column) -> Column:
         def probe(i: Column, attempt: int) -> Column:
             return F.get(bins, F.pmod(F.xxhash64(i, F.lit(attempt)), F.lit(BINS)).cast("int"))
 
-        def nearest(filled: Column) -> Column:
-            """Of the filled bins (number, value) the first in bin i's own order."""
-            return lambda i: F.array_min(
-                F.transform(filled, lambda f: F.struct(F.xxhash64(i, f["no"], F.lit(PROBES)), f["value"].alias("value")))
-            )["value"]
+        return F.transform(bins, lambda v, i: F.coalesce(v, *(probe(i, attempt) for attempt in range(PROBES))))
 
+    def rest(bins: Column, half: Column) -> Column:
         numbered = F.filter(
             F.transform(bins, lambda v, i: F.struct(i.alias("no"), v.alias("value"))), lambda f: f["value"].isNotNull()
         )
-        return let(
-            numbered,
-            lambda filled: F.transform(
-                bins, lambda v, i: F.coalesce(v, *(probe(i, a) for a in range(PROBES)), nearest(filled)(i))
-            ),
-        )
+
+        def nearest(filled: Column, i: Column) -> Column:
+            """Of the filled bins the first in bin i's own order."""
+            own_order = lambda f: F.struct(F.xxhash64(i, f["no"], F.lit(PROBES)), f["value"].alias("value"))
+            return F.array_min(F.transform(filled, own_order))["value"]
+
+        return let(numbered, lambda filled: F.transform(half, lambda v, i: F.coalesce(v, nearest(filled, i))))
+
+    def fill(bins: Column) -> Column:
+        return let(probed(bins), lambda half: F.when(F.exists(half, F.isnull), rest(bins, half)).otherwise(half))
 
     return let(values, fill)
 
 
 def fingerprint(text: Column) -> Column:
     """The low-order bits of every bin, packed: one hexadecimal digit a bin; empty without words."""
-    low = (1 << BITS) - 1
-    digit = lambda v: F.substring(F.lit(DIGITS), (v.bitwiseAND(F.lit(low)) + 1).cast("int"), F.lit(1))
-    return F.array_join(F.transform(densify(bin_values(text)), digit), "")
+    low = F.lit((1 << BITS) - 1)
+    return F.lower(F.array_join(F.transform(densify(bin_values(text)), lambda v: F.hex(v.bitwiseAND(low))), ""))
 
 
 def likeness(one: Column, other: Column) -> Column:

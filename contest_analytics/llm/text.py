@@ -22,10 +22,21 @@ def lower_ascii(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    """Maximal runs of anything but the six ASCII blanks; null and blank texts have none."""
-    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
-    none = F.array().cast("array<string>")
-    return F.when(trimmed == "", none).otherwise(F.split(trimmed, "[\\x20\\x09-\\x0D]+"))
+    """Maximal runs of anything but the six ASCII blanks; null and blank texts have none.
+
+    Splitting at a plain space is several times as fast as at a pattern, so other blanks become
+    spaces first and empty parts go only where two blanks meet.
+    """
+    spaced = F.coalesce(text, F.lit(""))
+    for blank in BLANKS[1:]:
+        spaced = F.replace(spaced, F.lit(blank), F.lit(" "))
+
+    def parts(plain: Column) -> Column:
+        every = F.split(plain, " ")
+        dense = F.when(plain.contains("  "), F.filter(every, lambda word: word != "")).otherwise(every)
+        return F.when(plain == "", F.array().cast("array<string>")).otherwise(dense)
+
+    return let(F.trim(spaced), parts)
 
 
 def shingle_hashes(tokens: Column, size: int = SHINGLE_WORDS) -> Column:
