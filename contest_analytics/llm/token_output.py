@@ -35,7 +35,7 @@ MAGIC, HEADER = b"BPK1", "<4sIIIIQ"
 NO_ID = np.iinfo(np.int64).min
 BLOCK_IDS = 4096
 FILE_IDS = 1 << 22
-CACHE_PIECES = 400_000
+CACHE_PIECES = 150_000
 MANIFEST = "part int, file_no int, path string, first_doc bigint, docs bigint, ids bigint, bytes bigint"
 
 
@@ -123,8 +123,8 @@ class PackedFile:
 # --- encoding ---------------------------------------------------------------------------
 
 
-def cached_encoder(tokenizer_path: str) -> Callable[[str], list[int]]:
-    """Encodes whole texts as the tokenizers library does, each distinct piece only once.
+def cached_encoder(tokenizer_path: str) -> tuple[Callable[[str], np.ndarray], int]:
+    """Encodes whole texts as the tokenizers library does, each distinct piece only once; and the vocabulary's size.
 
     A byte-level tokenizer splits a text into pieces by a pattern and encodes each piece on its own,
     so pieces are looked up, and what is new goes through the library. A text with the string of a
@@ -137,19 +137,23 @@ def cached_encoder(tokenizer_path: str) -> Callable[[str], list[int]]:
 
     tokenizer = Tokenizer.from_file(tokenizer_path)
     with open(tokenizer_path, encoding="utf-8") as file:
-        config = json.load(file)
+        config = {k: v for k, v in json.load(file).items() if k != "model"}
+
+    def whole(text: str) -> np.ndarray:
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
     pre = config["pre_tokenizer"]
     special = [t["content"] for t in config.get("added_tokens", [])]
     plain = pre["type"] == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
     if config.get("normalizer") or not plain:
-        return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+        return whole, tokenizer.get_vocab_size()
     # Fixed value: the published split pattern of byte-level tokenizers.
     pieces = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
-    cache: dict[str, list[int]] = {}
+    cache: dict[str, bytes] = {}
 
-    def encode(text: str) -> list[int]:
+    def encode(text: str) -> np.ndarray:
         if any(s in text for s in special):
-            return tokenizer.encode(text, add_special_tokens=False).ids
+            return whole(text)
         found = pieces(text)
         new = [p for p in set(found) if p not in cache]
         if new:
@@ -157,10 +161,10 @@ def cached_encoder(tokenizer_path: str) -> Callable[[str], list[int]]:
                 cache.clear()
                 new = list(set(found))
             for piece, encoding in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                cache[piece] = encoding.ids
-        return [i for p in found for i in cache[p]]
+                cache[piece] = np.array(encoding.ids, "<u4").tobytes()
+        return np.frombuffer(b"".join([cache[p] for p in found]), "<u4")
 
-    return encode
+    return encode, tokenizer.get_vocab_size()
 
 
 # --- writing and reading ----------------------------------------------------------------
@@ -178,10 +182,9 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
 
-        bits = bits_for(max(end_id + 1, Tokenizer.from_file(tokenizer_path).get_vocab_size()))
-        encode, part, file_no = cached_encoder(tokenizer_path), TaskContext.get().partitionId(), 0
+        encode, vocabulary = cached_encoder(tokenizer_path)
+        bits, part, file_no = bits_for(max(end_id + 1, vocabulary)), TaskContext.get().partitionId(), 0
         store, base = fs.FileSystem.from_uri(location)
         store.create_dir(base, recursive=True)
         doc_ids: list[int] = []
@@ -203,7 +206,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
 
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
-                ids = np.array([*encode(text.as_py() or ""), end_id], np.uint32)
+                ids = np.append(encode(text.as_py() or ""), np.uint32(end_id))
                 if held and n_held + len(ids) > FILE_IDS:
                     yield flush()
                 doc_ids.append(NO_ID if doc_id.as_py() is None else doc_id.as_py())
