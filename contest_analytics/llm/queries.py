@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contest_analytics.llm import decontamination, fingerprints, jaccard_join, mixing, secrets, token_output, url_filters
+from contest_analytics.llm import decontamination, fingerprints, jaccard_join, mixing, secrets, token_output, toxicity, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +68,21 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document, learnt from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    score = F.col("score")
+    return toxicity.score_documents(docs, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        score,
+        F.when(score >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"),
+        "windows",
+        "worst_word",
+    )
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of every document under links of 5-word shingle sets."""
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
@@ -105,7 +120,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = [op1_fingerprints, op3_jaccard_join, op4_url_filters, op5_secret_scan, op6_mix_sources, op8_benchmark_leaks, op10_token_files]
+    named = [op1_fingerprints, op2_toxicity, op3_jaccard_join, op4_url_filters, op5_secret_scan, op6_mix_sources, op8_benchmark_leaks, op10_token_files]
     return {query.__name__: query for query in named}
 
 
