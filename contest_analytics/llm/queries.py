@@ -119,8 +119,15 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of the corpus pipeline, one after another."""
+    from corpus_pipeline import run  # it imports this module
+
+    return run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
-    named = [op1_fingerprints, op2_toxicity, op3_jaccard_join, op4_url_filters, op5_secret_scan, op6_mix_sources, op8_benchmark_leaks, op10_token_files]
+    named = [op1_fingerprints, op2_toxicity, op3_jaccard_join, op4_url_filters, op5_secret_scan, op6_mix_sources, op8_benchmark_leaks, op10_token_files, pipeline]
     return {query.__name__: query for query in named}
 
 
