@@ -20,6 +20,7 @@ from contest_analytics.llm.graph import components
 from contest_analytics.llm.text import lower_ascii
 
 Rule = tuple[str, str, str]  # verdict, host, path
+SALTS = 32
 
 
 def _part(url: Column, pattern: str) -> Column:
@@ -96,7 +97,10 @@ def apply_rules(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
     by_host = fitting.groupBy("host").agg(F.collect_set("fit").alias("_fits"))
     best = F.array_max(F.filter("_fits", lambda fit: F.col("path").startswith(fit["rule_path"])))
-    joined = rows.join(by_host, "host", "left").withColumn("_best", best)
+    # A host may hold a third of all rows: each host's rules are repeated for every salt.
+    salted = by_host.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+    joined = dealt.join(salted, ["host", "_salt"], "left").withColumn("_best", best)
     return joined.select(
         *rows.columns, F.col("_best.rule").alias("rule"), F.col("_best.verdict").alias("rule_verdict")
     )
