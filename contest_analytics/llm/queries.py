@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contest_analytics.llm import decontamination, fingerprints, jaccard_join, mixing, secrets, token_output, toxicity, url_filters
+from contest_analytics.llm import decontamination, fingerprints, jaccard_join, mixing, secrets, suffix_dedup, token_output, toxicity, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,6 +108,19 @@ def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses as repeated passages, and the hash of what stays."""
+    spans = F.col("spans")
+    removed = F.aggregate(spans, F.lit(0).cast("bigint"), lambda total, s: total + s["hi"] - s["lo"])
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size(spans).cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
@@ -127,7 +140,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = [op1_fingerprints, op2_toxicity, op3_jaccard_join, op4_url_filters, op5_secret_scan, op6_mix_sources, op8_benchmark_leaks, op10_token_files, pipeline]
+    named = [op1_fingerprints, op2_toxicity, op3_jaccard_join, op4_url_filters, op5_secret_scan, op6_mix_sources, op8_benchmark_leaks, op9_suffix_dedup, op10_token_files, pipeline]
     return {query.__name__: query for query in named}
 
 
