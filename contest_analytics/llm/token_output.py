@@ -17,6 +17,7 @@ text. Other columns are ignored. An empty table gives files of no document, or n
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
@@ -34,8 +35,8 @@ from contest_analytics.session import scratch_path
 MAGIC, HEADER = b"BPK1", "<4sIIIIQ"
 NO_ID = np.iinfo(np.int64).min
 BLOCK_IDS = 4096
-FILE_IDS = 1 << 22
-CACHE_PIECES = 150_000
+FILE_IDS = 1 << 20
+CACHE_PIECES = 100_000
 MANIFEST = "part int, file_no int, path string, first_doc bigint, docs bigint, ids bigint, bytes bigint"
 
 
@@ -130,22 +131,19 @@ def cached_encoder(tokenizer_path: str) -> tuple[Callable[[str], np.ndarray], in
     so pieces are looked up, and what is new goes through the library. A text with the string of a
     special token goes through the library whole. Needs a tokenizer without normalizer and prefix space.
     """
-    import json
-
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
     import regex
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
 
     tokenizer = Tokenizer.from_file(tokenizer_path)
-    with open(tokenizer_path, encoding="utf-8") as file:
-        config = {k: v for k, v in json.load(file).items() if k != "model"}
 
     def whole(text: str) -> np.ndarray:
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    pre = config["pre_tokenizer"]
-    special = [t["content"] for t in config.get("added_tokens", [])]
-    plain = pre["type"] == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
-    if config.get("normalizer") or not plain:
+    special = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+    pre = tokenizer.pre_tokenizer
+    plain = isinstance(pre, pre_tokenizers.ByteLevel) and getattr(pre, "use_regex", True) and not pre.add_prefix_space
+    if tokenizer.normalizer is not None or not plain:
         return whole, tokenizer.get_vocab_size()
     # Fixed value: the published split pattern of byte-level tokenizers.
     pieces = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
