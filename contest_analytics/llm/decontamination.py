@@ -21,10 +21,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from contest_analytics.llm.simhash import bitmap_column, hamming, in_bitmap, simhash
 from contest_analytics.llm.text import let, shingle_hashes, words
 from contest_analytics.session import cut_lineage
 
-BITMAP_BITS = 22  # 2^22 bits are 512 kB, whatever the number of items
 BLOCKS, BLOCK_BITS = 4, 16
 PER_CENT, RADIUS = 75, 19
 
@@ -34,57 +34,6 @@ def normal_shingles(text: Column) -> Column:
     return shingle_hashes(words(plain))
 
 
-def _places(x: Column) -> list[Column]:
-    """The bit positions of a hash in the bitmap."""
-    mask = F.lit((1 << BITMAP_BITS) - 1)
-    return [x.bitwiseAND(mask), F.shiftrightunsigned(x, BITMAP_BITS).bitwiseAND(mask)]
-
-
-def bitmap_column(hashes: DataFrame) -> Column:
-    """The bitmap of the column ``x`` as a literal array of 64-bit words; its size is fixed."""
-    place = hashes.select(F.explode(F.array(*_places(F.col("x")))).alias("p"))
-    set_words = place.groupBy(F.shiftright("p", 6).cast("int").alias("no")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("word")
-    )
-    word_of = {row.no: row.word for row in set_words.collect()}  # at most 2^16 rows
-    listed = ",".join(str(word_of.get(no, 0)) for no in range(1 << (BITMAP_BITS - 6)))
-    return F.split(F.lit(listed), ",").cast("array<bigint>")
-
-
-def in_bitmap(bitmap: Column, x: Column) -> Column:
-    def bit(p: Column) -> Column:
-        return F.getbit(F.get(bitmap, F.shiftright(p, 6).cast("int")), p.bitwiseAND(F.lit(63)).cast("int")) == 1
-
-    first, second = _places(x)
-    return bit(first) & bit(second)
-
-
-def simhash(hashes: Column) -> Column:
-    """64-bit SimHash of the hashes in an array; repeats add weight.
-
-    Two bits are counted in the halves of one 64-bit sum.
-    """
-    mask = F.lit((1 << 32) | 1)
-    zero = F.struct(*(F.lit(0).cast("bigint").alias(f"s{j}") for j in range(32)))
-
-    def add(sums: Column, x: Column) -> Column:
-        return F.struct(
-            *((sums[f"s{j}"] + F.shiftrightunsigned(x, j).bitwiseAND(mask)).alias(f"s{j}") for j in range(32))
-        )
-
-    def bits(sums: Column) -> Column:
-        out = F.lit(0).cast("bigint")
-        for j in range(32):
-            for half in (0, 1):
-                count = F.shiftrightunsigned(sums[f"s{j}"], 32 * half).bitwiseAND(F.lit(0xFFFFFFFF))
-                place = j + 32 * half
-                value = 1 << place if place < 63 else -(1 << 63)
-                out = out.bitwiseOR(F.when(count * 2 > F.size(hashes), F.lit(value)).otherwise(F.lit(0).cast("bigint")))
-        return out
-
-    return let(F.aggregate(hashes, zero, add), bits)
-
-
 def _blocks(fingerprint: Column) -> Column:
     """(block number, block value) of a fingerprint."""
     mask = F.lit((1 << BLOCK_BITS) - 1)
@@ -108,7 +57,7 @@ def hamming_pairs(windows: DataFrame, items: DataFrame, radius: int) -> DataFram
         .select("item_id", "g", "b.block", F.col("b.value").bitwiseXOR(F.col("change")).alias("value"))
     )
     probes = windows.select("w", "f", F.explode(_blocks(F.col("f"))).alias("b")).select("w", "f", "b.*")
-    distance = F.bit_count(F.col("f").bitwiseXOR(F.col("g")))
+    distance = hamming(F.col("f"), F.col("g"))
     near = probes.join(index, ["block", "value"]).where(distance <= radius)
     return near.select("w", "item_id", distance.alias("distance")).distinct()
 

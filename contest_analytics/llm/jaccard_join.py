@@ -22,8 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contest_analytics.llm.decontamination import bitmap_column, in_bitmap
 from contest_analytics.llm.graph import linked_components
+from contest_analytics.llm.simhash import bitmap_column, in_bitmap
 from contest_analytics.llm.text import SHINGLE_WORDS, let, lower_ascii, shingle_hashes, words
 from contest_analytics.session import cut_lineage
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contest_analytics.llm import decontamination, fingerprints, jaccard_join, mixing, secrets, suffix_dedup, token_output, toxicity, url_filters
+from contest_analytics.llm import decontamination, fingerprints, fuzzy_lines, jaccard_join, mixing, secrets, suffix_dedup, token_output, toxicity, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,6 +103,12 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op7_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps when one occurrence of each group of like lines stays."""
+    kept = fuzzy_lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in documents."""
     return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -140,7 +146,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = [op1_fingerprints, op2_toxicity, op3_jaccard_join, op4_url_filters, op5_secret_scan, op6_mix_sources, op8_benchmark_leaks, op9_suffix_dedup, op10_token_files, pipeline]
+    named = [op1_fingerprints, op2_toxicity, op3_jaccard_join, op4_url_filters, op5_secret_scan, op6_mix_sources, op7_fuzzy_lines, op8_benchmark_leaks, op9_suffix_dedup, op10_token_files, pipeline]
     return {query.__name__: query for query in named}
 
 

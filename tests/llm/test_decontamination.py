@@ -9,7 +9,7 @@ from hard_cases import hard_docs, no_docs  # noqa: F401
 from pyspark.sql import functions as F
 
 from contest_analytics.llm import decontamination as D
-from contest_analytics.llm import queries
+from contest_analytics.llm import queries, simhash
 
 
 def shingles(text):
@@ -88,7 +88,7 @@ def test_simhash(spark):
     for bit in range(64):
         if 2 * sum((v >> bit) & 1 for v in values) > len(values):
             want |= 1 << bit
-    got = spark.createDataFrame([(values,)], "v array<bigint>").select(D.simhash(F.col("v")).alias("f")).first().f
+    got = spark.createDataFrame([(values,)], "v array<bigint>").select(simhash.simhash(F.col("v")).alias("f")).first().f
     assert got & ((1 << 64) - 1) == want
 
 
