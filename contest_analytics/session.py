@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _LOCAL_SCRATCH: dict[str, str] = {}
 
 
@@ -27,21 +29,20 @@ def local_session(cores: int | str = 8, memory: str = "12g", app: str = "contest
 def scratch_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    Only a local-mode session without the setting gets a temporary folder: on a cluster
-    that would be machine-local, so the missing setting is an error there.
+    A session that has none but was given a checkpoint directory by hand uses that. Only a
+    local-mode session without either gets a temporary folder: on a cluster that would be
+    machine-local, so the missing setting is an error there.
     """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         app = context.applicationId
         if app not in _LOCAL_SCRATCH:
             _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="contest-analytics-")
         folder = _LOCAL_SCRATCH[app]
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return folder.rstrip("/")
+    return re.sub("^file:/(?!/)", "file:///", folder).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -53,8 +54,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and continue from there.
 
     Lost executors then re-read files instead of redoing the input plan, and later readers
-    fetch only the columns they need.
+    fetch only the columns they need. Nothing reads the shuffles behind the rows afterwards, so
+    their files go when the write ends.
     """
-    path = scratch_path(df.sparkSession, "stage")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, "stage")
+    before = spark.conf.get(CLEAN_SHUFFLES, None)
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEAN_SHUFFLES) if before is None else spark.conf.set(CLEAN_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
