@@ -42,22 +42,24 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 Pairs = Callable[[DataFrame], DataFrame]
+May = Callable[[Column, Column], Column]
 
 
-def linked_components(keys: DataFrame, verify: Pairs, rounds: int = 2) -> DataFrame:
+def linked_components(keys: DataFrame, verify: Pairs, may: May, rounds: int = 2) -> DataFrame:
     """``node`` and ``component`` of every node that a verified pair links to another.
 
-    ``keys`` has ``key``, ``node`` and ``weight``: two nodes may be linked only if they share a key.
-    ``verify`` keeps those rows (a, b) of a table of distinct pairs that are links.
+    ``keys`` has ``key``, ``node``, ``weight`` and ``info``: two nodes may be linked only if they share
+    a key and ``may`` holds for their infos. ``verify`` keeps those rows (a, b) of a table of distinct
+    pairs that are links.
 
-    Every pair that shares a key is verified unless its nodes are connected already, so no two
-    components remain that a link would join. To leave few such pairs, the first rounds compare each
-    node only with one leader: that of its keys' leaders (the members of greatest weight, then of
-    greatest hash) with which it shares most keys. A group of n near copies then costs about n pairs.
+    Every such pair is verified unless its nodes are connected already, so no two components remain
+    that a link would join. To leave few such pairs, the first rounds compare each node only with
+    one leader: that of its keys' leaders (the members of greatest weight, then of greatest hash)
+    with which it shares most keys. A group of n near copies then costs about n pairs.
     """
     links: list[DataFrame] = []
     tested: list[DataFrame] = []
-    keys = keys.select("key", "node", "weight")
+    keys = keys.select("key", "node", "weight", "info")
 
     def placed() -> DataFrame:
         if not links:
@@ -78,19 +80,28 @@ def linked_components(keys: DataFrame, verify: Pairs, rounds: int = 2) -> DataFr
     for turn in range(rounds):
         rows = placed()
         rank = F.col("weight") if turn == 0 else F.xxhash64("node", F.lit(turn)).cast("double")
-        leaders = rows.groupBy("key").agg(F.max(F.struct(rank.alias("rank"), "node", "comp")).alias("leader"))
-        apart = rows.join(leaders, "key").where(F.col("comp") != F.col("leader.comp"))
-        common = apart.groupBy("node", F.col("leader.node").alias("lead")).agg(F.count("*").alias("n"))
-        best = common.groupBy("node").agg(F.max(F.struct("n", "lead")).alias("best"))
-        settle(best.select(*ordered(F.col("node"), F.col("best.lead"))).distinct())
+        leaders = rows.groupBy("key").agg(F.max(F.struct(rank.alias("rank"), "node", "comp", "info")).alias("leader"))
+        leaders = leaders.select(
+            F.col("key").alias("k"), *(F.col(f"leader.{c}").alias(f"l{c}") for c in ("node", "comp", "info"))
+        )
+        apart = rows.join(
+            leaders, (F.col("key") == F.col("k")) & (F.col("comp") != F.col("lcomp")) & may(F.col("info"), F.col("linfo"))
+        )
+        common = apart.groupBy("node", "lnode").agg(F.count("*").alias("n"))
+        best = common.groupBy("node").agg(F.max(F.struct("n", "lnode")).alias("best"))
+        settle(best.select(*ordered(F.col("node"), F.col("best.lnode"))).distinct())
 
     # What is left: pairs of different components. A key's largest component stands on one side only.
     rows = cut_lineage(placed())
     parts = rows.groupBy("key", "comp").agg(F.count("*").alias("n"))
     mixed = parts.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("largest"), F.count("*").alias("comps"))
     mixed = cut_lineage(mixed.where("comps > 1").select("key", F.col("largest.comp").alias("largest")))
-    rest = rows.join(mixed, "key").where("comp <> largest").select("key", F.col("node").alias("x"), F.col("comp").alias("cx"))
-    others = rows.join(mixed, "key", "left_semi").select("key", F.col("node").alias("y"), F.col("comp").alias("cy"))
-    met = rest.join(others, "key").where("cx <> cy")
+    rest = rows.join(mixed, "key").where("comp <> largest")
+    rest = rest.select(F.col("key").alias("k"), F.col("node").alias("x"), F.col("comp").alias("cx"), F.col("info").alias("ix"))
+    others = rows.join(mixed, "key", "left_semi")
+    others = others.select("key", F.col("node").alias("y"), F.col("comp").alias("cy"), F.col("info").alias("iy"))
+    met = rest.join(
+        others, (F.col("k") == F.col("key")) & (F.col("cx") != F.col("cy")) & may(F.col("ix"), F.col("iy"))
+    )
     settle(met.select(*ordered(F.col("x"), F.col("y"))).distinct())
     return components(reduce(DataFrame.union, links))

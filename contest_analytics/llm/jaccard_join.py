@@ -3,14 +3,16 @@
 A document's set holds the 64-bit hashes of its distinct shingles of ``size`` words (A-Z lower-cased);
 a shorter text is one shingle. Two sets link when their Jaccard similarity is at least ``per_cent``.
 
-Sets of equal content are one class and stay one node. Of each class the least hashes form an
-extended prefix: with ``n`` tokens it holds n - ceil(t n) + l(n) of them, and then two sets that link
-share at least min(l) of these tokens. Only these are counted over all documents, so document
-frequencies are exact for them. On the extended prefixes the usual prefix filter holds again under
-any global order; three orders are used, all with rare tokens first and with ties by different bits
-of the hash. Candidates share a token of the first order's prefix, must share one under each of the
-others, and fit in size before the whole sets are compared. Frequent passages come last in all
-orders, so documents that share nothing else do not meet.
+1. Sets of equal content are one class and one node. Of each class the n - ceil(t n) + l(n) least
+   hashes form an extended prefix; two sets that link share at least min(l) of these tokens. Classes
+   with fewer tokens there that any other class has are done. These counts are exact.
+2. Of the classes left, all tokens are counted. A set shares ceil(t n) of its tokens with any that it
+   links to, so sets with fewer tokens that occur twice are done, and two sets whose sizes add up to
+   more than either one's such tokens allow never meet.
+3. The usual prefix filter follows under three global orders, all with rare tokens first, ties by
+   different bits of the hash: candidates share a token of the first order's prefix and must share
+   one under each of the others before the whole sets are compared. Frequent passages come last in
+   all orders.
 
 Null, empty and blank texts have an empty set and link with nothing; each is a component of its own.
 Repeated rows get a row each. A null doc_id never names a component of rows that have an id. Other
@@ -56,8 +58,8 @@ def _classes(docs: DataFrame, size: int) -> DataFrame:
     return sets.select("doc_id", F.xxhash64("s").alias("k"), F.size("s").alias("n"))
 
 
-def _prefix_nodes(docs: DataFrame, size: int, per_cent: int) -> DataFrame:
-    """Classes that may link to another: ``k, n, weight`` and a prefix ``p0, p1, p2`` for each order."""
+def _possible(docs: DataFrame, size: int, per_cent: int) -> DataFrame:
+    """Classes ``k`` that share enough of their extended prefix with others."""
 
     def head(s: Column) -> Column:
         n = F.size(s)
@@ -65,17 +67,26 @@ def _prefix_nodes(docs: DataFrame, size: int, per_cent: int) -> DataFrame:
         return F.struct(F.xxhash64(s).alias("k"), n.alias("n"), F.slice(s, 1, F.least(length, n)).alias("head"))
 
     heads = docs.select(let(shingle_set(F.col("text"), size), head).alias("h")).select("h.*")
-    distinct = heads.groupBy("k", "n").agg(F.first("head").alias("head"))  # copies meet in the map-side step
-    # Both uses of the tokens are dealt by token, so that the exchange is shared and nothing is dealt again.
-    tokens = distinct.select("k", "n", F.size("head").alias("m"), F.explode("head").alias("x"))
-    tokens = tokens.repartition("x")
-    frequent = tokens.groupBy("x").agg(F.count("*").alias("df")).where("df > 1")
-    shared = tokens.join(frequent, "x")
-
-    by_class = shared.groupBy("k", "n", "m").agg(F.collect_list(F.struct("df", "x")).alias("shared"))
+    heads = cut_lineage(heads.groupBy("k", "n").agg(F.first("head").alias("head")))  # copies meet in the map-side step
+    tokens = heads.select("k", "n", F.explode("head").alias("x"))
+    frequent = tokens.groupBy("x").agg(F.count("*").alias("df")).where("df > 1").select("x")
+    shared = tokens.join(frequent, "x").groupBy("k", "n").agg(F.count("*").alias("shared"))
     must = _extra(_least_overlap(F.col("n"), per_cent))  # the least l(n) of a partner
-    take = (F.size("shared") - must + 1).alias("take")  # tokens that occur once come first and meet nobody
-    enough = by_class.select("k", "n", "m", "shared", take).where("take > 0")
+    return shared.where(F.col("shared") >= must).select("k")
+
+
+def _nodes(sets: DataFrame, per_cent: int) -> DataFrame:
+    """Sets (k, s) that may link to another: ``k, n, most, weight`` and a prefix ``p0, p1, p2`` for each order.
+
+    ``most`` bounds the sum of the sizes of the set and of one that it links to.
+    """
+    tokens = sets.select("k", F.size("s").alias("n"), F.explode("s").alias("x"))
+    frequent = tokens.groupBy("x").agg(F.count("*").alias("df")).where("df > 1")
+    by_class = tokens.join(frequent, "x").groupBy("k", "n").agg(F.collect_list(F.struct("df", "x")).alias("shared"))
+    # Tokens that occur once come first in every order and meet nobody; ``take`` is what is left of the prefix.
+    take = (F.size("shared") - _least_overlap(F.col("n"), per_cent) + 1).alias("take")
+    most = F.floor(F.size("shared") * (100 + per_cent) / per_cent).cast("int").alias("most")
+    enough = by_class.select("k", "n", "shared", take, most).where("take > 0")
 
     def prefix(rank) -> Column:
         ordered = F.sort_array(F.transform("shared", lambda t: F.struct(*rank(t), t["x"].alias("x"))))
@@ -86,39 +97,44 @@ def _prefix_nodes(docs: DataFrame, size: int, per_cent: int) -> DataFrame:
         orders.append(
             prefix(lambda t, bits=bits: [F.floor(F.log2(t["df"].cast("double"))).alias("df"), _rotated(t["x"], bits).alias("r")])
         )
-    weight = F.aggregate("shared", F.lit(0.0), lambda total, t: total + F.log2(t["df"].cast("double"))) / F.col("m")
-    return enough.select("k", "n", weight.alias("weight"), *(p.alias(f"p{i}") for i, p in enumerate(orders)))
+    weight = F.aggregate("shared", F.lit(0.0), lambda total, t: total + F.log2(t["df"].cast("double"))) / F.col("n")
+    return enough.select("k", "n", "most", weight.alias("weight"), *(p.alias(f"p{i}") for i, p in enumerate(orders)))
 
 
 def jaccard_components(docs: DataFrame, size: int = SHINGLE_WORDS, per_cent: int = PER_CENT) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id``, the least doc_id reachable by links, of every row."""
     ids = cut_lineage(_classes(docs, size))
-    nodes = cut_lineage(_prefix_nodes(docs, size, per_cent))
-    keys = nodes.select(F.explode("p0").alias("key"), F.col("k").alias("node"), "weight")
+    possible = cut_lineage(_possible(docs, size, per_cent))
 
     # The whole sets of possible partners only; a bitmap of fixed size keeps most others out of the join.
-    bitmap = bitmap_column(nodes.select(F.col("k").alias("x")))
+    bitmap = bitmap_column(possible.select(F.col("k").alias("x")))
     chosen = let(
         shingle_set(F.col("text"), size),
         lambda s: F.when(in_bitmap(bitmap, F.xxhash64(s)), F.array(F.struct(F.xxhash64(s).alias("k"), s.alias("s")))),
     )
     sets = docs.select(F.explode_outer(chosen).alias("c")).where("c IS NOT NULL").select("c.*")
-    sets = sets.groupBy("k").agg(F.first("s").alias("s")).join(nodes.select("k"), "k", "left_semi")
+    sets = sets.groupBy("k").agg(F.first("s").alias("s")).join(possible, "k", "left_semi")
     sets = cut_lineage(sets)
+    nodes = cut_lineage(_nodes(sets, per_cent))
+    info = F.struct("n", "most")
+    keys = nodes.select(F.explode("p0").alias("key"), F.col("k").alias("node"), "weight", info.alias("info"))
+
+    def may(one: Column, other: Column) -> Column:
+        both, less, more = one["n"] + other["n"], F.least(one["n"], other["n"]), F.greatest(one["n"], other["n"])
+        return (both <= F.least(one["most"], other["most"])) & (less * 100 >= more * per_cent)
 
     def verify(pairs: DataFrame) -> DataFrame:
         def side(name: str) -> DataFrame:
-            return nodes.select(F.col("k").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in ("n", "p1", "p2")))
+            return nodes.select(F.col("k").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in ("p1", "p2")))
 
         met = pairs.join(side("a"), "a").join(side("b"), "b")
-        met = met.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * per_cent)
         met = met.where(F.arrays_overlap("p1_a", "p1_b") & F.arrays_overlap("p2_a", "p2_b")).select("a", "b")
         whole = met.join(sets.select(F.col("k").alias("a"), F.col("s").alias("u")), "a")
         whole = whole.join(sets.select(F.col("k").alias("b"), F.col("s").alias("v")), "b")
         shared = F.size(F.array_intersect("u", "v"))
         return whole.where(shared * 100 >= (F.size("u") + F.size("v") - shared) * per_cent)
 
-    linked = linked_components(keys, verify)
+    linked = linked_components(keys, verify, may)
     least = ids.groupBy("k").agg(F.min("doc_id").alias("least"))
     grouped = linked.join(least, F.col("node") == F.col("k"))
     roots = grouped.groupBy("component").agg(F.min("least").alias("root"))
