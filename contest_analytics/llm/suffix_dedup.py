@@ -39,7 +39,8 @@ PIECE_BYTES = (1 << PLACE_BITS) - 512  # with LENGTH more bytes its places fit i
 BIN_BYTES, BATCH_BYTES, HELD_BYTES = 32_768, 1 << 20, 8 << 20
 BITMAP_BITS = 22
 RUNS = "k bigint, start bigint, n int, m bigint, d binary"
-CONTENTS = "m bigint, d binary, content binary, w binary, offset int"
+CONTENTS = "m bigint, d binary, content binary, large boolean"
+WINDOWS = "m bigint, d binary, w binary, lo int"
 REPEATED = "m bigint, d binary, lo int, hi int"
 
 
@@ -103,7 +104,7 @@ def in_bitmap(bitmap: np.ndarray, m: int) -> bool:
 
 
 def _arrow(schema: str, columns: list[list]) -> pa.RecordBatch:
-    kinds = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_()}
     fields = [part.split() for part in schema.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, (_, t) in zip(columns, fields)], [n for n, _ in fields])
 
@@ -141,7 +142,7 @@ def find_runs(texts: DataFrame) -> DataFrame:
 
 
 def find_contents(texts: DataFrame, needed: np.ndarray, large: np.ndarray) -> DataFrame:
-    """Contents of the runs whose minimizer is needed; of those in ``large``, the hashes of their windows."""
+    """Contents of the runs whose minimizer is needed, and whether it is in ``large``."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -153,24 +154,36 @@ def find_contents(texts: DataFrame, needed: np.ndarray, large: np.ndarray) -> Da
                     if k in seen:
                         continue
                     seen.add(k)
-                    for _, n, m, content in runs_of(text.as_py().encode()):
+                    for _, _, m, content in runs_of(text.as_py().encode()):
                         if not in_bitmap(needed, m):
                             continue
                         d = content_key(content)
                         if d in sent:
                             continue
                         sent.add(d)
-                        if in_bitmap(large, m):
-                            for i in range(n):
-                                yield m, d, None, content_key(content[i : i + LENGTH]), i
-                        else:
-                            yield m, d, content, None, None
+                        yield m, d, content, in_bitmap(large, m)
 
         yield from _emit(rows(), CONTENTS)
 
     return texts.select("k", "text").mapInArrow(scan, CONTENTS)
 
 
+def window_keys(contents: DataFrame) -> DataFrame:
+    """The hash and offset of every window of the contents of large minimizers, each content once."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for m, d, content in zip(*(batch.column(c).to_pylist() for c in ("m", "d", "content"))):
+                    for i in range(len(content) - LENGTH + 1):
+                        yield m, d, content_key(content[i : i + LENGTH]), i
+
+        yield from _emit(rows(), WINDOWS)
+
+    once = contents.where("large").groupBy("m", "d").agg(F.first("content").alias("content"))
+    return once.mapInArrow(scan, WINDOWS)
+
+
 # --- suffix arrays ----------------------------------------------------------------------
 
 
@@ -252,7 +265,7 @@ def decide_bins(contents: DataFrame) -> DataFrame:
         yield from _emit(rows(), REPEATED)
 
     tasks = int(contents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = contents.where("content IS NOT NULL").select("m", "d", "content").repartition(tasks, "m")
+    dealt = contents.where("NOT large").select("m", "d", "content").repartition(tasks, "m")
     return dealt.sortWithinPartitions("m", "d").mapInArrow(decide, REPEATED)
 
 
@@ -268,9 +281,9 @@ def removed_spans(texts: DataFrame) -> DataFrame:
     contents = cut_lineage(
         find_contents(texts, bitmap_of(by_m.select("m")), bitmap_of(by_m.where(F.col("bytes") > BIN_BYTES).select("m")))
     )
-    windows = contents.where("w IS NOT NULL").select("m", "d", "w", "offset")
+    windows = cut_lineage(window_keys(contents))
     often = windows.groupBy("w").agg(F.count("*").alias("c")).where("c > 1").select("w")
-    counted = windows.join(often, "w", "left_semi").select("m", "d", F.col("offset").alias("lo"), (F.col("offset") + 1).alias("hi"))
+    counted = windows.join(often, "w", "left_semi").select("m", "d", "lo", (F.col("lo") + 1).alias("hi"))
     whole = counts.where("times > 1").select("m", "d", F.lit(0).alias("lo"), F.col("n").alias("hi"))
     repeated = whole.union(decide_bins(contents)).union(counted)
     repeated = repeated.groupBy("m", "d").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
