@@ -16,11 +16,24 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("output", help="folder for the results; any URI Spark can write")
     parser.add_argument("--compact", action="store_true", help="smaller feature set and lighter trees")
     parser.add_argument("--overwrite", action="store_true")
+    parser.add_argument("--matched-only", action="store_true", help="reports: leave out draft rows without a match")
+    parser.add_argument("--known-periods", action="store_true", help="reports: leave out rows without a period")
+    parser.add_argument("--known-durations", action="store_true", help="reports: leave out matches of unknown length")
+    parser.add_argument("--min-count", type=int, default=50, help="reports: least games of a phase win rate")
     args = parser.parse_args(argv)
     mode = "overwrite" if args.overwrite else "errorifexists"
     spark = SparkSession.builder.appName("contest_analytics").getOrCreate()
     if args.task == "reports":
-        counts = analytics.run(spark, args.folder, args.output, mode=mode)
+        counts = analytics.run(
+            spark,
+            args.folder,
+            args.output,
+            mode=mode,
+            min_count=args.min_count,
+            how="inner" if args.matched_only else "left",
+            drop_null_period=args.known_periods,
+            null_bucket="drop" if args.known_durations else None,
+        )
     else:
         counts = models.run(spark, args.folder, args.output, args.task, args.compact, mode)
     for name, n_records in counts.items():

@@ -12,14 +12,28 @@ TRUE_WORDS = ("1", "true", "t", "yes", "y")
 FALSE_WORDS = ("0", "false", "f", "no", "n")
 TIME_COLUMNS = ("start_date_time", "start_time", "start_time_utc", "match_start_time")
 
+INTEGERS = ("tinyint", "smallint", "int", "integer", "bigint", "long")
+# The spellings of one source that takes fewer.
+NARROW_TRUE, NARROW_FALSE = ("1", "true", "True"), ("0", "false", "False")
+
 _WHITESPACE = " \t\n\r\f\v"
 
 
 def coerce(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast the named columns in one projection; text that does not parse becomes null."""
-    return df.select(
-        *[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns]
-    )
+    return df.select(*[lenient_cast(c, types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
+
+
+def lenient_cast(column: Column | str, kind: str) -> Column:
+    """The value as ``kind``, or null. Whole numbers may be written with a decimal point.
+
+    A decimal keeps the digits of a 64-bit key; what follows the point is cut off.
+    """
+    value = _as_column(column)
+    plain = value.try_cast(kind)
+    if kind not in INTEGERS:
+        return plain
+    return F.coalesce(plain, value.cast("string").try_cast("decimal(38,10)").try_cast(kind))
 
 
 def bool_normalize(

@@ -29,13 +29,7 @@ def join_sides(base: DataFrame, sides: Sequence[DataFrame], key: str) -> DataFra
     return table
 
 
-def keep_members(df: DataFrame, members: DataFrame, key: str, size_bound: int | None = None) -> DataFrame:
-    """Rows whose key occurs in ``members``.
-
-    ``size_bound`` states how many rows ``members`` can have at most (it was limited to
-    that); only a small bound makes it a broadcast, else Spark chooses.
-    """
-    keys = members.select(key)
-    if size_bound is not None and size_bound <= 10_000:
-        keys = F.broadcast(keys)
-    return df.join(keys, key, "left_semi")
+def keep_members(df: DataFrame, members: DataFrame, key: str) -> DataFrame:
+    """Rows whose key occurs in ``members``; a null key is a key like others."""
+    keys = members.select(F.col(key).alias("_member"))
+    return df.join(keys, F.col(key).eqNullSafe(F.col("_member")), "left_semi")

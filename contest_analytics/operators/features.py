@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,104 +12,87 @@ from contest_analytics.functions import expressions as E
 from contest_analytics.functions.cleaning import fill_defaults
 from contest_analytics.operators import keyed
 from contest_analytics.operators.enrich import join_sides
-from contest_analytics.operators.keyed import KEY, ObjectiveKinds
+from contest_analytics.operators.keyed import KEY, Figure, Level, ObjectiveKinds, Source
 from contest_analytics.sources.layouts import ContestTables
 
 OUTCOME_LABEL = "side_a_win"
 DURATION_LABEL = "duration"
 
-# What a missing figure counts as.
-OUTCOME_DEFAULTS = {
-    "first_claim_count": 0,
-    "early_towers": 0,
-    "early_couriers": 0,
-    "early_objectives": 0,
-    "avg_gold_window": 0,
-    "max_gold_window": 0,
-    "min_gold_window": 0,
-    "gold_volatility": 0,
-    "avg_xp_window": 0,
-    "max_xp_window": 0,
-    "side_a_picks": 5,
-    "side_a_entities": 5,
-    "side_b_picks": 5,
-    "side_b_entities": 5,
-    "first_claim_total": 0,
-    "avg_gold_rate_all": 400,
-    "avg_xp_rate_all": 500,
-    "max_damage": 0,
-    "total_kills": 0,
-    "total_deaths": 0,
-    "total_assists": 0,
-    "avg_draft_time": 30,
-    "max_draft_time": 30,
-    "total_draft_time": 300,
-    "early_clashes": 0,
-    "avg_clash_deaths": 0,
-}
-DURATION_DEFAULTS = {
-    "league_id": 0,
-    "score_a": 0,
-    "score_b": 0,
-    "first_claim_time": 0,
-    "side_a_picks": 5,
-    "side_b_picks": 5,
-    "avg_draft_time": 30,
-    "total_objectives": 0,
-    "total_towers": 0,
-    "total_barracks": 0,
-    "total_clashes": 0,
-    "avg_deaths_per_clash": 0,
-    "total_clash_deaths": 0,
-    "max_gold_lead": 0,
-    "min_gold_lead": 0,
-    "gold_swing_std": 0,
-    "unique_entities": 10,
-    "avg_kills": 0,
-    "avg_deaths": 0,
-    "avg_assists": 0,
-    "avg_gold_rate": 400,
-    "avg_xp_rate": 500,
-    "avg_damage": 0,
-    "total_tower_damage": 0,
-}
 VALID_DURATION = (600, 7200)
 
-# The model inputs, and the smaller set of the compact tables.
-OUTCOME_FEATURES = (
-    "first_claim_count", "early_towers", "early_couriers", "early_objectives",
-    "avg_gold_window", "max_gold_window", "min_gold_window", "gold_volatility",
-    "avg_xp_window", "max_xp_window",
-    "side_a_picks", "side_b_picks",
-    "first_claim_total", "avg_gold_rate_all", "avg_xp_rate_all", "max_damage",
-    "total_kills", "total_deaths", "total_assists", "kill_death_ratio",
-    "avg_draft_time", "max_draft_time", "total_draft_time",
-    "early_clashes", "avg_clash_deaths",
-)
-OUTCOME_FEATURES_COMPACT = (
-    "first_claim_count", "early_towers", "early_couriers", "early_objectives",
-    "avg_gold_window", "max_gold_window", "min_gold_window",
-    "avg_xp_window", "max_xp_window",
-    "first_claim_total", "avg_gold_rate_all", "avg_xp_rate_all", "max_damage",
-    "total_kills", "total_deaths", "total_assists", "kill_death_ratio",
-)
-DURATION_FEATURES = (
-    "league_id", "score_a", "score_b", "score_difference", "total_score", "first_claim_time",
-    "side_a_picks", "side_b_picks", "avg_draft_time",
-    "total_objectives", "total_towers", "total_barracks",
-    "total_clashes", "avg_deaths_per_clash", "total_clash_deaths",
-    "max_gold_lead", "min_gold_lead", "gold_swing_std",
-    "unique_entities", "avg_kills", "avg_deaths", "avg_assists",
-    "avg_gold_rate", "avg_xp_rate", "avg_damage", "total_tower_damage",
-)
-DURATION_FEATURES_COMPACT = (
-    "league_id", "score_a", "score_b", "score_difference", "total_score", "first_claim_time",
-    "total_objectives", "total_towers", "total_barracks",
-    "total_clashes", "avg_deaths_per_clash", "total_clash_deaths",
-    "max_gold_lead", "min_gold_lead",
-    "avg_kills", "avg_deaths", "avg_assists",
-    "avg_gold_rate", "avg_xp_rate", "avg_damage", "total_tower_damage",
-)
+
+@dataclass(frozen=True)
+class Derived:
+    """A model input made of the columns of a filled feature table."""
+
+    name: str
+    value: Callable[[], Column]
+
+
+@dataclass(frozen=True)
+class Task:
+    """What a model predicts and from what: base columns, sources by table, derived columns."""
+
+    name: str
+    base: tuple[str, ...]
+    sources: tuple[tuple[str, Source], ...]
+    derived: tuple[Derived, ...]
+
+    def _figures(self, least: Level) -> list[Figure]:
+        return [f for _, source in self.sources for f in source.figures if (f.level(self.name) or 0) >= least]
+
+    def defaults(self) -> dict[str, float]:
+        """What an absent value counts as, by column."""
+        return dict.fromkeys(self.base, 0) | {f.name: f.absent for f in self._figures(Level.TABLE)}
+
+    def inputs(self, compact: bool = False) -> tuple[str, ...]:
+        """Columns of the model's vector."""
+        figures = self._figures(Level.COMPACT if compact else Level.FULL)
+        return (*self.base, *(f.name for f in figures), *(d.name for d in self.derived))
+
+    def sides(self, tables: ContestTables, kinds: ObjectiveKinds, compact: bool = False) -> list[DataFrame]:
+        """One row per match of each source that the model needs."""
+        least, out = Level.COMPACT if compact else Level.TABLE, []
+        for table, source in self.sources:
+            if any((f.level(self.name) or 0) >= least for f in source.figures):
+                options = (kinds,) if table == "objectives" else ()
+                out.append(source.reduce(getattr(tables, table), *options, names=source.of(self.name)))
+        return out
+
+
+OUTCOME = Task(
+    "outcome",
+    base=(),
+    sources=(
+        ("objectives", keyed.OBJECTIVES_EARLY),
+        ("gold_advantage", keyed.GOLD_EARLY),
+        ("xp_advantage", keyed.XP_EARLY),
+        ("selections", keyed.PICKS),
+        ("participants", keyed.PLAYERS_TOTAL),
+        ("draft_turns", keyed.DRAFT_TIMES),
+        ("clashes", keyed.CLASHES_EARLY),
+    ),
+    derived=(Derived("kill_death_ratio", lambda: E.guarded_ratio(F.col("total_kills"), F.col("total_deaths"))),),
+)
+DURATION = Task(
+    "duration",
+    base=("league_id", "score_a", "score_b", "first_claim_time"),
+    sources=(
+        ("selections", keyed.PICKS),
+        ("draft_turns", keyed.DRAFT_TIMES),
+        ("objectives", keyed.OBJECTIVES_ALL),
+        ("clashes", keyed.CLASHES_ALL),
+        ("gold_advantage", keyed.GOLD_ALL),
+        ("participants", keyed.PLAYERS_AVERAGE),
+    ),
+    derived=(
+        Derived("score_difference", lambda: F.abs(F.col("score_a") - F.col("score_b"))),
+        Derived("total_score", lambda: F.col("score_a") + F.col("score_b")),
+    ),
+)
+OUTCOME_DEFAULTS, DURATION_DEFAULTS = OUTCOME.defaults(), DURATION.defaults()
+OUTCOME_FEATURES, OUTCOME_FEATURES_COMPACT = OUTCOME.inputs(), OUTCOME.inputs(compact=True)
+DURATION_FEATURES, DURATION_FEATURES_COMPACT = DURATION.inputs(), DURATION.inputs(compact=True)
 
 
 def feature_table(
@@ -142,20 +126,8 @@ def outcome_table(
     label_rows: DataFrame | None = None,
 ) -> DataFrame:
     """All figures known to the outcome model. Labels come from the match table by default."""
-    return feature_table(
-        outcome_base(tables.matches if label_rows is None else label_rows, null_label),
-        [
-            keyed.objective_counts_early(tables.objectives, kinds),
-            keyed.gold_window(tables.gold_advantage),
-            keyed.xp_window(tables.xp_advantage),
-            keyed.pick_profile(tables.selections).drop("unique_entities"),
-            keyed.participant_totals(tables.participants),
-            keyed.draft_stats(tables.draft_turns),
-            keyed.clash_stats_early(tables.clashes),
-        ],
-        OUTCOME_DEFAULTS,
-        _outcome_derived(),
-    )
+    base = outcome_base(tables.matches if label_rows is None else label_rows, null_label)
+    return _table(OUTCOME, base, tables, kinds)
 
 
 def outcome_table_compact(
@@ -165,23 +137,13 @@ def outcome_table_compact(
     label_rows: DataFrame | None = None,
 ) -> DataFrame:
     """The smaller outcome table: four sources, 17 features."""
-    table = feature_table(
-        outcome_base(tables.matches if label_rows is None else label_rows, null_label),
-        [
-            keyed.objective_counts_early(tables.objectives, kinds),
-            keyed.gold_window(tables.gold_advantage),
-            keyed.xp_window(tables.xp_advantage),
-            keyed.participant_totals(tables.participants),
-        ],
-        OUTCOME_DEFAULTS,
-        _outcome_derived(),
-    )
-    return table.select(KEY, OUTCOME_LABEL, *OUTCOME_FEATURES_COMPACT)
+    base = outcome_base(tables.matches if label_rows is None else label_rows, null_label)
+    return _table(OUTCOME, base, tables, kinds, compact=True).select(KEY, OUTCOME_LABEL, *OUTCOME_FEATURES_COMPACT)
 
 
 def duration_base(matches: DataFrame) -> DataFrame:
     """One row per match of plausible length."""
-    rows = matches.select(KEY, DURATION_LABEL, "league_id", "score_a", "score_b", "first_claim_time")
+    rows = matches.select(KEY, DURATION_LABEL, *DURATION.base)
     return keyed.dedupe_rows(valid_duration(rows))
 
 
@@ -192,46 +154,18 @@ def valid_duration(matches: DataFrame) -> DataFrame:
 
 def duration_table(tables: ContestTables, kinds: ObjectiveKinds = ObjectiveKinds()) -> DataFrame:
     """All figures known to the duration model."""
-    return feature_table(
-        duration_base(tables.matches),
-        [
-            keyed.pick_profile(tables.selections).drop("side_a_entities", "side_b_entities"),
-            keyed.draft_stats(tables.draft_turns).select(KEY, "avg_draft_time"),
-            keyed.objective_counts_all(tables.objectives, kinds),
-            keyed.clash_stats_all(tables.clashes),
-            keyed.gold_swing(tables.gold_advantage),
-            keyed.participant_averages(tables.participants),
-        ],
-        DURATION_DEFAULTS,
-        _duration_derived(),
-    )
+    return _table(DURATION, duration_base(tables.matches), tables, kinds)
 
 
 def duration_table_compact(tables: ContestTables, kinds: ObjectiveKinds = ObjectiveKinds()) -> DataFrame:
     """The smaller duration table: four sources, 21 features."""
-    table = feature_table(
-        duration_base(tables.matches),
-        [
-            keyed.objective_counts_all(tables.objectives, kinds),
-            keyed.clash_stats_all(tables.clashes),
-            keyed.gold_swing(tables.gold_advantage),
-            keyed.participant_averages(tables.participants),
-        ],
-        DURATION_DEFAULTS,
-        _duration_derived(),
-    )
+    table = _table(DURATION, duration_base(tables.matches), tables, kinds, compact=True)
     return table.select(KEY, DURATION_LABEL, *DURATION_FEATURES_COMPACT)
 
 
-def _outcome_derived() -> dict[str, Column]:
-    return {"kill_death_ratio": E.guarded_ratio(F.col("total_kills"), F.col("total_deaths"))}
-
-
-def _duration_derived() -> dict[str, Column]:
-    return {
-        "score_difference": F.abs(F.col("score_a") - F.col("score_b")),
-        "total_score": F.col("score_a") + F.col("score_b"),
-    }
+def _table(task: Task, base: DataFrame, tables: ContestTables, kinds: ObjectiveKinds, compact: bool = False) -> DataFrame:
+    derived = {d.name: d.value() for d in task.derived}
+    return feature_table(base, task.sides(tables, kinds, compact), task.defaults(), derived)
 
 
 def _columns(*frames: DataFrame) -> set[str]:

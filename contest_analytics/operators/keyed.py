@@ -6,8 +6,9 @@ that holds a large share of the rows arrives as one row per task.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass
+from enum import IntEnum
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,16 @@ class ObjectiveKinds:
     barracks: str = "%barracks%"
 
 
+def is_early(seconds: str, until: int = EARLY_SECONDS) -> Column:
+    """Whether a time in seconds lies in the early game."""
+    return F.col(seconds) <= until
+
+
+def in_window(minutes: tuple[int, int] = ADVANTAGE_MINUTES) -> Column:
+    """Whether a minute lies in the advantage window."""
+    return F.col("minute_no").between(*minutes)
+
+
 def key_stats(df: DataFrame, stats: Mapping[str, Column], where: Column | None = None, key: str = KEY) -> DataFrame:
     """Named aggregates per key over the rows that pass ``where``."""
     rows = df if where is None else df.where(where)
@@ -49,6 +60,183 @@ def dedupe_rows(df: DataFrame, key: str = KEY) -> DataFrame:
     return kept.select(key, "kept.*")
 
 
+class Level(IntEnum):
+    """How far a figure goes: into the feature table, the full model, the compact model too."""
+
+    TABLE = 1
+    FULL = 2
+    COMPACT = 3
+
+
+@dataclass(frozen=True)
+class Figure:
+    """One figure of a match: its aggregate, what an absent one counts as, and its use by task.
+
+    A task that is not named does not have the figure in its table.
+    """
+
+    name: str
+    value: Callable[..., Column]
+    absent: float = 0
+    outcome: Level | None = None
+    duration: Level | None = None
+
+    def level(self, task: str) -> Level | None:
+        return getattr(self, task)
+
+
+@dataclass(frozen=True)
+class Source:
+    """A detail table and all that is made of it, as one aggregate per match.
+
+    ``rows`` says which rows count; ``prepare`` comes before the aggregate.
+    """
+
+    figures: tuple[Figure, ...]
+    rows: Callable[..., Column] | None = None
+    prepare: Callable[[DataFrame], DataFrame] | None = None
+
+    def reduce(self, df: DataFrame, *options, names: Collection[str] | None = None, rows: Column | None = None) -> DataFrame:
+        """All figures, or those named; ``options`` go to the aggregates."""
+        wanted = [f for f in self.figures if names is None or f.name in names]
+        kept = rows if rows is not None else self.rows() if self.rows else None
+        prepared = df if self.prepare is None else self.prepare(df)
+        return key_stats(prepared, {f.name: f.value(*options) for f in wanted}, where=kept)
+
+    def of(self, task: str) -> list[str]:
+        return [f.name for f in self.figures if f.level(task)]
+
+
+def _per_entity(selections: DataFrame) -> DataFrame:
+    """Picks of both sides per (match, entity).
+
+    Grouping by entity first makes distinct entities countable as rows and spreads a hot match
+    over its entities.
+    """
+    return selections.where(F.col("is_pick") == 1).groupBy(KEY, "entity_id").agg(
+        E.count_where(F.col("side") == 0).alias("rows_a"), E.count_where(F.col("side") == 1).alias("rows_b")
+    )
+
+
+def _picks(rows: str) -> Column:
+    """Picks of a side; null, not 0, for a side without one, so that a default can fill it."""
+    n = F.col(rows)
+    return F.sum(F.when(n > 0, F.when(F.col("entity_id").isNotNull(), n).otherwise(0)))
+
+
+def _entities(rows: str) -> Column:
+    return F.sum(F.when(F.col(rows) > 0, F.col("entity_id").isNotNull().cast("int")))
+
+
+def _kind_count(pattern: Callable[[ObjectiveKinds], str], folds: bool = True) -> Callable[..., Column]:
+    """Objectives whose kind fits a pattern; ``folds``: case may be ignored on request."""
+
+    def count(kinds: ObjectiveKinds, ignore_case: bool = False, count_unknown: bool = False) -> Column:
+        return E.count_where(E.matches_pattern(F.col("kind"), pattern(kinds), ignore_case and folds))
+
+    return count
+
+
+def _any_kind(kinds: ObjectiveKinds, ignore_case: bool = False, count_unknown: bool = False) -> Column:
+    return F.count(F.lit(1) if count_unknown else F.col("kind"))
+
+
+# Every source once: its figures with aggregate, default and use. The defaults, and
+# which figures the full and the compact models take.
+OBJECTIVES_EARLY = Source(
+    (
+        Figure("first_claim_count", lambda kinds, *_: E.count_where(F.col("kind") == kinds.first_claim), outcome=Level.COMPACT),
+        Figure("early_towers", _kind_count(lambda kinds: kinds.tower), outcome=Level.COMPACT),
+        Figure("early_couriers", _kind_count(lambda kinds: kinds.courier, folds=False), outcome=Level.COMPACT),
+        Figure("early_objectives", _any_kind, outcome=Level.COMPACT),
+    ),
+    rows=lambda: is_early("time_s"),
+)
+OBJECTIVES_ALL = Source(
+    (
+        Figure("total_objectives", lambda *_: F.count(F.lit(1)), duration=Level.COMPACT),
+        Figure("total_towers", _kind_count(lambda kinds: kinds.tower), duration=Level.COMPACT),
+        Figure("total_barracks", _kind_count(lambda kinds: kinds.barracks), duration=Level.COMPACT),
+    )
+)
+GOLD_EARLY = Source(
+    (
+        Figure("avg_gold_window", lambda: F.avg("gold"), outcome=Level.COMPACT),
+        Figure("max_gold_window", lambda: F.max("gold"), outcome=Level.COMPACT),
+        Figure("min_gold_window", lambda: F.min("gold"), outcome=Level.COMPACT),
+        Figure("gold_volatility", lambda: F.stddev_samp("gold"), outcome=Level.FULL),
+    ),
+    rows=lambda: in_window(),
+)
+XP_EARLY = Source(
+    (
+        Figure("avg_xp_window", lambda: F.avg("xp"), outcome=Level.COMPACT),
+        Figure("max_xp_window", lambda: F.max("xp"), outcome=Level.COMPACT),
+    ),
+    rows=lambda: in_window(),
+)
+GOLD_ALL = Source(
+    (
+        Figure("max_gold_lead", lambda: F.max("gold"), duration=Level.COMPACT),
+        Figure("min_gold_lead", lambda: F.min("gold"), duration=Level.COMPACT),
+        Figure("gold_swing_std", lambda: F.stddev_samp("gold"), duration=Level.FULL),
+    )
+)
+PICKS = Source(
+    (
+        Figure("side_a_picks", lambda: _picks("rows_a"), 5, outcome=Level.FULL, duration=Level.FULL),
+        Figure("side_a_entities", lambda: _entities("rows_a"), 5, outcome=Level.TABLE),
+        Figure("side_b_picks", lambda: _picks("rows_b"), 5, outcome=Level.FULL, duration=Level.FULL),
+        Figure("side_b_entities", lambda: _entities("rows_b"), 5, outcome=Level.TABLE),
+        Figure("unique_entities", lambda: F.count("entity_id"), 10, duration=Level.FULL),
+    ),
+    prepare=_per_entity,
+)
+PLAYERS_TOTAL = Source(
+    (
+        Figure("first_claim_total", lambda: F.sum(F.when(F.col("first_claim") > 0, 1).otherwise(0)), outcome=Level.COMPACT),
+        Figure("avg_gold_rate_all", lambda: F.avg("gold_rate"), 400, outcome=Level.COMPACT),
+        Figure("avg_xp_rate_all", lambda: F.avg("xp_rate"), 500, outcome=Level.COMPACT),
+        Figure("max_damage", lambda: F.max("damage"), outcome=Level.COMPACT),
+        Figure("total_kills", lambda: F.sum("kills"), outcome=Level.COMPACT),
+        Figure("total_deaths", lambda: F.sum("deaths"), outcome=Level.COMPACT),
+        Figure("total_assists", lambda: F.sum("assists"), outcome=Level.COMPACT),
+    )
+)
+PLAYERS_AVERAGE = Source(
+    (
+        Figure("avg_kills", lambda: F.avg("kills"), duration=Level.COMPACT),
+        Figure("avg_deaths", lambda: F.avg("deaths"), duration=Level.COMPACT),
+        Figure("avg_assists", lambda: F.avg("assists"), duration=Level.COMPACT),
+        Figure("avg_gold_rate", lambda: F.avg("gold_rate"), 400, duration=Level.COMPACT),
+        Figure("avg_xp_rate", lambda: F.avg("xp_rate"), 500, duration=Level.COMPACT),
+        Figure("avg_damage", lambda: F.avg("damage"), duration=Level.COMPACT),
+        Figure("total_tower_damage", lambda: F.sum("tower_damage"), duration=Level.COMPACT),
+    )
+)
+DRAFT_TIMES = Source(
+    (
+        Figure("avg_draft_time", lambda: F.avg("time_taken"), 30, outcome=Level.FULL, duration=Level.FULL),
+        Figure("max_draft_time", lambda: F.max("time_taken"), 30, outcome=Level.FULL),
+        Figure("total_draft_time", lambda: F.sum("time_taken"), 300, outcome=Level.FULL),
+    )
+)
+CLASHES_EARLY = Source(
+    (
+        Figure("early_clashes", lambda: F.count(F.lit(1)), outcome=Level.FULL),
+        Figure("avg_clash_deaths", lambda: F.avg("deaths"), outcome=Level.FULL),
+    ),
+    rows=lambda: is_early("start_s"),
+)
+CLASHES_ALL = Source(
+    (
+        Figure("total_clashes", lambda: F.count(F.lit(1)), duration=Level.COMPACT),
+        Figure("avg_deaths_per_clash", lambda: F.avg("deaths"), duration=Level.COMPACT),
+        Figure("total_clash_deaths", lambda: F.sum("deaths"), duration=Level.COMPACT),
+    )
+)
+
+
 def objective_counts_early(
     objectives: DataFrame,
     kinds: ObjectiveKinds = ObjectiveKinds(),
@@ -57,84 +245,30 @@ def objective_counts_early(
     count_unknown: bool = False,
 ) -> DataFrame:
     """Objectives of the early game; those of unknown kind count on request only."""
-    kind = F.col("kind")
-    stats = {
-        "first_claim_count": E.count_where(kind == kinds.first_claim),
-        "early_towers": E.count_where(E.matches_pattern(kind, kinds.tower, ignore_case)),
-        "early_couriers": E.count_where(E.matches_pattern(kind, kinds.courier)),
-        "early_objectives": F.count(F.lit(1) if count_unknown else kind),
-    }
-    return key_stats(objectives, stats, where=F.col("time_s") <= until)
+    return OBJECTIVES_EARLY.reduce(objectives, kinds, ignore_case, count_unknown, rows=is_early("time_s", until))
 
 
 def objective_counts_all(
     objectives: DataFrame, kinds: ObjectiveKinds = ObjectiveKinds(), ignore_case: bool = False
 ) -> DataFrame:
-    kind = F.col("kind")
-    stats = {
-        "total_objectives": F.count(F.lit(1)),
-        "total_towers": E.count_where(E.matches_pattern(kind, kinds.tower, ignore_case)),
-        "total_barracks": E.count_where(E.matches_pattern(kind, kinds.barracks, ignore_case)),
-    }
-    return key_stats(objectives, stats)
+    return OBJECTIVES_ALL.reduce(objectives, kinds, ignore_case)
 
 
 def gold_window(advantage: DataFrame, minutes: tuple[int, int] = ADVANTAGE_MINUTES) -> DataFrame:
-    stats = {
-        "avg_gold_window": F.avg("gold"),
-        "max_gold_window": F.max("gold"),
-        "min_gold_window": F.min("gold"),
-        "gold_volatility": F.stddev_samp("gold"),
-    }
-    return key_stats(advantage, stats, where=F.col("minute_no").between(*minutes))
+    return GOLD_EARLY.reduce(advantage, rows=in_window(minutes))
 
 
 def xp_window(advantage: DataFrame, minutes: tuple[int, int] = ADVANTAGE_MINUTES) -> DataFrame:
-    stats = {"avg_xp_window": F.avg("xp"), "max_xp_window": F.max("xp")}
-    return key_stats(advantage, stats, where=F.col("minute_no").between(*minutes))
+    return XP_EARLY.reduce(advantage, rows=in_window(minutes))
 
 
 def gold_swing(advantage: DataFrame) -> DataFrame:
-    stats = {
-        "max_gold_lead": F.max("gold"),
-        "min_gold_lead": F.min("gold"),
-        "gold_swing_std": F.stddev_samp("gold"),
-    }
-    return key_stats(advantage, stats)
+    return GOLD_ALL.reduce(advantage)
 
 
 def pick_profile(selections: DataFrame) -> DataFrame:
-    """Picks and distinct entities of both sides, and distinct entities of the match.
-
-    One scan instead of one per figure. Grouping by (match, entity) first makes distinct
-    entities countable as rows and spreads a hot match over its entities. A match without a
-    pick on a side gets null there, not 0, so that a default can still fill it.
-    """
-    picks = selections.where(F.col("is_pick") == 1)
-    entity = F.col("entity_id")
-    per_entity = picks.groupBy(KEY, "entity_id").agg(
-        E.count_where(F.col("side") == 0).alias("rows_a"),
-        E.count_where(F.col("side") == 1).alias("rows_b"),
-    )
-
-    def figures(rows: Column) -> tuple[Column, Column]:
-        known = entity.isNotNull()
-        n_picks = F.sum(F.when(rows > 0, F.when(known, rows).otherwise(0)))
-        n_entities = F.sum(F.when(rows > 0, known.cast("int")))
-        return n_picks, n_entities
-
-    picks_a, entities_a = figures(F.col("rows_a"))
-    picks_b, entities_b = figures(F.col("rows_b"))
-    return key_stats(
-        per_entity,
-        {
-            "side_a_picks": picks_a,
-            "side_a_entities": entities_a,
-            "side_b_picks": picks_b,
-            "side_b_entities": entities_b,
-            "unique_entities": F.count(entity),
-        },
-    )
+    """Picks and distinct entities of both sides and of the match, in one scan."""
+    return PICKS.reduce(selections)
 
 
 def side_pick_counts(selections: DataFrame) -> DataFrame:
@@ -142,64 +276,24 @@ def side_pick_counts(selections: DataFrame) -> DataFrame:
 
 
 def unique_entities(selections: DataFrame) -> DataFrame:
-    return key_stats(
-        selections, {"unique_entities": F.count_distinct("entity_id")}, where=F.col("is_pick") == 1
-    )
+    return PICKS.reduce(selections, names=["unique_entities"])
 
 
 def participant_totals(participants: DataFrame) -> DataFrame:
-    claimed = F.when(F.col("first_claim") > 0, 1).otherwise(0)
-    return key_stats(
-        participants,
-        {
-            "first_claim_total": F.sum(claimed),
-            "avg_gold_rate_all": F.avg("gold_rate"),
-            "avg_xp_rate_all": F.avg("xp_rate"),
-            "max_damage": F.max("damage"),
-            "total_kills": F.sum("kills"),
-            "total_deaths": F.sum("deaths"),
-            "total_assists": F.sum("assists"),
-        },
-    )
+    return PLAYERS_TOTAL.reduce(participants)
 
 
 def participant_averages(participants: DataFrame) -> DataFrame:
-    return key_stats(
-        participants,
-        {
-            "avg_kills": F.avg("kills"),
-            "avg_deaths": F.avg("deaths"),
-            "avg_assists": F.avg("assists"),
-            "avg_gold_rate": F.avg("gold_rate"),
-            "avg_xp_rate": F.avg("xp_rate"),
-            "avg_damage": F.avg("damage"),
-            "total_tower_damage": F.sum("tower_damage"),
-        },
-    )
+    return PLAYERS_AVERAGE.reduce(participants)
 
 
 def draft_stats(draft_turns: DataFrame) -> DataFrame:
-    return key_stats(
-        draft_turns,
-        {
-            "avg_draft_time": F.avg("time_taken"),
-            "max_draft_time": F.max("time_taken"),
-            "total_draft_time": F.sum("time_taken"),
-        },
-    )
+    return DRAFT_TIMES.reduce(draft_turns)
 
 
 def clash_stats_early(clashes: DataFrame, until: int = EARLY_SECONDS) -> DataFrame:
-    stats = {"early_clashes": F.count(F.lit(1)), "avg_clash_deaths": F.avg("deaths")}
-    return key_stats(clashes, stats, where=F.col("start_s") <= until)
+    return CLASHES_EARLY.reduce(clashes, rows=is_early("start_s", until))
 
 
 def clash_stats_all(clashes: DataFrame) -> DataFrame:
-    return key_stats(
-        clashes,
-        {
-            "total_clashes": F.count(F.lit(1)),
-            "avg_deaths_per_clash": F.avg("deaths"),
-            "total_clash_deaths": F.sum("deaths"),
-        },
-    )
+    return CLASHES_ALL.reduce(clashes)

@@ -49,9 +49,10 @@ def in_train(key: str, share: float = TRAIN_SHARE) -> Column:
 
     Decided by a hash of the key, so it stays the same for any partitioning, retry or run.
     """
-    limit = f"{int(share * 2**32):08x}"
+    if not 0 <= share <= 1:
+        raise ValueError("a share is from 0 to 1")
     digest = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
-    return F.substring(digest, 1, 8) < limit
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") < F.lit(int(share * 2**32))
 
 
 def hash_split(df: DataFrame, key: str, share: float = TRAIN_SHARE) -> tuple[DataFrame, DataFrame]:
@@ -139,8 +140,8 @@ def regressor_metrics(predictions: DataFrame, label: str, model: str) -> DataFra
     )
 
 
-def feature_importance(model: Model, columns: Sequence[str], k: int | None = 10) -> DataFrame:
-    """Features by importance; the frame has one row per feature."""
+def feature_importance(model: Model, columns: Sequence[str], k: int | None = None) -> DataFrame:
+    """Features by importance, all or the ``k`` first; the frame has one row per feature."""
     spark = SparkSession.getActiveSession()
     rows = list(zip(columns, map(float, model.featureImportances.toArray())))
     weights = literal_table(spark, rows, {"feature": "string", "importance": "double"})

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contest_analytics.functions import expressions as E
@@ -26,12 +26,9 @@ def rate_trend(
 
 def rate_counts(flag: str = "is_pick") -> list[Column]:
     """Aggregates behind the rates; they can be added up over further keys."""
-    banned = E.complement(F.col(flag))
-    return [
-        F.sum(F.when(F.col(flag) == 1, 1).otherwise(0)).alias("picks"),
-        F.sum(F.when(banned == 1, 1).otherwise(0)).alias("bans"),
-        F.count(F.lit(1)).alias("total_appearances"),
-    ]
+    chosen, known = E.count_where(F.col(flag) == 1), F.count(flag)
+    # The names of the counts. What is known and not a pick is a ban.
+    return [chosen.alias("picks"), (known - chosen).alias("bans"), F.count(F.lit(1)).alias("total_appearances")]
 
 
 def with_rates(counts: DataFrame) -> DataFrame:
@@ -70,7 +67,7 @@ def top_series(
     computing it is expensive.
     """
     leaders = top_entities(rate_volatility(trend, entity), k, by, entity)
-    return keep_members(trend, leaders, entity, size_bound=k)
+    return keep_members(trend, leaders, entity)
 
 
 def period_stats(
@@ -96,23 +93,33 @@ def period_stats(
 
 
 def moments(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
-    """Count, sum, sum of squares and extremes: partial results that can be added up later."""
+    """Count, sum, squared deviations from the mean and extremes: partial results that can be merged."""
     value = F.col(measure)
     return df.groupBy(*keys).agg(
         F.count(value).alias("n"),
         F.sum(value).alias("total"),
-        F.sum(value.cast("double") * value).alias("total_sq"),
+        (F.var_pop(value) * F.count(value)).alias("squared_dev"),
         F.min(value).alias("lowest"),
         F.max(value).alias("highest"),
     )
 
 
 def merge_moments(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add up moments of disjoint parts, e.g. daily ones to a month."""
-    return parts.groupBy(*keys).agg(
-        F.sum("n").alias("n"),
+    """Merge moments of disjoint parts, e.g. daily ones to a month.
+
+    The deviations of the parts' means are taken from a value close to the common mean, so
+    nothing large cancels out.
+    """
+    mean = F.col("total") / F.when(F.col("n") > 0, F.col("n"))
+    near = F.avg(mean).over(Window.partitionBy(*keys))
+    off = F.coalesce(mean - near, F.lit(0.0))
+    rows = parts.withColumns({"off": F.col("n") * off, "off_sq": F.col("n") * off * off})
+    n = F.sum("n")
+    between = F.sum("off_sq") - F.coalesce(F.sum("off") * F.sum("off") / F.when(n > 0, n), F.lit(0.0))
+    return rows.groupBy(*keys).agg(
+        n.alias("n"),
         F.sum("total").alias("total"),
-        F.sum("total_sq").alias("total_sq"),
+        (F.sum("squared_dev") + between).alias("squared_dev"),
         F.min("lowest").alias("lowest"),
         F.max("highest").alias("highest"),
     )
@@ -122,7 +129,7 @@ def finish_moments(parts: DataFrame) -> DataFrame:
     """Mean and population spread from moments; null for groups without a value."""
     n = F.when(F.col("n") > 0, F.col("n"))
     mean = F.col("total") / n
-    variance = F.greatest(F.col("total_sq") / n - mean * mean, F.lit(0.0))
+    variance = F.col("squared_dev") / n
     return parts.withColumns(
         {"mean": mean, "std_pop": F.when(n.isNotNull(), F.sqrt(variance))}
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from contest_analytics.operators import trends, winrates
-from contest_analytics.operators.enrich import enrich
+from contest_analytics.operators.enrich import enrich, keep_members
 from contest_analytics.session import cut_lineage
 from contest_analytics.sources import sinks
 from contest_analytics.sources.layouts import ContestTables, load_match_files
@@ -26,30 +26,49 @@ def entity_trends(tables: ContestTables, how: str = "left", drop_null_period: bo
     return trends.rate_trend(enriched_selections(tables, how), drop_null_period=drop_null_period)
 
 
-def reports(tables: ContestTables, min_count: int = 50) -> dict[str, dict[str, DataFrame]]:
+def reports(
+    tables: ContestTables,
+    min_count: int = 50,
+    how: str = "left",
+    drop_null_period: bool = False,
+    null_bucket: str | None = None,
+) -> dict[str, dict[str, DataFrame]]:
     """The four reports by category and name; the rankings follow from the entity trends.
 
+    ``how="inner"`` leaves out draft rows without a match, ``drop_null_period`` those without a
+    period, ``null_bucket="drop"`` matches of unknown length.
+
     Both entity reports come from one staged cube, so the join behind them runs once.
     """
-    cube = cut_lineage(winrates.draft_cube(tables.selections, tables.matches))
+    selections = tables.selections
+    if how == "inner":
+        selections = keep_members(selections, tables.matches.where("match_id IS NOT NULL"), "match_id")
+    bucket = {} if null_bucket is None else {"null_bucket": null_bucket}
+    cube = cut_lineage(winrates.draft_cube(selections, tables.matches, **bucket))
+    of_known = cube.dropna(subset=["yr"]) if drop_null_period else cube
     return {
         "entity": {
-            "trends": winrates.trend_of_cube(cube),
+            "trends": winrates.trend_of_cube(of_known),
             "by_phase": winrates.phases_of_cube(cube, min_count),
         },
         "duration": {
-            "trends": trends.period_stats(tables.matches),
-            "buckets": winrates.bucket_win_rate(tables.matches).orderBy("bucket_no"),
+            "trends": trends.period_stats(tables.matches, drop_null_period=drop_null_period),
+            "buckets": winrates.bucket_win_rate(tables.matches, **bucket).orderBy("bucket_no"),
         },
     }
 
 
-def run(spark: SparkSession, folder: str, output: str, fmt: str = "csv", mode: str = "errorifexists") -> dict[str, int]:
-    """Load a folder of match files and write every report; returns their record counts."""
-    named = reports(load_match_files(spark, folder, tuple(NEEDED), only=NEEDED))
+def run(
+    spark: SparkSession, folder: str, output: str, fmt: str = "csv", mode: str = "errorifexists", **options
+) -> dict[str, int]:
+    """Load a folder of match files and write every report; returns their record counts.
+
+    ``options`` are those of ``reports``.
+    """
+    named = reports(load_match_files(spark, folder, tuple(NEEDED), only=NEEDED), **options)
     counts = sinks.save_results(named, output, fmt, mode)
-    # The rankings read the written trends.
-    trend = sinks.read_result(spark, f"{output}/entity_trends", named["entity"]["trends"].schema, fmt)
+    # The rankings follow from the staged cube, so that rows of earlier runs do not count.
+    trend = named["entity"]["trends"]
     ranking = {
         "top_volatile": trends.top_entities(trends.rate_volatility(trend)),
         "top_series": trends.top_series(trend),

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.ml import Estimator
 from pyspark.ml.functions import vector_to_array
@@ -27,11 +28,14 @@ KINDS = ObjectiveKinds(first_claim="PROMO", tower="%AL%", courier="%ECON%", barr
 def _dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Match keys with damaged text columns, for the cleaning steps."""
     kind = F.col(KEY) % 7
+    seconds = F.col("duration").cast("string")
     stamp = F.date_format("start_time", "yyyy-MM-dd HH:mm:ss")
     return standins.matches(spark, sf_dir).select(
         KEY,
-        F.when(kind == 0, "n/a").when(kind == 2, "1.0").when(kind > 2, F.col("duration").cast("string"))
-        .alias("duration_text"),
+        F.when(kind == 0, "n/a").when(kind == 2, F.concat(seconds, F.lit(".0"))).when(kind == 3, "99999999999")
+        .when(kind == 4, "x").when(kind > 4, seconds).alias("duration_text"),
+        F.concat(F.lit("90000000000000"), F.lpad(F.col(KEY).cast("string"), 5, "0"), F.when(kind == 2, ".0").otherwise(""))
+        .alias("long_key_text"),
         F.when(kind == 0, "true").when(kind == 1, " YES ").when(kind == 2, "0").when(kind == 3, "x")
         .when(kind == 5, "F").when(kind == 6, "True").alias("flag_text"),
         F.when(kind == 0, "zz").when(kind > 1, stamp).alias("start_text"),
@@ -59,7 +63,9 @@ _TYPES = {KEY: "bigint", "duration": "int", "side_a_win": "boolean", "score_a":
 
 
 def csv_scan_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _csv_copy(spark, standins.matches(spark, sf_dir))
+    rows = standins.matches(spark, sf_dir)
+    written = F.concat(F.col("duration").cast("string"), F.when(F.col(KEY) % 3 == 0, ".0").otherwise(""))
+    path = _csv_copy(spark, rows.withColumn("duration", written))
     return tables.scan_csv_typed(spark, path, _TYPES)
 
 
@@ -70,8 +76,10 @@ def csv_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def coerce_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("duration_text")
-    raw = _dirty(spark, sf_dir).select(KEY, text.alias("duration_s"), text.alias("duration_x"))
-    return cleaning.coerce(raw, {"duration_s": "int", "duration_x": "double"})
+    raw = _dirty(spark, sf_dir).select(
+        KEY, text.alias("duration_s"), text.alias("duration_x"), F.col("long_key_text").alias("long_key")
+    )
+    return cleaning.coerce(raw, {"duration_s": "int", "duration_x": "double", "long_key": "bigint"})
 
 
 def time_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,7 +96,7 @@ def bool_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
         KEY,
         cleaning.bool_normalize("flag_text").alias("wide"),
         cleaning.bool_normalize(
-            "flag_text", ("1", "true", "True"), ("0", "false", "False"), fold=False
+            "flag_text", cleaning.NARROW_TRUE, cleaning.NARROW_FALSE, fold=False
         ).alias("narrow"),
         cleaning.flag_normalize("flag_text").alias("flag"),
     )
@@ -120,7 +128,7 @@ def result_sink_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def single_file_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "report")
     report = bucket_win_rate(spark, sf_dir)
-    sinks.write_single_file(report, path)
+    sinks.write_summary(report, path)
     return spark.read.schema(report.schema).json(path)
 
 
@@ -143,11 +151,11 @@ def side_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def early_window_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return standins.clashes(spark, sf_dir).where(F.col("start_s") <= keyed.EARLY_SECONDS)
+    return standins.clashes(spark, sf_dir).where(keyed.is_early("start_s"))
 
 
 def minute_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return standins.advantage(spark, sf_dir).where(F.col("minute_no").between(*keyed.ADVANTAGE_MINUTES))
+    return standins.advantage(spark, sf_dir).where(keyed.in_window())
 
 
 def valid_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,7 +314,14 @@ def top_by_pick_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topk_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trend = cut_lineage(rate_trend(spark, sf_dir))
+    """The series of the leaders, one of which has no id."""
+    loaded = standins.load(spark, sf_dir)
+    leader = trends.top_entities(trends.rate_volatility(analytics.entity_trends(loaded)), 1).select(
+        F.col("entity_id").alias("leader")
+    )
+    rows = loaded.selections.join(leader, F.col("entity_id") == F.col("leader"), "left")
+    unnamed = rows.withColumn("entity_id", F.when(F.col("leader").isNull(), F.col("entity_id"))).drop("leader")
+    trend = analytics.entity_trends(replace(loaded, selections=unnamed))
     return trends.top_series(trend).select("yr", "entity_id", "pick_rate", "ban_rate")
 
 
@@ -371,15 +386,14 @@ def bucket_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def moments(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = trends.moments(standins.matches(spark, sf_dir), ["yr", "mo"], "duration")
-    finished = trends.finish_moments(parts)
-    return finished.withColumn("std_pop", F.round("std_pop", 4))
+    return trends.finish_moments(parts).withColumn("std_pop", F.round("std_pop", 4)).drop("squared_dev")
 
 
 def moments_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Yearly moments added up from monthly ones."""
     parts = trends.moments(standins.matches(spark, sf_dir), ["yr", "mo"], "duration")
     finished = trends.finish_moments(trends.merge_moments(parts, ["yr"]))
-    return finished.withColumn("std_pop", F.round("std_pop", 4))
+    return finished.withColumn("std_pop", F.round("std_pop", 4)).drop("squared_dev")
 
 
 # --- per-match statistics -----------------------------------------------------------------
@@ -476,14 +490,56 @@ def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return standins.matches(spark, sf_dir).select(KEY, part.alias("part"))
 
 
+# Labels that follow from the features, so that a fit has something to find in the test tables.
+KILLS_TO_WIN, GUESS_MARGIN = 100, 0.8
+
+
+def _outcome_signal(table: DataFrame) -> DataFrame:
+    won = F.col("total_kills") > KILLS_TO_WIN
+    return table.withColumn(features.OUTCOME_LABEL, won.cast("int"))
+
+
+def _duration_signal(table: DataFrame) -> DataFrame:
+    mixed = F.col("score_a") * 40 + F.col("score_b") * 20 + 600
+    return table.withColumn(features.DURATION_LABEL, mixed.cast("int"))
+
+
+def _report(table: DataFrame, quality: DataFrame, error: Column, guess: Column) -> DataFrame:
+    """Rows trained and tested, and whether the error is below ``GUESS_MARGIN`` of a constant's."""
+    chosen = learning.in_train(KEY)
+    parts = table.agg(
+        E.count_where(chosen).alias("trained"),
+        E.count_where(~chosen).alias("tested"),
+        guess.alias("guess_error"),
+    )
+    row = parts.first()
+    better = error < row.guess_error * GUESS_MARGIN
+    return quality.select(
+        "model", F.lit(row.trained).cast("bigint").alias("trained"), F.lit(row.tested).cast("bigint").alias("tested"), better.alias("beats_guess")
+    )
+
+
+def _outcome_report(table: DataFrame, columns: Sequence[str], estimators: Mapping[str, Callable[[], Estimator]]) -> DataFrame:
+    table = cut_lineage(_outcome_signal(table).select(KEY, features.OUTCOME_LABEL, *columns))
+    quality, _ = models.train_classifiers(table, columns, features.OUTCOME_LABEL, estimators)
+    share = F.avg(F.when(~learning.in_train(KEY), F.col(features.OUTCOME_LABEL)))
+    return _report(table, quality, 1 - F.col("accuracy"), F.least(share, 1 - share))
+
+
+def _duration_report(table: DataFrame, columns: Sequence[str], estimators: Mapping[str, Callable[[], Estimator]]) -> DataFrame:
+    table = cut_lineage(_duration_signal(table).select(KEY, features.DURATION_LABEL, *columns))
+    quality, _ = models.train_regressors(table, columns, features.DURATION_LABEL, estimators)
+    spread = F.stddev_pop(F.when(~learning.in_train(KEY), F.col(features.DURATION_LABEL)))
+    return _report(table, quality, F.col("rmse"), spread)
+
+
 def _train(one: str, estimators: Mapping[str, Callable[[], Estimator]], task: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        chosen = {one: estimators[one]}
+        chosen, loaded = {one: estimators[one]}, standins.load(spark, sf_dir)
         if task == "outcome":
-            table, columns = _outcome(spark, sf_dir), features.OUTCOME_FEATURES
-            return models.train_classifiers(table, columns, features.OUTCOME_LABEL, chosen)[0]
-        table, columns = _duration(spark, sf_dir), features.DURATION_FEATURES
-        return models.train_regressors(table, columns, features.DURATION_LABEL, chosen)[0]
+            table = features.outcome_table(loaded, KINDS, null_label="zero")
+            return _outcome_report(table, features.OUTCOME_FEATURES, chosen)
+        return _duration_report(features.duration_table(loaded, KINDS), features.DURATION_FEATURES, chosen)
 
     return query
 
@@ -491,31 +547,49 @@ def _train(one: str, estimators: Mapping[str, Callable[[], Estimator]], task: st
 def train_light_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The compact tables with the light tree parameters, both tasks."""
     loaded = standins.load(spark, sf_dir)
-    outcome, _ = models.train_classifiers(
-        features.outcome_table_compact(loaded, KINDS),
+    outcome = _outcome_report(
+        features.outcome_table_compact(loaded, KINDS, null_label="zero"),
         features.OUTCOME_FEATURES_COMPACT,
-        features.OUTCOME_LABEL,
         learning.LIGHT_CLASSIFIERS,
     )
-    duration, _ = models.train_regressors(
-        features.duration_table_compact(loaded, KINDS),
-        features.DURATION_FEATURES_COMPACT,
-        features.DURATION_LABEL,
-        learning.LIGHT_REGRESSORS,
-    )
-    return outcome.withColumn("task", F.lit("outcome")).unionByName(
-        duration.withColumn("task", F.lit("duration")), allowMissingColumns=True
+    duration = _duration_report(
+        features.duration_table_compact(loaded, KINDS), features.DURATION_FEATURES_COMPACT, learning.LIGHT_REGRESSORS
     )
+    return outcome.withColumn("task", F.lit("outcome")).unionByName(duration.withColumn("task", F.lit("duration")))
 
 
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, ranked = models.train_regressors(
-        _duration(spark, sf_dir),
+    """The leading feature of a forest, and what all importances sum to."""
+    _, weights = models.train_regressors(
+        _duration_signal(_duration(spark, sf_dir)),
         features.DURATION_FEATURES,
         features.DURATION_LABEL,
         {"random_forest": learning.LIGHT_REGRESSORS["random_forest"]},
     )
-    return ranked
+    ranked = F.max_by("feature", F.struct("importance", "feature"))
+    return weights.groupBy("model").agg(
+        F.count("*").alias("n_features"), ranked.alias("leading"), F.round(F.sum("importance"), 6).alias("total")
+    )
+
+
+def outcome_labels_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels from detail rows, an unknown outcome as 0, of every match."""
+    rows = enrich(standins.participants(spark, sf_dir), standins.matches(spark, sf_dir), KEY, ["side_a_win"])
+    return features.outcome_base(rows, null_label="zero")
+
+
+def objective_counts_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patterns in any case, and objectives of unknown kind counted."""
+    lower = replace(KINDS, tower=KINDS.tower.lower())
+    return keyed.objective_counts_early(standins.objectives(spark, sf_dir), lower, ignore_case=True, count_unknown=True)
+
+
+def period_stats_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Population spread, and no group for matches without a period."""
+    known = F.when(F.col(KEY) % 13 != 0, F.col("yr"))
+    rows = standins.matches(spark, sf_dir).withColumn("yr", known)
+    stats = trends.period_stats(rows, drop_null_period=True, population=True)
+    return stats.withColumn("std_dev", F.round("std_dev", 4))
 
 
 def score_test_part(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -600,6 +674,7 @@ def queries() -> dict[str, Query]:
         assemble_features, standardize, hash_split,
         auc_metric, accuracy_metric, regression_metrics, model_leaderboard,
         train_light_profile, feature_importance, score_test_part,
+        outcome_labels_zero, objective_counts_options, period_stats_options,
     ]
     catalog = {query.__name__: query for query in named}
     catalog |= {

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
+from contest_analytics.operators import features
+
 # The canonical tables over the test tables.
 VIEWS = {
     "matches": """
@@ -43,10 +47,10 @@ VIEWS = {
     "clashes": """
         SELECT l_orderkey AS match_id, l_linenumber * 120 AS start_s,
                CAST(floor(l_quantity) AS BIGINT) AS deaths
-        FROM lineitem WHERE l_returnflag = 'A'""",
+        FROM lineitem""",
     "draft_turns": """
         SELECT l_orderkey AS match_id, CAST(floor(l_quantity) AS BIGINT) AS time_taken
-        FROM lineitem WHERE l_linestatus = 'F'""",
+        FROM lineitem""",
 }
 
 
@@ -88,8 +92,10 @@ SOME_UNKNOWN = "SELECT * REPLACE (CASE WHEN match_id % 11 <> 0 THEN duration END
 # Dirty text derived from the match keys, for the cleaning steps.
 DIRTY = """
     SELECT match_id,
-           CASE match_id % 7 WHEN 0 THEN 'n/a' WHEN 1 THEN NULL WHEN 2 THEN '1.0'
-                ELSE CAST(duration AS VARCHAR) END AS duration_text,
+           CASE match_id % 7 WHEN 0 THEN 'n/a' WHEN 1 THEN NULL WHEN 2 THEN CAST(duration AS VARCHAR) || '.0'
+                WHEN 3 THEN '99999999999' WHEN 4 THEN 'x' ELSE CAST(duration AS VARCHAR) END AS duration_text,
+           '90000000000000' || lpad(CAST(match_id AS VARCHAR), 5, '0')
+               || CASE match_id % 7 WHEN 2 THEN '.0' ELSE '' END AS long_key_text,
            CASE match_id % 7 WHEN 0 THEN 'true' WHEN 1 THEN ' YES ' WHEN 2 THEN '0' WHEN 3 THEN 'x'
                 WHEN 4 THEN NULL WHEN 5 THEN 'F' ELSE 'True' END AS flag_text,
            CASE match_id % 7 WHEN 0 THEN 'zz' WHEN 1 THEN NULL
@@ -169,42 +175,27 @@ def _with(views: str, body: str, **steps: str) -> str:
     return f"WITH {', '.join(parts)} {body}"
 
 
-OUTCOME_COLUMNS_COMPACT = f"""
-    match_id, side_a_win,
-    coalesce(first_claim_count, 0) AS first_claim_count, coalesce(early_towers, 0) AS early_towers,
-    coalesce(early_couriers, 0) AS early_couriers, coalesce(early_objectives, 0) AS early_objectives,
-    coalesce(avg_gold_window, 0) AS avg_gold_window, coalesce(max_gold_window, 0) AS max_gold_window,
-    coalesce(min_gold_window, 0) AS min_gold_window, coalesce(avg_xp_window, 0) AS avg_xp_window,
-    coalesce(max_xp_window, 0) AS max_xp_window, coalesce(first_claim_total, 0) AS first_claim_total,
-    coalesce(avg_gold_rate_all, 400) AS avg_gold_rate_all, coalesce(avg_xp_rate_all, 500) AS avg_xp_rate_all,
-    coalesce(max_damage, 0) AS max_damage, coalesce(total_kills, 0) AS total_kills,
-    coalesce(total_deaths, 0) AS total_deaths, coalesce(total_assists, 0) AS total_assists,
-    {RATIO} AS kill_death_ratio"""
-OUTCOME_COLUMNS = f"""{OUTCOME_COLUMNS_COMPACT},
-    coalesce(gold_volatility, 0) AS gold_volatility,
-    coalesce(side_a_picks, 5) AS side_a_picks, coalesce(side_a_entities, 5) AS side_a_entities,
-    coalesce(side_b_picks, 5) AS side_b_picks, coalesce(side_b_entities, 5) AS side_b_entities,
-    coalesce(avg_draft_time, 30) AS avg_draft_time, coalesce(max_draft_time, 30) AS max_draft_time,
-    coalesce(total_draft_time, 300) AS total_draft_time,
-    coalesce(early_clashes, 0) AS early_clashes, coalesce(avg_clash_deaths, 0) AS avg_clash_deaths"""
-DURATION_COLUMNS_COMPACT = """
-    match_id, duration, coalesce(league_id, 0) AS league_id, coalesce(score_a, 0) AS score_a,
-    coalesce(score_b, 0) AS score_b, abs(coalesce(score_a, 0) - coalesce(score_b, 0)) AS score_difference,
-    coalesce(score_a, 0) + coalesce(score_b, 0) AS total_score,
-    coalesce(first_claim_time, 0) AS first_claim_time,
-    coalesce(total_objectives, 0) AS total_objectives, coalesce(total_towers, 0) AS total_towers,
-    coalesce(total_barracks, 0) AS total_barracks, coalesce(total_clashes, 0) AS total_clashes,
-    coalesce(avg_deaths_per_clash, 0) AS avg_deaths_per_clash,
-    coalesce(total_clash_deaths, 0) AS total_clash_deaths,
-    coalesce(max_gold_lead, 0) AS max_gold_lead, coalesce(min_gold_lead, 0) AS min_gold_lead,
-    coalesce(avg_kills, 0) AS avg_kills, coalesce(avg_deaths, 0) AS avg_deaths,
-    coalesce(avg_assists, 0) AS avg_assists, coalesce(avg_gold_rate, 400) AS avg_gold_rate,
-    coalesce(avg_xp_rate, 500) AS avg_xp_rate, coalesce(avg_damage, 0) AS avg_damage,
-    coalesce(total_tower_damage, 0) AS total_tower_damage"""
-DURATION_COLUMNS = f"""{DURATION_COLUMNS_COMPACT},
-    coalesce(side_a_picks, 5) AS side_a_picks, coalesce(side_b_picks, 5) AS side_b_picks,
-    coalesce(unique_entities, 10) AS unique_entities, coalesce(avg_draft_time, 30) AS avg_draft_time,
-    coalesce(gold_swing_std, 0) AS gold_swing_std"""
+DERIVED = {
+    "kill_death_ratio": RATIO,
+    "score_difference": "abs(coalesce(score_a, 0) - coalesce(score_b, 0))",
+    "total_score": "coalesce(score_a, 0) + coalesce(score_b, 0)",
+}
+
+
+def _columns(label: str, names: Sequence[str], defaults: Mapping[str, float]) -> str:
+    """The columns of a feature table, by the declaration of its figures."""
+    values = (DERIVED.get(name) or f"coalesce({name}, {defaults[name]:g})" for name in names)
+    return ", ".join(["match_id", label, *(f"{value} AS {name}" for name, value in zip(names, values))])
+
+
+def _all_columns(label: str, task: features.Task) -> str:
+    return _columns(label, [*task.defaults(), *(d.name for d in task.derived)], task.defaults())
+
+
+OUTCOME_COLUMNS = _all_columns("side_a_win", features.OUTCOME)
+OUTCOME_COLUMNS_COMPACT = _columns("side_a_win", features.OUTCOME_FEATURES_COMPACT, features.OUTCOME_DEFAULTS)
+DURATION_COLUMNS = _all_columns("duration", features.DURATION)
+DURATION_COLUMNS_COMPACT = _columns("duration", features.DURATION_FEATURES_COMPACT, features.DURATION_DEFAULTS)
 
 OUTCOME_STEPS = {
     "base": OUTCOME_BASE,
@@ -256,11 +247,33 @@ def _auc_sql(score: str) -> str:
                            CAST(sum(1 - side_a_win) AS DOUBLE) AS neg FROM scored GROUP BY 1))"""
 
 
+def _trained(model: str, task: str) -> str:
+    """What is certain of a fit: the rows of both parts, and that it finds a label made of its features."""
+    rows = "matches" if task == "outcome" else "matches WHERE duration BETWEEN 600 AND 7200"
+    return f"""SELECT '{model}' AS model, count(*) FILTER ({SPLIT}) AS trained,
+                      count(*) FILTER (NOT ({SPLIT})) AS tested, TRUE AS beats_guess FROM {rows}"""
+
+
 def statements() -> dict[str, str]:
     """SQL by query name."""
     found = _statements()
     # The cube is another way to results that have their SQL already.
+    learned = {
+        "train_logistic": ("logistic_regression", "outcome"),
+        "train_rf_classifier": ("random_forest", "outcome"),
+        "train_gbt_classifier": ("gradient_boosting", "outcome"),
+        "train_linear": ("linear_regression", "duration"),
+        "train_rf_regressor": ("random_forest", "duration"),
+        "train_gbt_regressor": ("gradient_boosting", "duration"),
+    }
+    found |= {name: _with("matches", _trained(model, task)) for name, (model, task) in learned.items()}
+    light = [
+        f"SELECT *, '{task}' AS task FROM ({_trained(model, task)})"
+        for task in ("outcome", "duration")
+        for model in ("random_forest", "gradient_boosting")
+    ]
     return found | {
+        "train_light_profile": _with("matches", " UNION ALL ".join(light)),
         "trend_of_cube": found["rate_trend_unmatched"],
         "phases_of_cube": found["phase_win_rate_all"],
     }
@@ -276,19 +289,10 @@ def _statements() -> dict[str, str]:
         FROM matches GROUP BY yr, mo"""
     moments = """
         SELECT yr, mo, count(duration) AS n, CAST(sum(duration) AS BIGINT) AS total,
-               sum(CAST(duration AS DOUBLE) * duration) AS total_sq, min(duration) AS lowest,
+               min(duration) AS lowest,
                max(duration) AS highest, avg(duration) AS mean, round(stddev_pop(duration), 4) AS std_pop
         FROM matches GROUP BY yr, mo"""
-    outcome_sum = " + ".join(
-        [
-            "first_claim_count", "early_towers", "early_couriers", "early_objectives",
-            "avg_gold_window", "max_gold_window", "min_gold_window", "gold_volatility",
-            "avg_xp_window", "max_xp_window", "side_a_picks", "side_b_picks",
-            "first_claim_total", "avg_gold_rate_all", "avg_xp_rate_all", "max_damage",
-            "total_kills", "total_deaths", "total_assists", "kill_death_ratio",
-            "avg_draft_time", "max_draft_time", "total_draft_time", "early_clashes", "avg_clash_deaths",
-        ]
-    )
+    outcome_sum = " + ".join(features.OUTCOME_FEATURES)
     return {
         "csv_scan_strings": _with(
             "matches",
@@ -303,10 +307,11 @@ def _statements() -> dict[str, str]:
         ),
         "coerce_types": _with(
             "matches",
-            """SELECT match_id, CASE WHEN match_id % 7 > 2 THEN duration END AS duration_s,
-                      CASE WHEN match_id % 7 > 2 THEN CAST(duration AS DOUBLE)
-                           WHEN match_id % 7 = 2 THEN 1.0 END AS duration_x
-               FROM matches""",
+            """SELECT match_id, TRY_CAST(trunc(TRY_CAST(duration_text AS DECIMAL(38, 10))) AS INTEGER) AS duration_s,
+                      TRY_CAST(duration_text AS DOUBLE) AS duration_x,
+                      CAST(trunc(TRY_CAST(long_key_text AS DECIMAL(38, 10))) AS BIGINT) AS long_key
+               FROM dirty""",
+            dirty=DIRTY,
         ),
         "time_parts": _with(
             "matches",
@@ -434,10 +439,16 @@ def _statements() -> dict[str, str]:
         ),
         "topk_series": _with(
             "selections matches",
-            """SELECT yr, entity_id, pick_rate, ban_rate FROM trend
-               WHERE entity_id IN (SELECT entity_id FROM volatility
-                                   ORDER BY pick_rate_volatility DESC NULLS LAST, entity_id LIMIT 5)""",
+            """SELECT yr, entity_id, pick_rate, ban_rate FROM trend2
+               WHERE EXISTS (SELECT 1 FROM leaders WHERE leaders.entity_id IS NOT DISTINCT FROM trend2.entity_id)""",
             **trend_steps,
+            leader="SELECT entity_id FROM volatility ORDER BY pick_rate_volatility DESC NULLS LAST, entity_id LIMIT 1",
+            unnamed="""SELECT * REPLACE (CASE WHEN entity_id <> (SELECT entity_id FROM leader) THEN entity_id END
+                                         AS entity_id) FROM selections""",
+            trend2=TREND.replace("FROM selections", "FROM unnamed").strip(),
+            volatility2=VOLATILITY.replace("FROM trend", "FROM trend2").strip(),
+            leaders="""SELECT entity_id FROM volatility2
+                       ORDER BY pick_rate_volatility DESC NULLS LAST, entity_id NULLS FIRST LIMIT 5""",
         ),
         "rate_trend": _with("selections matches", TREND),
         "rate_trend_matched": _with(
@@ -541,6 +552,22 @@ def _statements() -> dict[str, str]:
                       {' '.join(f'LEFT JOIN s{i} USING (match_id)' for i in range(1, 8))})""",
             **OUTCOME_STEPS,
         ),
+        "feature_importance": """SELECT 'random_forest' AS model, CAST(26 AS BIGINT) AS n_features,
+            'total_score' AS leading, CAST(1 AS DOUBLE) AS total""",
+        "outcome_labels_zero": _with(
+            "participants matches",
+            """SELECT match_id, max(coalesce(CAST(side_a_win AS INTEGER), 0)) AS side_a_win
+               FROM participants LEFT JOIN matches USING (match_id) GROUP BY match_id""",
+        ),
+        "objective_counts_options": _with(
+            "objectives",
+            EARLY_OBJECTIVES.replace("LIKE '%AL%'", "ILIKE '%al%'").replace("count(kind)", "count(*)"),
+        ),
+        "period_stats_options": _with(
+            "matches",
+            period.replace("stddev_samp", "stddev_pop").replace("FROM matches", "FROM known WHERE yr IS NOT NULL"),
+            known="SELECT * REPLACE (CASE WHEN match_id % 13 <> 0 THEN yr END AS yr) FROM matches",
+        ),
         "standardize": _with(
             "matches",
             f"""SELECT match_id, round((duration - duration_m) / duration_s, 6) AS duration,

@@ -169,4 +169,4 @@ def _typed(source: str, kind: str) -> Column:
         return cleaning.bool_normalize(source)
     if kind == "flag01":
         return cleaning.flag_normalize(source)
-    return F.col(source).try_cast(kind)
+    return cleaning.lenient_cast(source, kind)

@@ -5,30 +5,37 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
+from contest_analytics.session import cut_lineage
 from contest_analytics.sources.tables import literal_table
 
-SINGLE_FILE_ROWS = 100_000
-
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> int:
-    """Write one result and return the number of records now at the path.
+    """Write one result and return the number of records written, whatever was there before.
 
-    They are counted in the written files, not by running the query again; columnar formats
-    answer from their footers.
+    The rows are staged first: their number then comes from column footers, also for text formats,
+    and the query behind them runs once.
     """
-    df.write.mode(mode).format(fmt).options(**_options(fmt)).save(path)
-    return read_result(df.sparkSession, path, df.schema, fmt).count()
+    rows = cut_lineage(df)
+    rows.write.mode(mode).format(fmt).options(**_options(fmt)).save(path)
+    return rows.count()
 
 
 def read_result(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
-    """A written result; its known schema saves the inference pass."""
-    return spark.read.schema(schema).format(fmt).options(**_options(fmt)).load(path)
+    """A written result; its known schema saves the inference pass.
+
+    A CSV with a text column is read as records that may span lines, which a file's reader does
+    in one task; results of numbers stay splittable.
+    """
+    options = _options(fmt)
+    if fmt == "csv" and any(isinstance(f.dataType, StringType) for f in schema.fields):
+        options["multiLine"] = "true"
+    return spark.read.schema(schema).format(fmt).options(**options).load(path)
 
 
 def _options(fmt: str) -> dict[str, str]:
-    return {"header": "true"} if fmt == "csv" else {}
+    return {"header": "true", "escape": '"'} if fmt == "csv" else {}
 
 
 def save_results(
@@ -50,22 +57,11 @@ def manifest(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
     return literal_table(spark, list(counts.items()), {"result": "string", "n_records": "bigint"})
 
 
-def write_single_file(
-    df: DataFrame,
-    path: str,
-    fmt: str = "json",
-    mode: str = "errorifexists",
-    max_rows: int = SINGLE_FILE_ROWS,
-) -> None:
-    """Write a small report as one part file; refuses results above ``max_rows``.
+def write_summary(df: DataFrame, path: str, fmt: str = "json", mode: str = "errorifexists") -> None:
+    """Write a global aggregate, or one row for each of a fixed set of groups, as one part file.
 
-    The rows are shuffled to the writing task instead of coalesced, so the work before
-    keeps its parallelism.
+    Only for results that are this small by how they are made; all others go through
+    ``write_table``. The rows are shuffled to the writing task, so the work before keeps its
+    parallelism.
     """
-    kept = df.persist()
-    try:
-        if kept.count() > max_rows:
-            raise ValueError(f"more than {max_rows} rows: write this result with write_table")
-        kept.repartition(1).write.mode(mode).format(fmt).save(path)
-    finally:
-        kept.unpersist()
+    df.repartition(1).write.mode(mode).format(fmt).options(**_options(fmt)).save(path)

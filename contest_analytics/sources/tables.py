@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contest_analytics.functions.cleaning import lenient_cast
+
 
 def scan_csv_strings(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header row and one record per line; every column is text.
@@ -24,7 +26,7 @@ def scan_csv_typed(spark: SparkSession, path: str, types: Mapping[str, str]) ->
     name and cast; the parser then reads those columns only, in one pass.
     """
     raw = scan_csv_strings(spark, path)
-    return raw.select(*[F.col(c).try_cast(t).alias(c) for c, t in types.items()])
+    return raw.select(*[lenient_cast(c, t).alias(c) for c, t in types.items()])
 
 
 def scan_csv_inferred(spark: SparkSession, path: str) -> DataFrame:

@@ -11,7 +11,13 @@ def test_coerce_turns_unparsable_text_into_null(rows):
     raw = rows("k string, v string, other string", ("7", "1.0", "a"), ("x", " 5 ", "b"), (None, "9999999999", "c"))
     typed = cleaning.coerce(raw, {"k": "bigint", "v": "int"})
     assert typed.dtypes == [("k", "bigint"), ("v", "int"), ("other", "string")]
-    assert [tuple(r) for r in typed.collect()] == [(7, None, "a"), (None, 5, "b"), (None, None, "c")]
+    assert [tuple(r) for r in typed.collect()] == [(7, 1, "a"), (None, 5, "b"), (None, None, "c")]
+
+
+def test_whole_numbers_with_a_decimal_point(rows):
+    raw = rows("v string", ("1500.0",), ("1234567890123456789.0",), ("1234567890123456789",), ("1e30",), ("x",), ("-3.9",))
+    got = [r.v for r in cleaning.coerce(raw, {"v": "bigint"}).collect()]
+    assert got == [1500, 1234567890123456789, 1234567890123456789, None, None, -3]
 
 
 @pytest.mark.parametrize(

@@ -119,3 +119,12 @@ def test_importances_sum_to_one(spark):
     assert len(ranked) == 26
     assert sum(r.importance for r in ranked) == pytest.approx(1.0)
     assert [r.importance for r in ranked] == sorted((r.importance for r in ranked), reverse=True)
+
+
+def test_split_shares_at_the_ends(spark):
+    df = spark.range(1000)
+    for share, low, high in ((0, 0, 0), (0.999, 980, 1000), (1, 1000, 1000)):
+        train, test = learning.hash_split(df, "id", share)
+        assert low <= train.count() <= high and train.count() + test.count() == 1000
+    with pytest.raises(ValueError):
+        learning.in_train("id", 1.5)

@@ -82,7 +82,7 @@ def test_reports_from_a_folder(spark, folder, tmp_path):
     counts = analytics.run(spark, folder, out)
     assert counts == {
         "entity_trends": 4, "entity_by_phase": 0, "duration_trends": 3, "duration_buckets": 3,
-        "entity_top_volatile": 4, "entity_top_series": 3,
+        "entity_top_volatile": 4, "entity_top_series": 4,
     }
     trend = spark.read.csv(f"{out}/entity_trends", header=True, inferSchema=True)
     row = trend.where("yr = 2021 AND entity_id = 12").first()
@@ -124,7 +124,7 @@ def larger_folder(spark, tmp_path_factory):
 def test_models_from_a_folder(spark, larger_folder, tmp_path):
     out = f"{tmp_path}/outcome"
     counts = models.run(spark, larger_folder, out, "outcome", compact=True)
-    assert counts == {"outcome_metrics": 2, "outcome_importance": 20}
+    assert counts == {"outcome_metrics": 2, "outcome_importance": 34}
     metrics = {r.model: r for r in spark.read.json(f"{out}/outcome_metrics").collect()}
     assert all(0 <= r.auc <= 1 and 0 <= r.accuracy <= 1 for r in metrics.values())
     best = spark.read.json(f"{out}/outcome_best").first()
@@ -172,13 +172,21 @@ def test_write_table_counts_the_records(spark, tmp_path, fmt):
 
 def test_single_file(spark, tmp_path):
     path = Path(tmp_path) / "one"
-    sinks.write_single_file(spark.range(10).repartition(4), str(path))
+    sinks.write_summary(spark.range(10).repartition(4), str(path))
     parts = list(path.glob("part-*"))
     assert len(parts) == 1
     assert sorted(json.loads(line)["id"] for line in parts[0].read_text().splitlines()) == list(range(10))
-    with pytest.raises(ValueError):
-        sinks.write_single_file(spark.range(10), f"{tmp_path}/two", max_rows=9)
-    assert not (Path(tmp_path) / "two").exists()
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
+def test_line_breaks_and_appends_are_counted_as_written(spark, tmp_path, fmt):
+    df = spark.createDataFrame([(1, 'a\nb "c", d'), (2, "plain")], "id int, text string")
+    assert sinks.write_table(df, f"{tmp_path}/t", fmt) == 2
+    read = sinks.read_result(spark, f"{tmp_path}/t", df.schema, fmt)
+    assert sorted(map(tuple, read.collect())) == sorted(map(tuple, df.collect()))
+    assert sinks.write_table(df.limit(1), f"{tmp_path}/t", fmt, "append") == 1
+    assert sinks.read_result(spark, f"{tmp_path}/t", df.schema, fmt).count() == 3
+    assert sinks.write_table(df.limit(0), f"{tmp_path}/none", fmt) == 0
 
 
 def test_cut_lineage_reads_from_the_shared_folder(spark):
@@ -197,6 +205,9 @@ def test_scratch_setting_is_needed_on_a_cluster():
     class Context:
         master = "yarn"
 
+        def getCheckpointDir(self):
+            return None
+
     class Session:
         sparkContext = Context()
         conf = Conf()

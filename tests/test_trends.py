@@ -77,18 +77,18 @@ def test_top_series_keeps_all_rows_of_the_leaders(rows):
     assert sorted((r.yr, r.entity_id) for r in trends.top_series(trend, 2).collect()) == [(1, 1), (1, 3), (2, 1), (2, 3)]
 
 
-def test_members_without_a_size_bound_are_not_forced_to_broadcast(spark, rows):
-    left, right = spark.range(100), spark.range(5)
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        free = keep_members(left, right, "id")._jdf.queryExecution().executedPlan().toString()
-        bound = keep_members(left, right, "id", 5)._jdf.queryExecution().executedPlan().toString()
-        large = keep_members(left, right, "id", 10**6)._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert "BroadcastHashJoin" in bound
-    assert "BroadcastHashJoin" not in free and "BroadcastHashJoin" not in large
+def test_members_keep_the_null_key(spark, rows):
+    left = rows("id int, v int", (1, 1), (None, 2), (3, 3), (None, 4))
+    assert sorted(r.v for r in keep_members(left, rows("id int", (None,), (3,)), "id").collect()) == [2, 3, 4]
+    assert [r.v for r in keep_members(left, rows("id int", (1,)), "id").collect()] == [1]
+
+
+def test_top_series_of_a_null_entity(rows):
+    trend = rows(
+        "yr int, entity_id int, pick_rate double, ban_rate double",
+        (1, None, 0.0, 0.0), (2, None, 90.0, 0.0), (1, 2, 10.0, 0.0), (2, 2, 11.0, 0.0),
+    )
+    assert [r.entity_id for r in trends.top_series(trend, 1).collect()] == [None, None]
 
 
 def test_period_stats(games):
@@ -105,7 +105,8 @@ def test_moments_merge_to_the_same_figures(rows):
     df = rows("yr int, mo int, duration int", (1, 1, 10), (1, 1, 20), (1, 2, 60), (1, 2, None), (2, 1, None))
     merged = trends.merge_moments(trends.moments(df, ["yr", "mo"], "duration"), ["yr"])
     got = as_dicts(trends.finish_moments(merged), "yr")
-    assert (got[0]["n"], got[0]["total"], got[0]["total_sq"], got[0]["lowest"], got[0]["highest"]) == (3, 90, 4100.0, 10, 60)
+    assert (got[0]["n"], got[0]["total"], got[0]["lowest"], got[0]["highest"]) == (3, 90, 10, 60)
+    assert got[0]["squared_dev"] == pytest.approx(1400.0)
     assert got[0]["mean"] == 30.0
     assert got[0]["std_pop"] == pytest.approx(statistics.pstdev([10, 20, 60]))
     assert (got[1]["n"], got[1]["mean"], got[1]["std_pop"]) == (0, None, None)
@@ -164,3 +165,10 @@ def test_cube_gives_the_same_reports(spark, drafts, games, null_bucket):
         ]
         for got, expected in pairs:
             assert sorted(map(str, got.collect())) == sorted(map(str, expected.select(got.columns).collect()))
+
+
+def test_moments_of_large_values(rows):
+    values = [1_000_000_000 + v for v in (0, 1, 2, 3, 10, 11)]
+    df = rows("yr int, mo int, duration bigint", *((1, i % 3, v) for i, v in enumerate(values)))
+    merged = trends.merge_moments(trends.moments(df, ["yr", "mo"], "duration"), ["yr"])
+    assert trends.finish_moments(merged).first().std_pop == pytest.approx(statistics.pstdev(values), rel=1e-9)
