@@ -7,12 +7,11 @@ a shorter text is one shingle. Two sets link when their Jaccard similarity is at
    hashes form an extended prefix; two sets that link share at least min(l) of these tokens. Classes
    with fewer tokens there that any other class has are done. These counts are exact.
 2. Of the classes left, all tokens are counted. A set shares ceil(t n) of its tokens with any that it
-   links to, so sets with fewer tokens that occur twice are done, and two sets whose sizes add up to
-   more than either one's such tokens allow never meet.
+   links to, so sets with fewer tokens that occur twice are done.
 3. The usual prefix filter follows under three global orders, all with rare tokens first, ties by
    different bits of the hash: candidates share a token of the first order's prefix and must share
-   one under each of the others before the whole sets are compared. Frequent passages come last in
-   all orders.
+   one under each of the others before the whole sets are compared. The rank of a token bounds what
+   sets that meet in it can share (positional filter). Frequent passages come last in all orders.
 
 Null, empty and blank texts have an empty set and link with nothing; each is a component of its own.
 Repeated rows get a row each. A null doc_id never names a component of rows that have an id. Other
@@ -76,17 +75,16 @@ def _possible(docs: DataFrame, size: int, per_cent: int) -> DataFrame:
 
 
 def _nodes(sets: DataFrame, per_cent: int) -> DataFrame:
-    """Sets (k, s) that may link to another: ``k, n, most, weight`` and a prefix ``p0, p1, p2`` for each order.
+    """Sets (k, s) that may link to another: ``k, n, c, weight`` and a prefix ``p0, p1, p2`` for each order.
 
-    ``most`` bounds the sum of the sizes of the set and of one that it links to.
+    ``c`` is the number of its tokens that other sets have.
     """
     tokens = sets.select("k", F.size("s").alias("n"), F.explode("s").alias("x"))
     frequent = tokens.groupBy("x").agg(F.count("*").alias("df")).where("df > 1")
     by_class = tokens.join(frequent, "x").groupBy("k", "n").agg(F.collect_list(F.struct("df", "x")).alias("shared"))
     # Tokens that occur once come first in every order and meet nobody; ``take`` is what is left of the prefix.
     take = (F.size("shared") - _least_overlap(F.col("n"), per_cent) + 1).alias("take")
-    most = F.floor(F.size("shared") * (100 + per_cent) / per_cent).cast("int").alias("most")
-    enough = by_class.select("k", "n", "shared", take, most).where("take > 0")
+    enough = by_class.select("k", "n", "shared", take, F.size("shared").alias("c")).where("take > 0")
 
     def prefix(rank) -> Column:
         ordered = F.sort_array(F.transform("shared", lambda t: F.struct(*rank(t), t["x"].alias("x"))))
@@ -98,7 +96,7 @@ def _nodes(sets: DataFrame, per_cent: int) -> DataFrame:
             prefix(lambda t, bits=bits: [F.floor(F.log2(t["df"].cast("double"))).alias("df"), _rotated(t["x"], bits).alias("r")])
         )
     weight = F.aggregate("shared", F.lit(0.0), lambda total, t: total + F.log2(t["df"].cast("double"))) / F.col("n")
-    return enough.select("k", "n", "most", weight.alias("weight"), *(p.alias(f"p{i}") for i, p in enumerate(orders)))
+    return enough.select("k", "n", "c", weight.alias("weight"), *(p.alias(f"p{i}") for i, p in enumerate(orders)))
 
 
 def jaccard_components(docs: DataFrame, size: int = SHINGLE_WORDS, per_cent: int = PER_CENT) -> DataFrame:
@@ -116,8 +114,11 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE_WORDS, per_cent: int
     sets = sets.groupBy("k").agg(F.first("s").alias("s")).join(possible, "k", "left_semi")
     sets = cut_lineage(sets)
     nodes = cut_lineage(_nodes(sets, per_cent))
-    info = F.struct("n", "most")
-    keys = nodes.select(F.explode("p0").alias("key"), F.col("k").alias("node"), "weight", info.alias("info"))
+    # If the first token that two sets share has this rank, they share no more than the tokens from it
+    # on; that bounds the sum of their sizes. The pair's first common token passes the bound.
+    keys = nodes.select(F.posexplode("p0").alias("rank", "key"), F.col("k").alias("node"), "weight", "n", "c")
+    most = F.floor((F.col("c") - F.col("rank")) * (100 + per_cent) / per_cent).cast("int").alias("most")
+    keys = keys.select("key", "node", "weight", F.struct("n", most).alias("info"))
 
     def may(one: Column, other: Column) -> Column:
         both, less, more = one["n"] + other["n"], F.least(one["n"], other["n"]), F.greatest(one["n"], other["n"])
