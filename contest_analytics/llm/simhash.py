@@ -36,8 +36,11 @@ def _lane_simhash(hashes: Column, width: int) -> Column:
 
 def simhash(hashes: Column) -> Column:
     """SimHash of an array of 64-bit hashes; repeats add weight. Few hashes take the narrow lanes."""
-    narrow, wide = _lane_simhash(hashes, 8), _lane_simhash(hashes, 32)
-    return F.when(F.size(hashes) < 128, narrow).otherwise(wide)
+
+    def fitting(h: Column) -> Column:
+        return F.when(F.size(h) < 128, _lane_simhash(h, 8)).otherwise(_lane_simhash(h, 32))
+
+    return let(hashes, fitting)
 
 
 def hamming(one: Column, other: Column) -> Column:
