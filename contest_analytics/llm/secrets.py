@@ -35,7 +35,7 @@ CONTEXT = re.compile(
 )
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_~=-]{16,}")
 DIGIT, LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
-NEAR, AROUND, LEAST_NOVELTY = 64, 512, 0.6
+NEAR, AROUND, LEAST_NOVELTY = 64, 512, 0.7
 
 IDENTIFIERS = " ".join(
     f"{a}{b}"
