@@ -148,16 +148,20 @@ def cached_encoder(tokenizer_path: str) -> tuple[Callable[[str], np.ndarray], in
     # Fixed value: the published split pattern of byte-level tokenizers.
     pieces = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
     cache: dict[str, bytes] = {}
+    older: dict[str, bytes] = {}
 
     def encode(text: str) -> np.ndarray:
+        nonlocal cache, older
         if any(s in text for s in special):
             return whole(text)
         found = pieces(text)
         new = [p for p in set(found) if p not in cache]
         if new:
-            if len(cache) > CACHE_PIECES:
-                cache.clear()
+            if len(cache) > CACHE_PIECES:  # what is still used comes back from the older half
+                cache, older = {}, cache
                 new = list(set(found))
+            cache.update((p, older[p]) for p in new if p in older)
+            new = [p for p in new if p not in cache]
             for piece, encoding in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
                 cache[piece] = np.array(encoding.ids, "<u4").tobytes()
         return np.frombuffer(b"".join([cache[p] for p in found]), "<u4")

@@ -62,6 +62,16 @@ def test_odd_pieces_equal_the_library():
         assert encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_a_small_cache_changes_nothing(spark, monkeypatch):
+    texts = [r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("text").limit(30).collect()]
+    want = [T.cached_encoder(queries.tokenizer_path())[0](t).tolist() for t in texts[:5]]
+    monkeypatch.setattr(T, "CACHE_PIECES", 20)
+    encode, _ = T.cached_encoder(queries.tokenizer_path())
+    for t in texts:
+        encode(t)
+    assert [encode(t).tolist() for t in texts[:5]] == want
+
+
 def test_hard_rows(hard_docs, no_docs):
     found = T.token_digests(hard_docs, queries.tokenizer_path()).orderBy("start").collect()
     assert len(found) == hard_docs.count()
