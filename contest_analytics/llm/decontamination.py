@@ -1,14 +1,18 @@
-"""Find benchmark items in documents: SimHash of item-sized windows, multi-index Hamming blocks, then
-exact similarity of the weighted word shingles.
+"""Find benchmark items in documents: exact similarity of the weighted word shingles of item-sized windows.
 
 Texts are lower-cased and lose everything but letters, digits and blanks. A window is a run of as
-many 5-word shingles as an item has. A window that reaches the threshold shares a shingle with the
-item, so windows are laid where a shared shingle lines them up; a Bloom bitmap of fixed size, built
-from all items, keeps the other positions out of the shuffle, and an exact join follows it. Distinct
-windows get a 64-bit SimHash in which a shingle weighs its number of occurrences. Fingerprints are
-cut into blocks; two within ``radius`` differ in some block by at most radius / blocks bits, so the
-items' blocks are indexed with all such changes and no fingerprint within the radius is missed.
-Candidates are verified by the sum of least over the sum of greatest shingle weights.
+many 5-word shingles as an item has; its similarity to the item is the sum of least over the sum of
+greatest shingle weights, a shingle weighing its number of occurrences. A Bloom bitmap of fixed size,
+built from all items, keeps positions that no item shares out of the shuffle, and an exact join gives
+the places of a document that it shares with an item. Every window counts, in whatever order the
+shared shingles stand: one can move right to its next shared place, or to the last window, without
+losing any, so only windows that begin there are looked at. Of them those with fewer shared places
+than the threshold needs are left out, which loses none, and all others are compared exactly. The
+``start`` is that of the first best window among these. The SimHash ``distance`` is reported and
+decides nothing: windows at the threshold lie beyond any radius that still selects.
+``hamming_pairs`` finds fingerprints within a radius where only fingerprints are at hand: they are cut
+into blocks, and two within ``radius`` differ in some block by at most radius / blocks bits, so the
+items' blocks are indexed with all such changes and none within the radius is missed.
 
 A null, empty or blank text has no shingles and contains nothing. A text or item of fewer than five
 words is one shingle, which only an equal whole text has. A document shorter than an item is one
@@ -26,7 +30,7 @@ from contest_analytics.llm.text import let, shingle_hashes, words
 from contest_analytics.session import cut_lineage
 
 BLOCKS, BLOCK_BITS = 4, 16
-PER_CENT, RADIUS = 75, 19
+PER_CENT = 75
 
 
 def normal_shingles(text: Column) -> Column:
@@ -73,16 +77,17 @@ def shared_weight(one: Column, other: Column) -> Column:
     )
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, per_cent: int = PER_CENT, radius: int = RADIUS) -> DataFrame:
+def find_leaks(docs: DataFrame, items: DataFrame, per_cent: int = PER_CENT) -> DataFrame:
     """A row for each document and item that it contains.
 
     ``doc_id, item_id``; ``similarity`` of the best window, its SimHash ``distance``, first word
     ``start`` and number of ``words``.
     """
     benchmark = cut_lineage(items.select("item_id", normal_shingles(F.col("text")).alias("v")).where("item_id IS NOT NULL AND size(v) > 0"))
-    marks = benchmark.select(
-        F.posexplode("v").alias("place", "x"), F.size("v").alias("n")
-    ).distinct()
+    named = benchmark.select("item_id", F.xxhash64("v").alias("q"))
+    contents = benchmark.groupBy(F.xxhash64("v").alias("q")).agg(F.first("v").alias("u"))
+    contents = cut_lineage(contents.select("q", "u", simhash(F.col("u")).alias("g")))
+    marks = contents.select("q", F.size("u").alias("m"), F.explode(F.array_distinct("u")).alias("x"))
     bitmap = bitmap_column(marks.select("x").distinct())
 
     def hit_row(h: Column) -> Column:
@@ -97,33 +102,40 @@ def find_leaks(docs: DataFrame, items: DataFrame, per_cent: int = PER_CENT, radi
     texts = found.groupBy("k").agg(F.first("h").alias("h"), F.first("hits").alias("hits"))
     seeds = texts.select("k", F.size("h").alias("length"), F.posexplode("hits").alias("_", "at"), "h")
     seeds = seeds.select("k", "length", "at", F.get("h", F.col("at")).alias("x"))
-    lined = seeds.join(marks, "x")
-    n = F.least("n", "length")
-    start = F.greatest(F.lit(0), F.least(F.col("at") - F.col("place"), F.col("length") - n))
-    spots = lined.select("k", start.alias("start"), n.alias("n")).distinct()
-    windows = spots.join(texts.select("k", "h"), "k").select(
-        "k", "start", "n", F.slice("h", F.col("start") + 1, F.col("n")).alias("v")
+    shared = seeds.join(marks, "x").groupBy("k", "q", "length", "m").agg(F.sort_array(F.collect_list("at")).alias("at"))
+    n = F.least("m", "length")
+    need = F.ceil((n + F.col("m")) * per_cent / (100 + per_cent)).cast("int")  # shared weight at the threshold
+    spots = shared.withColumn("n", n).withColumn("need", need)
+    # A shared place opens a window if as many shared places as are needed lie in it; near the end, the last window.
+    starts = F.transform(
+        "at",
+        lambda place, i: F.when(
+            F.get(F.col("at"), i + F.col("need") - 1) < place + F.col("n"), F.least(place, F.col("length") - F.col("n"))
+        ),
     )
-    windows = cut_lineage(windows.withColumn("w", F.xxhash64("v")))
+    spots = spots.where("size(at) >= need").select("k", "q", "n", F.array_distinct(F.array_compact(starts)).alias("starts"))
+    cuts = F.transform(
+        "starts", lambda start: F.struct(start.alias("start"), F.slice(F.col("h"), start + 1, F.col("n")).alias("v"))
+    )
+    windows = spots.where("size(starts) > 0").join(texts.select("k", "h"), "k").select("k", "q", "n", F.explode(cuts).alias("c"))
+    windows = cut_lineage(windows.select("k", "q", "n", "c.*", F.xxhash64("c.v").alias("w")))
 
-    distinct = windows.groupBy("w").agg(F.first("v").alias("v"))
-    hashed = cut_lineage(distinct.select("w", "v", simhash(F.col("v")).alias("f")))
-    near = hamming_pairs(hashed.select("w", "f"), benchmark.select("item_id", simhash(F.col("v")).alias("f")), radius)
-    pairs = near.join(hashed.select("w", "v"), "w").join(benchmark.select("item_id", F.col("v").alias("u")), "item_id")
+    pairs = windows.groupBy("w", "q").agg(F.first("v").alias("v")).join(contents, "q")
     both = F.size("v") + F.size("u")
-    pairs = pairs.select("w", "item_id", "distance", both.alias("both"), shared_weight(F.col("v"), F.col("u")).alias("shared"))
+    pairs = pairs.select("w", "q", "v", "g", both.alias("both"), shared_weight(F.col("v"), F.col("u")).alias("shared"))
     pairs = cut_lineage(pairs).where(F.col("shared") * 100 >= (F.col("both") - F.col("shared")) * per_cent)
-
     similarity = F.round(F.col("shared") / (F.col("both") - F.col("shared")), 6)
-    spotted = windows.select("w", "k", "start", "n").join(pairs, "w")
-    best = F.max(F.struct(similarity.alias("similarity"), (-F.col("start")).alias("first"), -F.col("distance"), F.col("n")))
-    by_text = spotted.groupBy("k", "item_id").agg(best.alias("b"))
+    pairs = pairs.select("w", "q", similarity.alias("similarity"), hamming(simhash(F.col("v")), F.col("g")).alias("distance"))
+
+    spotted = windows.select("w", "q", "k", "start", "n").join(pairs, ["w", "q"])
+    best = F.max(F.struct("similarity", (-F.col("start")).alias("first"), (-F.col("distance")).alias("near"), "n"))
+    by_text = spotted.groupBy("k", "q").agg(best.alias("b")).join(named, "q")
     by_doc = found.select("doc_id", "k").join(by_text, "k").groupBy("doc_id", "item_id").agg(F.max("b").alias("b"))
     return by_doc.select(
         "doc_id",
         "item_id",
         "b.similarity",
-        (-F.col("b.col3")).alias("distance"),
+        (-F.col("b.near")).alias("distance"),
         (-F.col("b.first")).alias("start"),
         (F.col("b.n") + 4).alias("words"),
     )

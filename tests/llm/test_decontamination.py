@@ -66,6 +66,34 @@ def test_planted_leaks(spark):
     assert {r.doc_id for r in clean.collect()} == {d for d, _ in docs} - {d for d, _ in want}
 
 
+def test_reordered_passages_against_all_windows(spark):
+    """Halves swapped, thirds turned round, words put in or left out, in the middle and at either end."""
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(400)]
+    items = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(36, 90)))) for i in range(24)]
+    docs = []
+    for i in range(96):
+        inner = items[i % 24][1].split()
+        half, third = len(inner) // 2, len(inner) // 3
+        if i // 24 == 0:
+            inner = inner[half:] + inner[:half]
+        elif i // 24 == 1:
+            inner = inner[2 * third :] + inner[third : 2 * third] + inner[:third]
+        elif i // 24 == 2:
+            inner[half:half] = ["new", "words"]
+        else:
+            del inner[half]
+        before, after = (rng.choice([0, 1, 30]) for _ in range(2))
+        docs.append((i, " ".join([rng.choice(words) for _ in range(before)] + inner + [rng.choice(words) for _ in range(after)])))
+    got = D.find_leaks(
+        spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    )
+    found = {(r.doc_id, r.item_id): r.similarity for r in got.collect()}
+    want = plain(docs, items)
+    assert set(found) == set(want) and all(abs(found[k] - want[k]) < 1e-6 for k in want)
+    assert sum(d < 24 for d, _ in want) >= 12  # of the swapped halves
+
+
 def test_hamming_index_misses_nothing(spark):
     rng = random.Random(2)
     items = [(i, rng.getrandbits(64) - (1 << 63)) for i in range(6)]
