@@ -5,10 +5,14 @@ keeps its least hash. An empty bin takes the value of another: it tries ``PROBES
 then all filled bins in a random order of its own, so every empty bin has one fixed sequence of bins
 that all texts share (optimal densification), and the search always ends. Of each bin the low-order
 bits are kept. Two different hashes agree in b bits by chance with probability 2^-b; the likeness
-takes that out.
+takes that out. That needs chance to be independent from bin to bin, which copies of one value are
+not: a text of one shingle has one value in all bins. So likeness is taken from sketches, whose digits
+are the low-order bits of a hash of (value, bin number). Copies in different bins then differ, and
+equal texts still agree. Fingerprints keep the bare bits; they tell short texts apart badly.
 
 A text with fewer than five words is one shingle. A null, empty or blank text has no shingles and the
-empty fingerprint; it is like itself and unlike all others. Equal texts have equal fingerprints.
+empty fingerprint; it is like itself and unlike all others. Equal texts have equal fingerprints
+and sketches.
 """
 
 from __future__ import annotations
@@ -72,14 +76,33 @@ def densify(values: Column) -> Column:
     return let(values, fill)
 
 
+def _packed(digits: Column) -> Column:
+    low = F.lit((1 << BITS) - 1)
+    return F.lower(F.array_join(F.transform(digits, lambda v: F.hex(v.bitwiseAND(low))), ""))
+
+
+def _sketched(bins: Column) -> Column:
+    return _packed(F.transform(bins, lambda v, i: F.xxhash64(v, i)))
+
+
 def fingerprint(text: Column) -> Column:
     """The low-order bits of every bin, packed: one hexadecimal digit a bin; empty without words."""
-    low = F.lit((1 << BITS) - 1)
-    return F.lower(F.array_join(F.transform(densify(bin_values(text)), lambda v: F.hex(v.bitwiseAND(low))), ""))
+    return _packed(densify(bin_values(text)))
+
+
+def sketch(text: Column) -> Column:
+    """As the fingerprint, of a hash of each bin's value and number; what likeness compares."""
+    return _sketched(densify(bin_values(text)))
+
+
+def fingerprint_and_sketch(text: Column) -> Column:
+    """Both as a struct, with the bins filled once."""
+    both = lambda bins: F.struct(_packed(bins).alias("fingerprint"), _sketched(bins).alias("sketch"))
+    return let(densify(bin_values(text)), both)
 
 
 def likeness(one: Column, other: Column) -> Column:
-    """Estimated Jaccard similarity of the shingle sets of two fingerprints, from 0 to 1."""
+    """Estimated Jaccard similarity of the shingle sets of two sketches, from 0 to 1."""
     equal = F.length(F.replace(F.array_join(F.transform(
         F.sequence(F.lit(1), F.lit(BINS)), lambda i: F.when(one.substr(i, F.lit(1)) == other.substr(i, F.lit(1)), "1").otherwise("0")
     ), ""), F.lit("0"), F.lit("")))

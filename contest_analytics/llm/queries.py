@@ -40,13 +40,14 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likeness."""
     text = F.coalesce("text", F.lit(""))
     docs = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
-    marked = docs.withColumn("fingerprint", fingerprints.fingerprint(F.col("text")))
-    paired = fingerprints.with_next(marked, ["text", "fingerprint"])
+    marked = docs.select("*", fingerprints.fingerprint_and_sketch(F.col("text")).alias("f")).select("doc_id", "text", "f.*")
+    paired = fingerprints.with_next(marked, ["text", "sketch"])
     edited = paired.select(
         "doc_id",
         F.length("text").cast("bigint").alias("n_chars"),
         "fingerprint",
-        "next_fingerprint",
+        "sketch",
+        "next_sketch",
         fingerprints.edited_text(F.col("text"), F.col("next_text")).alias("edited"),
     )
     hashed = edited.select(
@@ -54,17 +55,18 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
         "fingerprint",
-        fingerprints.fingerprint(F.col("edited")).alias("edited_fingerprint"),
-        "next_fingerprint",
+        "sketch",
+        "next_sketch",
+        fingerprints.fingerprint_and_sketch(F.col("edited")).alias("e"),
     )
     return hashed.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
         "fingerprint",
-        "edited_fingerprint",
-        fingerprints.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        fingerprints.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+        F.col("e.fingerprint").alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("sketch"), F.col("e.sketch")).alias("near_edited"),
+        fingerprints.likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
     )
 
 

@@ -93,6 +93,18 @@ def test_likeness_estimates_jaccard(small):
     assert sum(errors) / len(errors) < 0.05
 
 
+def test_likeness_of_short_texts(spark, tmp_path):
+    """Texts of 1 to 8 words that share nothing are unlike; equal ones are alike."""
+    texts = [(i, " ".join(f"d{i}w{j}" for j in range(1 + i // 25))) for i in range(200)]
+    spark.createDataFrame(texts, "doc_id bigint, text string").write.parquet(f"{tmp_path}/apart/documents.parquet")
+    apart = queries.op1_fingerprints(spark, f"{tmp_path}/apart").collect()
+    assert len(apart) == 200 and max(r.near_next for r in apart) < 0.15
+    same = [(i, texts[25 * (i // 2) + 7][1]) for i in range(16)]
+    spark.createDataFrame(same, "doc_id bigint, text string").write.parquet(f"{tmp_path}/same/documents.parquet")
+    found = {r.doc_id: r.near_next for r in queries.op1_fingerprints(spark, f"{tmp_path}/same").collect()}
+    assert all(found[i] == 1.0 if i % 2 else found[i] < 0.15 for i in range(16))
+
+
 def test_ranges_do_not_change_the_neighbours(spark, monkeypatch):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
     whole = fingerprints.with_next(docs, ["doc_id"]).toPandas().set_index("doc_id").next_doc_id.to_dict()
