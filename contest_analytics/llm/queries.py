@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contest_analytics.llm import decontamination, fingerprints, fuzzy_lines, jaccard_join, mixing, secrets, suffix_dedup, token_output, toxicity, url_filters
+from contest_analytics.llm import decontamination, fingerprints, fuzzy_lines, jaccard_join, licenses, mixing, oracle, resampling, secrets, suffix_dedup, token_output, toxicity, url_filters, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -140,6 +140,31 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the leading eigenvectors of their covariance."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weight of every document under the benchmark's words, and its rank in a draw of a tenth."""
+    drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices of every document."""
+    return licenses.find_licenses(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        F.array_join("base", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of the corpus pipeline, one after another."""
     from corpus_pipeline import run  # it imports this module
@@ -148,9 +173,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = [op1_fingerprints, op2_toxicity, op3_jaccard_join, op4_url_filters, op5_secret_scan, op6_mix_sources, op7_fuzzy_lines, op8_benchmark_leaks, op9_suffix_dedup, op10_token_files, pipeline]
+    named = [op1_fingerprints, op2_toxicity, op3_jaccard_join, op4_url_filters, op5_secret_scan, op6_mix_sources, op7_fuzzy_lines, op8_benchmark_leaks, op9_suffix_dedup, op10_token_files, op11_whitening, op12_resampling, op13_licenses, pipeline]
     return {query.__name__: query for query in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.statements()
