@@ -283,7 +283,10 @@ def participant_totals(participants: DataFrame) -> DataFrame:
     return PLAYERS_TOTAL.reduce(participants)
 
 
-def participant_averages(participants: DataFrame) -> DataFrame:
+def participant_averages(participants: DataFrame, missing_as_zero: bool = False) -> DataFrame:
+    """Averages of the players' figures; a missing one is left out, or counts as 0 on request."""
+    if missing_as_zero:
+        participants = participants.fillna(0, subset=[c for c in participants.columns if c != KEY])
     return PLAYERS_AVERAGE.reduce(participants)
 
 

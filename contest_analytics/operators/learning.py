@@ -15,32 +15,37 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contest_analytics.operators import metrics
+from contest_analytics.session import use_checkpoints
 from contest_analytics.sources.tables import literal_table
 
+# A tree's rows keep their node from level to level, and what boosting has added up so far is written to
+# the checkpoint folder every few rounds: a lost executor then replays those rounds, not all of them.
+RESUMABLE = {"cacheNodeIds": True, "checkpointInterval": 5}
+
 # The training parameters of both profiles.
 TRAIN_SHARE = 0.8
 SEED = 42
 CLASSIFIERS: Mapping[str, Callable[[], Estimator]] = {
     "logistic_regression": lambda: LogisticRegression(maxIter=100, regParam=0.01),
-    "random_forest": lambda: RandomForestClassifier(numTrees=50, maxDepth=10, seed=SEED),
-    "gradient_boosting": lambda: GBTClassifier(maxIter=30, maxDepth=8, seed=SEED),
+    "random_forest": lambda: RandomForestClassifier(numTrees=50, maxDepth=10, seed=SEED, **RESUMABLE),
+    "gradient_boosting": lambda: GBTClassifier(maxIter=30, maxDepth=8, seed=SEED, **RESUMABLE),
 }
 REGRESSORS: Mapping[str, Callable[[], Estimator]] = {
     "linear_regression": lambda: LinearRegression(maxIter=100, regParam=0.01),
-    "random_forest": lambda: RandomForestRegressor(numTrees=50, maxDepth=10, seed=SEED),
-    "gradient_boosting": lambda: GBTRegressor(maxIter=30, maxDepth=8, seed=SEED),
+    "random_forest": lambda: RandomForestRegressor(numTrees=50, maxDepth=10, seed=SEED, **RESUMABLE),
+    "gradient_boosting": lambda: GBTRegressor(maxIter=30, maxDepth=8, seed=SEED, **RESUMABLE),
 }
 LIGHT_CLASSIFIERS: Mapping[str, Callable[[], Estimator]] = {
     "random_forest": lambda: RandomForestClassifier(
-        numTrees=30, maxDepth=8, impurity="gini", maxBins=32, seed=SEED
+        numTrees=30, maxDepth=8, impurity="gini", maxBins=32, seed=SEED, **RESUMABLE
     ),
-    "gradient_boosting": lambda: GBTClassifier(maxIter=20, maxDepth=6, stepSize=0.1, seed=SEED),
+    "gradient_boosting": lambda: GBTClassifier(maxIter=20, maxDepth=6, stepSize=0.1, seed=SEED, **RESUMABLE),
 }
 LIGHT_REGRESSORS: Mapping[str, Callable[[], Estimator]] = {
     "random_forest": lambda: RandomForestRegressor(
-        numTrees=30, maxDepth=8, impurity="variance", maxBins=32, seed=SEED
+        numTrees=30, maxDepth=8, impurity="variance", maxBins=32, seed=SEED, **RESUMABLE
     ),
-    "gradient_boosting": lambda: GBTRegressor(maxIter=20, maxDepth=6, stepSize=0.1, seed=SEED),
+    "gradient_boosting": lambda: GBTRegressor(maxIter=20, maxDepth=6, stepSize=0.1, seed=SEED, **RESUMABLE),
 }
 
 
@@ -113,6 +118,8 @@ def prepare(table: DataFrame, columns: Sequence[str], label: str, key: str) -> P
 
 
 def fit(data: Prepared, estimator: Estimator) -> Model:
+    """Train on the cached rows. What the trees checkpoint meanwhile is gone afterwards."""
+    use_checkpoints(data.train.sparkSession)
     return estimator.copy(
         {estimator.getParam("labelCol"): data.label, estimator.getParam("featuresCol"): "features"}
     ).fit(data.train)

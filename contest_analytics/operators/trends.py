@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from contest_analytics.functions import expressions as E
 from contest_analytics.operators.enrich import keep_members
+from contest_analytics.session import cut_lineage, scratch_scope
 
 
 def rate_trend(
@@ -63,11 +64,13 @@ def top_series(
 ) -> DataFrame:
     """Trend rows of the k top entities.
 
-    The trend is read twice, for the ranking and for the rows: pass a written one when
-    computing it is expensive.
+    The trend is computed once: it is written, ranked and filtered from there. It has one row per
+    (period, entity), however many rows are behind it.
     """
-    leaders = top_entities(rate_volatility(trend, entity), k, by, entity)
-    return keep_members(trend, leaders, entity)
+    with scratch_scope(trend.sparkSession) as scope:
+        rows = cut_lineage(trend)
+        leaders = top_entities(rate_volatility(rows, entity), k, by, entity)
+        return scope.keep(keep_members(rows, leaders, entity))
 
 
 def period_stats(
@@ -76,8 +79,14 @@ def period_stats(
     measure: str = "duration",
     drop_null_period: bool = False,
     population: bool = False,
+    known_only: bool = False,
 ) -> DataFrame:
-    """Average, count, extremes and spread of a measure per period, in period order."""
+    """Average, count, extremes and spread of a measure per period, in period order.
+
+    ``known_only`` leaves out rows without the measure, also from the count.
+    """
+    if known_only:
+        df = df.dropna(subset=[measure])
     if drop_null_period:
         df = df.dropna(subset=list(keys))
     spread = F.stddev_pop if population else F.stddev_samp

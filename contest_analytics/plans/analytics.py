@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from contest_analytics.operators import trends, winrates
 from contest_analytics.operators.enrich import enrich, keep_members
-from contest_analytics.session import cut_lineage
+from contest_analytics.session import cut_lineage, scratch_scope
 from contest_analytics.sources import sinks
 from contest_analytics.sources.layouts import ContestTables, load_match_files
 
@@ -52,7 +52,9 @@ def reports(
             "by_phase": winrates.phases_of_cube(cube, min_count),
         },
         "duration": {
-            "trends": trends.period_stats(tables.matches, drop_null_period=drop_null_period),
+            "trends": trends.period_stats(
+                tables.matches, drop_null_period=drop_null_period, known_only=null_bucket == "drop"
+            ),
             "buckets": winrates.bucket_win_rate(tables.matches, **bucket).orderBy("bucket_no"),
         },
     }
@@ -61,16 +63,16 @@ def reports(
 def run(
     spark: SparkSession, folder: str, output: str, fmt: str = "csv", mode: str = "errorifexists", **options
 ) -> dict[str, int]:
-    """Load a folder of match files and write every report; returns their record counts.
+    """Load a folder of match files and write every report, as one set; returns their record counts.
 
     ``options`` are those of ``reports``.
     """
-    named = reports(load_match_files(spark, folder, tuple(NEEDED), only=NEEDED), **options)
-    counts = sinks.save_results(named, output, fmt, mode)
-    # The rankings follow from the staged cube, so that rows of earlier runs do not count.
-    trend = named["entity"]["trends"]
-    ranking = {
-        "top_volatile": trends.top_entities(trends.rate_volatility(trend)),
-        "top_series": trends.top_series(trend),
-    }
-    return counts | sinks.save_results({"entity": ranking}, output, fmt, mode)
+    with scratch_scope(spark):
+        named = reports(load_match_files(spark, folder, tuple(NEEDED), only=NEEDED), **options)
+        # The rankings follow from the staged cube.
+        trend = named["entity"]["trends"]
+        ranking = {
+            "top_volatile": trends.top_entities(trends.rate_volatility(trend)),
+            "top_series": trends.top_series(trend),
+        }
+        return sinks.commit_results(named | {"entity": named["entity"] | ranking}, output, fmt, mode)

@@ -4,20 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.ml import Estimator
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contest_analytics.functions import cleaning
 from contest_analytics.functions import expressions as E
-from contest_analytics.operators import features, keyed, learning, metrics, trends, winrates
+from contest_analytics.operators import features, incremental, keyed, learning, metrics, trends, winrates
 from contest_analytics.operators.enrich import enrich
 from contest_analytics.operators.keyed import KEY, ObjectiveKinds
 from contest_analytics.plans import analytics, models
-from contest_analytics.session import cut_lineage, scratch_path
-from contest_analytics.sources import sinks, standins, tables
+from contest_analytics.session import cut_lineage, scoped, scratch_path, scratch_scope
+from contest_analytics.sources import bucketed, sinks, standins, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +76,31 @@ def csv_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.scan_csv_inferred(spark, path)
 
 
+def _dirty_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keep = ("duration_text", "long_key_text", "flag_text", "start_text")
+    clean = standins.matches(spark, sf_dir).select(
+        KEY,
+        F.col("score_a").cast("string").alias("score_text"),
+        F.concat(F.lit(" "), F.col("score_b").cast("string"), F.lit(".5")).alias("half_text"),
+        F.col("side_a_win").cast("string").alias("won_text"),
+        F.date_format("start_time", "yyyy-MM-dd HH:mm:ss").alias("clock_text"),
+        F.lit("").alias("empty_text"),
+    )
+    return _dirty(spark, sf_dir).select(KEY, *keep).join(clean, KEY).drop(KEY)
+
+
+@scoped
+def csv_type_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types, missing and malformed values of damaged columns, a third of which may be malformed."""
+    _, profile = tables.scan_csv_profiled(spark, _csv_copy(spark, _dirty_texts(spark, sf_dir)), max_malformed=0.34)
+    return profile
+
+
+def csv_scan_profiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _csv_copy(spark, standins.matches(spark, sf_dir).select(*_TYPES))
+    return tables.scan_csv_profiled(spark, path)[0]
+
+
 def coerce_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("duration_text")
     raw = _dirty(spark, sf_dir).select(
@@ -125,6 +152,31 @@ def result_sink_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.manifest(spark, sinks.save_results(named, scratch_path(spark, "results"), "csv"))
 
 
+def committed_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports written as one set, once more over themselves, and counted from the commit file and the files."""
+    base = scratch_path(spark, "results")
+    with scratch_scope(spark):
+        named = analytics.reports(standins.load(spark, sf_dir))
+        sinks.commit_results(named, base)
+        sinks.commit_results(named, base, mode="overwrite")
+    counts = sinks.committed(spark, base)
+    read = {name: spark.read.parquet(f"{base}/{name}") for name in counts}
+    found = tables.table_counts(read).select(F.col("table_name").alias("result"), F.col("n_rows").alias("n_read"))
+    return sinks.manifest(spark, counts).join(found, "result")
+
+
+@scoped
+def cached_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two reports from one enriched table that the executors keep while both are made."""
+    loaded = standins.load(spark, sf_dir)
+    with scratch_scope(spark) as scope:
+        rows = scope.cache(analytics.enriched_selections(loaded))
+        by_year = rows.groupBy("yr").agg(F.count("*").alias("n"))
+        by_side = rows.groupBy("side").agg(F.count("*").alias("n"))
+        years = by_year.select(F.lit("yr").alias("report"), F.col("yr").alias("value"), "n")
+        return scope.keep(years.unionByName(by_side.select(F.lit("side").alias("report"), F.col("side").alias("value"), "n")))
+
+
 def single_file_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "report")
     report = bucket_win_rate(spark, sf_dir)
@@ -277,6 +329,27 @@ def feature_table_duration_compact(spark: SparkSession, sf_dir: str) -> DataFram
     return features.duration_table_compact(standins.load(spark, sf_dir), KINDS)
 
 
+def _bucketed(spark: SparkSession, sf_dir: str, build: Callable[[standins.ContestTables], DataFrame]) -> DataFrame:
+    """A result over the bucketed layout, which is written for it and deleted afterwards."""
+    with scratch_scope(spark) as scope:
+        folder = scope.own(scratch_path(spark, "layout"))
+        bucketed.write_layout(standins.load(spark, sf_dir), folder)
+        try:
+            return scope.keep(build(bucketed.load_layout(spark, folder)))
+        finally:
+            bucketed.detach_layout(spark, folder)
+
+
+def feature_table_outcome_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _bucketed(spark, sf_dir, lambda loaded: features.outcome_table(loaded, KINDS))
+    return table.withColumn("gold_volatility", F.round("gold_volatility", 4))
+
+
+def feature_table_duration_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _bucketed(spark, sf_dir, lambda loaded: features.duration_table(loaded, KINDS))
+    return table.withColumn("gold_swing_std", F.round("gold_swing_std", 4))
+
+
 # --- trends, win rates, periods -----------------------------------------------------------
 
 
@@ -315,14 +388,12 @@ def top_by_pick_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def topk_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The series of the leaders, one of which has no id."""
-    loaded = standins.load(spark, sf_dir)
-    leader = trends.top_entities(trends.rate_volatility(analytics.entity_trends(loaded)), 1).select(
-        F.col("entity_id").alias("leader")
-    )
-    rows = loaded.selections.join(leader, F.col("entity_id") == F.col("leader"), "left")
-    unnamed = rows.withColumn("entity_id", F.when(F.col("leader").isNull(), F.col("entity_id"))).drop("leader")
-    trend = analytics.entity_trends(replace(loaded, selections=unnamed))
-    return trends.top_series(trend).select("yr", "entity_id", "pick_rate", "ban_rate")
+    with scratch_scope(spark) as scope:
+        trend = cut_lineage(rate_trend(spark, sf_dir))
+        leader = trends.top_entities(trends.rate_volatility(trend), 1).select(F.col("entity_id").alias("leader"))
+        rows = trend.join(leader, F.col("entity_id") == F.col("leader"), "left")
+        unnamed = rows.withColumn("entity_id", F.when(F.col("leader").isNull(), F.col("entity_id"))).drop("leader")
+        return scope.keep(trends.top_series(unnamed).select("yr", "entity_id", "pick_rate", "ban_rate"))
 
 
 def phase_win_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -396,6 +467,37 @@ def moments_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finished.withColumn("std_pop", F.round("std_pop", 4)).drop("squared_dev")
 
 
+@scoped
+def moments_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly moments kept in a state that three runs add to, one of them twice."""
+    matches, keys = standins.matches(spark, sf_dir), ["yr", "mo"]
+    with scratch_scope(spark) as scope:
+        state = incremental.KeptState(spark, scope.own(scratch_path(spark, "state")), incremental.merged_moments(keys))
+        for name in (0, 1, 1, 2):
+            state.add(trends.moments(matches.where(F.col(KEY) % 3 == name), keys, "duration"), f"part {name}")
+        finished = trends.finish_moments(state.read())
+        return scope.keep(finished.withColumn("std_pop", F.round("std_pop", 4)).drop("squared_dev"))
+
+
+@scoped
+def rate_trend_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rate trend from counts kept between runs over disjoint matches."""
+    rows, keys = analytics.enriched_selections(standins.load(spark, sf_dir)), ["yr", "entity_id"]
+    with scratch_scope(spark) as scope:
+        state = incremental.KeptState(spark, scope.own(scratch_path(spark, "state")), incremental.merged_sums(keys))
+        for name in range(3):
+            part = rows.where(F.col(KEY) % 3 == name).groupBy(*keys).agg(*trends.rate_counts())
+            state.add(part, f"part {name}")
+            state.tidy(1)
+        return scope.keep(trends.with_rates(state.read()))
+
+
+def period_stats_known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only matches of known length count."""
+    stats = trends.period_stats(_some_unknown_durations(spark, sf_dir), known_only=True)
+    return stats.withColumn("std_dev", F.round("std_dev", 4))
+
+
 # --- per-match statistics -----------------------------------------------------------------
 
 
@@ -437,6 +539,11 @@ def participant_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.participant_averages(standins.participants(spark, sf_dir))
 
 
+def participant_averages_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing figures count as 0."""
+    return keyed.participant_averages(standins.participants(spark, sf_dir), missing_as_zero=True)
+
+
 def draft_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.draft_stats(standins.draft_turns(spark, sf_dir))
 
@@ -541,9 +648,10 @@ def _train(one: str, estimators: Mapping[str, Callable[[], Estimator]], task: st
             return _outcome_report(table, features.OUTCOME_FEATURES, chosen)
         return _duration_report(features.duration_table(loaded, KINDS), features.DURATION_FEATURES, chosen)
 
-    return query
+    return scoped(query)
 
 
+@scoped
 def train_light_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The compact tables with the light tree parameters, both tasks."""
     loaded = standins.load(spark, sf_dir)
@@ -558,6 +666,7 @@ def train_light_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcome.withColumn("task", F.lit("outcome")).unionByName(duration.withColumn("task", F.lit("duration")))
 
 
+@scoped
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The leading feature of a forest, and what all importances sum to."""
     _, weights = models.train_regressors(
@@ -565,6 +674,7 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
         features.DURATION_FEATURES,
         features.DURATION_LABEL,
         {"random_forest": learning.LIGHT_REGRESSORS["random_forest"]},
+        top=None,
     )
     ranked = F.max_by("feature", F.struct("importance", "feature"))
     return weights.groupBy("model").agg(
@@ -592,6 +702,7 @@ def period_stats_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.withColumn("std_dev", F.round("std_dev", 4))
 
 
+@scoped
 def score_test_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every match of the test part, and only those, gets a prediction."""
     table = cut_lineage(_duration(spark, sf_dir))
@@ -643,6 +754,50 @@ def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_PLAIN = ("score_a", "score_b", "first_claim_time")
+
+
+def _one_feature_fits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error on the test part of a linear regression on each of some columns, and of a model without one."""
+    table = cut_lineage(_duration_signal(features.duration_base(standins.matches(spark, sf_dir))))
+    boards = [spark.range(1).select(F.lit("aborted").alias("model"), F.lit(None).cast("double").alias("rmse"))]
+    for column in _PLAIN:
+        data = learning.prepare(table, [column], features.DURATION_LABEL, KEY)
+        try:
+            model = learning.fit(data, LinearRegression(regParam=0.0))
+            found = learning.regressor_metrics(learning.score(data, model), features.DURATION_LABEL, column)
+            boards.append(cut_lineage(found.select("model", "rmse")))
+        finally:
+            data.release()
+    return reduce(DataFrame.unionByName, boards)
+
+
+@scoped
+def fitted_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _one_feature_fits(spark, sf_dir).withColumn("rmse", F.round("rmse", 6))
+
+
+@scoped
+def fitted_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best of fitted models; one without a metric is skipped."""
+    best = metrics.leaderboard(_one_feature_fits(spark, sf_dir), "rmse", largest=False)
+    return best.withColumn("best_value", F.round("best_value", 6))
+
+
+@scoped
+def fitted_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of two scaled columns in a linear regression of the real durations."""
+    table = features.duration_base(standins.matches(spark, sf_dir))
+    data = learning.prepare(cut_lineage(table), _PLAIN[:2], features.DURATION_LABEL, KEY)
+    try:
+        model = learning.fit(data, LinearRegression(regParam=0.0))
+    finally:
+        data.release()
+    rows = [(name, round(float(w), 6)) for name, w in zip([*_PLAIN[:2], "intercept"], [*model.coefficients, model.intercept])]
+    return tables.literal_table(spark, rows, {"feature": "string", "weight": "double"})
+
+
+@scoped
 def model_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = cut_lineage(_scored(spark, sf_dir))
     scores = {"claims": "claim_score", "gold": "score", "kills": "kill_score"}
@@ -675,6 +830,10 @@ def queries() -> dict[str, Query]:
         auc_metric, accuracy_metric, regression_metrics, model_leaderboard,
         train_light_profile, feature_importance, score_test_part,
         outcome_labels_zero, objective_counts_options, period_stats_options,
+        csv_type_profile, csv_scan_profiled, committed_results, cached_reports,
+        feature_table_outcome_bucketed, feature_table_duration_bucketed, moments_incremental,
+        rate_trend_incremental, period_stats_known, participant_averages_zero, fitted_metrics,
+        fitted_leaderboard, fitted_coefficients,
     ]
     catalog = {query.__name__: query for query in named}
     catalog |= {

@@ -46,10 +46,10 @@ VIEWS = {
         FROM lineitem""",
     "clashes": """
         SELECT l_orderkey AS match_id, l_linenumber * 120 AS start_s,
-               CAST(floor(l_quantity) AS BIGINT) AS deaths
+               CAST(l_partkey % 7 AS BIGINT) AS deaths
         FROM lineitem""",
     "draft_turns": """
-        SELECT l_orderkey AS match_id, CAST(floor(l_quantity) AS BIGINT) AS time_taken
+        SELECT l_orderkey AS match_id, CAST(floor(l_discount * 100) AS BIGINT) + 20 AS time_taken
         FROM lineitem""",
 }
 
@@ -254,6 +254,48 @@ def _trained(model: str, task: str) -> str:
                       count(*) FILTER (NOT ({SPLIT})) AS tested, TRUE AS beats_guess FROM {rows}"""
 
 
+_PLAIN = ("score_a", "score_b", "first_claim_time")
+SIGNAL_BASE = f"""SELECT match_id, CAST(score_a * 40 + score_b * 20 + 600 AS DOUBLE) AS y, score_a, score_b, first_claim_time
+                  FROM ({DURATION_BASE})"""
+
+
+def _one_feature(column: str) -> str:
+    """The error on the test part of the least-squares line through the training part."""
+    return f"""SELECT '{column}' AS model, round(sqrt(avg(power(y - slope * {column} - start, 2))), 6) AS rmse
+               FROM base, (SELECT regr_slope(y, {column}) AS slope, regr_intercept(y, {column}) AS start
+                           FROM base WHERE {SPLIT}) WHERE NOT ({SPLIT})"""
+
+
+def _type_profile() -> str:
+    """Which values a type reads, by pattern; the first type that reads two thirds counts."""
+    texts = {
+        "duration_text": "duration_text", "long_key_text": "long_key_text", "flag_text": "flag_text",
+        "start_text": "start_text", "score_text": "CAST(score_a AS VARCHAR)",
+        "half_text": "' ' || CAST(score_b AS VARCHAR) || '.5'", "won_text": "CAST(side_a_win AS VARCHAR)",
+        "clock_text": "strftime(start_time, '%Y-%m-%d %H:%M:%S')", "empty_text": "''",
+    }
+    rows = " UNION ALL ".join(
+        f"SELECT '{name}' AS column_name, nullif(trim({text}), '') AS v FROM matches JOIN dirty USING (match_id)"
+        for name, text in texts.items()
+    )
+    return _with(
+        "matches",
+        """SELECT column_name, type, n_values, n_missing,
+                  n_values - CASE type WHEN 'bigint' THEN whole WHEN 'double' THEN number WHEN 'boolean' THEN flag
+                             WHEN 'timestamp' THEN clock ELSE n_values END AS n_malformed
+           FROM (SELECT *, CASE WHEN n_values = 0 THEN 'string' WHEN whole >= enough THEN 'bigint' WHEN number >= enough THEN 'double'
+                                WHEN flag >= enough THEN 'boolean' WHEN clock >= enough THEN 'timestamp' ELSE 'string' END AS type
+                 FROM (SELECT column_name, count(v) AS n_values, count(*) - count(v) AS n_missing, count(v) * 0.66 AS enough,
+                              count(*) FILTER (regexp_full_match(v, '[0-9]{1,19}')) AS whole,
+                              count(*) FILTER (regexp_full_match(v, '[0-9]+([.][0-9]+)?')) AS number,
+                              count(*) FILTER (lower(v) IN ('t', 'true', 'y', 'yes', '1', 'f', 'false', 'n', 'no', '0')) AS flag,
+                              count(*) FILTER (regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}')) AS clock
+                       FROM texts GROUP BY column_name))""",
+        dirty=DIRTY,
+        texts=rows,
+    )
+
+
 def statements() -> dict[str, str]:
     """SQL by query name."""
     found = _statements()
@@ -276,6 +318,10 @@ def statements() -> dict[str, str]:
         "train_light_profile": _with("matches", " UNION ALL ".join(light)),
         "trend_of_cube": found["rate_trend_unmatched"],
         "phases_of_cube": found["phase_win_rate_all"],
+        "rate_trend_incremental": found["rate_trend"],
+        "moments_incremental": found["moments"],
+        "feature_table_outcome_bucketed": found["feature_table_outcome"],
+        "feature_table_duration_bucketed": found["feature_table_duration"],
     }
 
 
@@ -301,6 +347,47 @@ def _statements() -> dict[str, str]:
                       strftime(start_time, '%Y-%m-%d %H:%M:%S') AS start_time FROM matches""",
         ),
         "csv_scan_typed": _with("matches", "SELECT match_id, duration, side_a_win, score_a, score_b FROM matches"),
+        "csv_scan_profiled": _with(
+            "matches",
+            """SELECT match_id, CAST(duration AS BIGINT) AS duration, side_a_win, CAST(score_a AS BIGINT) AS score_a,
+                      CAST(score_b AS BIGINT) AS score_b FROM matches""",
+        ),
+        "csv_type_profile": _type_profile(),
+        "cached_reports": _with(
+            "selections matches",
+            """SELECT 'yr' AS report, yr AS value, count(*) AS n FROM selections LEFT JOIN matches USING (match_id) GROUP BY yr
+               UNION ALL SELECT 'side', side, count(*) FROM selections GROUP BY side""",
+        ),
+        "period_stats_known": _with(
+            "matches",
+            period.replace("FROM matches", "FROM known WHERE duration IS NOT NULL"),
+            known="SELECT * REPLACE (CASE WHEN match_id % 11 <> 0 THEN duration END AS duration) FROM matches",
+        ),
+        "participant_averages_zero": _with(
+            "participants", AVERAGES.replace("avg(assists)", "avg(coalesce(assists, 0))")
+        ),
+        "fitted_metrics": _with(
+            "matches",
+            " UNION ALL ".join(["SELECT 'aborted' AS model, CAST(NULL AS DOUBLE) AS rmse", *map(_one_feature, _PLAIN)]),
+            base=SIGNAL_BASE,
+        ),
+        "fitted_leaderboard": _with(
+            "matches",
+            f"""SELECT model AS best_model, rmse AS best_value
+                FROM ({" UNION ALL ".join(map(_one_feature, _PLAIN))}) ORDER BY rmse, model LIMIT 1""",
+            base=SIGNAL_BASE,
+        ),
+        "fitted_coefficients": _with(
+            "matches",
+            """SELECT unnest(['score_a', 'score_b', 'intercept']) AS feature, unnest([
+                      round((ay * bb - by_ * ab) / (aa * bb - ab * ab) * a_s, 6),
+                      round((by_ * aa - ay * ab) / (aa * bb - ab * ab) * b_s, 6), round(y, 6)]) AS weight FROM sums""",
+            base=DURATION_BASE,
+            sums=f"""SELECT covar_samp(score_a, duration) AS ay, covar_samp(score_b, duration) AS by_,
+                           covar_samp(score_a, score_b) AS ab, var_samp(score_a) AS aa, var_samp(score_b) AS bb,
+                           stddev_samp(score_a) AS a_s, stddev_samp(score_b) AS b_s, avg(duration) AS y
+                    FROM base WHERE {SPLIT}""",
+        ),
         "csv_scan_inferred": _with(
             "matches",
             "SELECT CAST(match_id AS INTEGER) AS match_id, duration, side_a_win, score_a, score_b FROM matches",
@@ -354,6 +441,17 @@ def _statements() -> dict[str, str]:
             phases=f"""SELECT entity_id, {PHASE} AS phase FROM selections JOIN matches USING (match_id)
                        WHERE is_pick = 1 GROUP BY 1, 2 HAVING count(*) >= 50""",
         ),
+        "committed_results": _with(
+            "selections matches",
+            """SELECT 'entity_trends' AS result, count(*) AS n_records, count(*) AS n_read FROM trend
+               UNION ALL SELECT 'entity_by_phase', count(*), count(*) FROM phases
+               UNION ALL SELECT 'duration_trends', count(*), count(*) FROM (SELECT DISTINCT yr, mo FROM matches)
+               UNION ALL SELECT 'duration_buckets', count(*), count(*) FROM buckets""",
+            trend=TREND,
+            buckets=BUCKETS,
+            phases=f"""SELECT entity_id, {PHASE} AS phase FROM selections JOIN matches USING (match_id)
+                       WHERE is_pick = 1 GROUP BY 1, 2 HAVING count(*) >= 50""",
+        ),
         "single_file_sink": _with("matches", f"SELECT *, {bucket_rate} FROM buckets", buckets=BUCKETS),
         "compact_projection": _with("matches", "SELECT duration, side_a_win AS first_side_won, yr, mo FROM matches"),
         "pick_ban_flags": _with(

@@ -84,14 +84,14 @@ def clashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("match_id"),
         (F.col("l_linenumber") * 120).alias("start_s"),
-        F.floor("l_quantity").alias("deaths"),
+        (F.col("l_partkey") % 7).alias("deaths"),
     )
 
 
 def draft_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("match_id"),
-        F.floor("l_quantity").alias("time_taken"),
+        (F.floor(F.col("l_discount") * 100) + 20).alias("time_taken"),
     )
 
 

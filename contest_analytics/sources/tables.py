@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contest_analytics.functions.cleaning import lenient_cast
+from contest_analytics.session import scratch_scope
 
 
 def scan_csv_strings(spark: SparkSession, path: str) -> DataFrame:
@@ -29,8 +30,62 @@ def scan_csv_typed(spark: SparkSession, path: str, types: Mapping[str, str]) ->
     return raw.select(*[lenient_cast(c, t).alias(c) for c, t in types.items()])
 
 
+# From narrow to wide: a column gets the first type that fits its values.
+TYPE_LADDER = ("bigint", "double", "boolean", "timestamp")
+
+
+def type_profile(texts: DataFrame, max_malformed: float = 0.0, ladder: Sequence[str] = TYPE_LADDER) -> DataFrame:
+    """One row per text column: its type, and how many values it has, lacks and cannot be read as it.
+
+    One aggregate tries all types on all columns in a single pass. The type is the first of the ladder
+    that reads all values but a share of ``max_malformed``, or string; a column without values is a
+    string. Blanks around a value do not count, and a blank text is no value.
+    """
+    columns = texts.columns
+    value = {c: F.nullif(F.trim(F.col(f"`{c}`")), F.lit("")) for c in columns}
+    tried = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.count(value[c]).alias("n_values"),
+            F.count_if(value[c].isNull()).alias("n_missing"),
+            F.array(*(F.count(value[c].try_cast(t)) for t in ladder)).alias("read"),
+        )
+        for c in columns
+    ]
+    rows = texts.agg(F.array(*tried).alias("columns")).select(F.inline("columns"))
+    enough = F.col("n_values") * (1 - max_malformed)
+    fits = [(F.col("n_values") > 0) & (F.get("read", F.lit(i)) >= enough) for i in range(len(ladder))]
+    chosen = F.coalesce(*(F.when(fit, F.lit(t)) for fit, t in zip(fits, ladder)), F.lit("string"))
+    read = F.coalesce(*(F.when(fit, F.get("read", F.lit(i))) for i, fit in enumerate(fits)), F.col("n_values"))
+    return rows.select(
+        "column_name", chosen.alias("type"), "n_values", "n_missing", (F.col("n_values") - read).alias("n_malformed")
+    )
+
+
+def typed_by_profile(texts: DataFrame, profile: DataFrame) -> DataFrame:
+    """The text columns cast to the types of their profile, in one projection; malformed values become null."""
+    types = {row.column_name: row.type for row in profile.collect()}  # a row per column
+
+    def cast(c: str) -> Column:
+        text = F.col(f"`{c}`")
+        return text if types[c] == "string" else F.nullif(F.trim(text), F.lit("")).try_cast(types[c])
+
+    return texts.select(*(cast(c).alias(c) for c in texts.columns))
+
+
+def scan_csv_profiled(spark: SparkSession, path: str, max_malformed: float = 0.0) -> tuple[DataFrame, DataFrame]:
+    """CSV with types found in the data, and the profile behind them.
+
+    The profile is one aggregate over the files; the typed rows are one scan with a projection.
+    """
+    texts = scan_csv_strings(spark, path)
+    with scratch_scope(spark) as scope:
+        profile = scope.keep(type_profile(texts, max_malformed))
+    return typed_by_profile(texts, profile), profile
+
+
 def scan_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with types guessed from the data, which costs one more pass over the files."""
+    """CSV with types guessed by the reader, which costs one more pass over the files."""
     return spark.read.option("header", True).option("inferSchema", True).csv(path)
 
 

@@ -1,6 +1,8 @@
 import hashlib
 import math
+import os
 import statistics
+import threading
 
 import pytest
 from conftest import SMALL, as_dicts
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from contest_analytics.operators import features, learning
 from contest_analytics.plans import catalog, models
+from contest_analytics.session import use_checkpoints
 
 
 def test_split_is_disjoint_complete_and_independent_of_layout(spark):
@@ -91,7 +94,8 @@ def test_models_find_a_signal_that_is_there(spark):
     for row in got.values():
         assert row["auc"] > 0.9 and row["accuracy"] > 0.8
     ranked = weights.collect()
-    assert len(ranked) == 10 and ranked[0].feature == "total_kills"
+    assert len(ranked) == 10 and ranked[0].feature == "total_kills"  # of the forest; the regression has none
+    assert [r.importance for r in ranked] == sorted((r.importance for r in ranked), reverse=True)
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
 
 
@@ -128,3 +132,35 @@ def test_split_shares_at_the_ends(spark):
         assert low <= train.count() <= high and train.count() + test.count() == 1000
     with pytest.raises(ValueError):
         learning.in_train("id", 1.5)
+
+
+def _files_below(folder):
+    return [os.path.join(at, name) for at, _, names in os.walk(folder) for name in names]
+
+
+def test_boosting_checkpoints_and_cleans_up(spark, monkeypatch):
+    """The rounds' state is written to the checkpoint folder during the fit and gone after it."""
+    use_checkpoints(spark)
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    table = spark.range(400).selectExpr("id AS match_id", "CAST(id % 37 AS DOUBLE) AS x", "CAST(id % 5 > 2 AS INT) AS y")
+    for estimators in (learning.CLASSIFIERS, learning.LIGHT_CLASSIFIERS):
+        for name in ("random_forest", "gradient_boosting"):
+            made = estimators[name]()
+            assert made.getCacheNodeIds() and made.getCheckpointInterval() == 5
+    seen, done = [], threading.Event()
+
+    def watch():
+        while not done.wait(0.02):
+            seen.append(len(_files_below(folder)))
+
+    before = len(_files_below(folder))
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    data = learning.prepare(table, ["x"], "y", "match_id")
+    try:
+        learning.fit(data, learning.LIGHT_CLASSIFIERS["gradient_boosting"]())
+    finally:
+        data.release()
+        done.set()
+        watcher.join()
+    assert max(seen) > before and len(_files_below(folder)) == before

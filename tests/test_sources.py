@@ -1,4 +1,5 @@
 import json
+import os
 from pathlib import Path
 
 import pytest
@@ -6,7 +7,7 @@ from conftest import SMALL, as_dicts
 from pyspark.sql import functions as F
 
 from contest_analytics import __main__ as cli
-from contest_analytics.operators import learning
+from contest_analytics.operators import keyed, learning, trends
 from contest_analytics.plans import analytics, catalog, models
 from contest_analytics.session import cut_lineage, scratch_dir
 from contest_analytics.sources import layouts, sinks, standins, tables
@@ -124,7 +125,7 @@ def larger_folder(spark, tmp_path_factory):
 def test_models_from_a_folder(spark, larger_folder, tmp_path):
     out = f"{tmp_path}/outcome"
     counts = models.run(spark, larger_folder, out, "outcome", compact=True)
-    assert counts == {"outcome_metrics": 2, "outcome_importance": 34}
+    assert counts == {"outcome_metrics": 2, "outcome_importance": 20}
     metrics = {r.model: r for r in spark.read.json(f"{out}/outcome_metrics").collect()}
     assert all(0 <= r.auc <= 1 and 0 <= r.accuracy <= 1 for r in metrics.values())
     best = spark.read.json(f"{out}/outcome_best").first()
@@ -214,3 +215,50 @@ def test_scratch_setting_is_needed_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(Session())
+
+
+def test_a_set_of_results_is_complete_or_absent(spark, tmp_path):
+    base = f"{tmp_path}/set"
+    good = {"a": {"x": spark.range(3), "y": spark.range(4)}}
+    with pytest.raises(FileNotFoundError):
+        sinks.committed(spark, base)
+    assert sinks.commit_results(good, base, summaries={"total": spark.range(1)}) == {"a_x": 3, "a_y": 4}
+    broken = spark.range(2).select(F.raise_error(F.lit("lost")).cast("int").alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.commit_results({"a": {"x": spark.range(9), "y": broken}}, base, mode="overwrite")
+    assert sinks.committed(spark, base) == {"a_x": 3, "a_y": 4}
+    assert spark.read.parquet(f"{base}/a_x").count() == 3 and spark.read.json(f"{base}/total").count() == 1
+    with pytest.raises(FileExistsError):
+        sinks.commit_results(good, base)
+    with pytest.raises(ValueError):
+        sinks.commit_results(good, base, mode="append")
+    assert sinks.commit_results({"b": {"z": spark.range(1)}}, base, mode="overwrite") == {"b_z": 1}
+    left = {n for n in os.listdir(base) if not n.startswith(".")}
+    assert left == {"b_z", sinks.COMMIT_FILE}  # what only the earlier set had is gone, and no draft is left
+
+
+def test_type_profile(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b,c,d,e,f\n1,1.5,yes,2020-01-02 03:04:05,x,\n2, 2 ,no,2020-01-03 00:00:00,y,\n,oops,,,,\n")
+    rows, profile = tables.scan_csv_profiled(spark, f"{tmp_path}/t.csv", max_malformed=0.4)
+    found = {r.column_name: (r.type, r.n_values, r.n_missing, r.n_malformed) for r in profile.collect()}
+    assert found == {
+        "a": ("bigint", 2, 1, 0), "b": ("double", 3, 0, 1), "c": ("boolean", 2, 1, 0),
+        "d": ("timestamp", 2, 1, 0), "e": ("string", 2, 1, 0), "f": ("string", 0, 3, 0),
+    }
+    assert [(r.a, r.b, r.c) for r in rows.collect()] == [(1, 1.5, True), (2, 2.0, False), (None, None, None)]
+    assert rows._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+    one_pass = tables.type_profile(tables.scan_csv_strings(spark, f"{tmp_path}/t.csv"))
+    assert one_pass._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+    strict = tables.type_profile(tables.scan_csv_strings(spark, f"{tmp_path}/t.csv"))
+    assert {r.column_name: r.type for r in strict.collect()}["b"] == "string"
+
+
+def test_known_durations_only_and_missing_figures_as_zero(spark, rows):
+    matches = rows("yr int, mo int, duration int", (2020, 1, 100), (2020, 1, None))
+    plain, known = (trends.period_stats(matches, known_only=k).first() for k in (False, True))
+    assert (plain.total_matches, known.total_matches) == (2, 1) and plain.avg_duration_sec == known.avg_duration_sec == 100
+    names = ("kills", "deaths", "assists", "gold_rate", "xp_rate", "damage", "tower_damage")
+    schema = "match_id bigint, " + ", ".join(f"{n} bigint" for n in names)
+    players = rows(schema, (1, 4, *[None] * 6), (1, None, *[None] * 6))
+    assert keyed.participant_averages(players).first().avg_kills == 4
+    assert keyed.participant_averages(players, missing_as_zero=True).first().avg_kills == 2
