@@ -18,25 +18,31 @@ text. Other columns are ignored. An empty table gives files of no document, or n
 from __future__ import annotations
 
 import os
+import re
 import struct
+import sys
+import types
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from contest_analytics.llm.resampling import hashes_of, same_bytes
 from contest_analytics.session import scratch_path
 
 MAGIC, HEADER = b"BPK1", "<4sIIIIQ"
 NO_ID = np.iinfo(np.int64).min
 BLOCK_IDS = 4096
 FILE_IDS = 1 << 20
-CACHE_PIECES = 100_000
+CHUNK_CHARS = 3 << 20
+KNOWN_PIECES, NEW_PIECES = 600_000, 10_000  # some 200 bytes each
 MANIFEST = "part int, file_no int, path string, first_doc bigint, docs bigint, ids bigint, bytes bigint"
 
 
@@ -124,54 +130,192 @@ class PackedFile:
 # --- encoding ---------------------------------------------------------------------------
 
 
-def cached_encoder(tokenizer_path: str) -> tuple[Callable[[str], np.ndarray], int]:
-    """Encodes whole texts as the tokenizers library does, each distinct piece only once; and the vocabulary's size.
+# What lives as long as a worker process; this package's own modules travel with each task.
+PROCESS = "_packed_token_encoders"
+OTHER, LETTER, NUMBER, SPACE = range(4)
 
-    A byte-level tokenizer splits a text into pieces by a pattern and encodes each piece on its own,
-    so pieces are looked up, and what is new goes through the library. A text with the string of a
-    special token goes through the library whole. Needs a tokenizer without normalizer and prefix space.
-    """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
+
+def char_kinds() -> np.ndarray:
+    """Whether a code point is a letter, a number, a space or something else."""
     import regex
-    from tokenizers import Tokenizer, pre_tokenizers
-
-    tokenizer = Tokenizer.from_file(tokenizer_path)
-
-    def whole(text: str) -> np.ndarray:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-
-    special = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
-    pre = tokenizer.pre_tokenizer
-    plain = isinstance(pre, pre_tokenizers.ByteLevel) and getattr(pre, "use_regex", True) and not pre.add_prefix_space
-    if tokenizer.normalizer is not None or not plain:
-        return whole, tokenizer.get_vocab_size()
-    # Fixed value: the published split pattern of byte-level tokenizers.
-    pieces = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
-    cache: dict[str, bytes] = {}
-    older: dict[str, bytes] = {}
-
-    def encode(text: str) -> np.ndarray:
-        nonlocal cache, older
-        if any(s in text for s in special):
-            return whole(text)
-        found = pieces(text)
-        new = [p for p in set(found) if p not in cache]
-        if new:
-            if len(cache) > CACHE_PIECES:  # what is still used comes back from the older half
-                cache, older = {}, cache
-                new = list(set(found))
-            cache.update((p, older[p]) for p in new if p in older)
-            new = [p for p in new if p not in cache]
-            for piece, encoding in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                cache[piece] = np.array(encoding.ids, "<u4").tobytes()
-        return np.frombuffer(b"".join([cache[p] for p in found]), "<u4")
-
-    return encode, tokenizer.get_vocab_size()
+
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    kinds = np.zeros(0x110000, np.uint8)
+    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+        for found in regex.finditer(pattern, every):
+            kinds[[ord(c) for c in found[0]]] = kind
+    return kinds
+
+
+def piece_starts(codes: np.ndarray, texts: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Where the pieces of byte-level tokenizers begin in the code points of some texts laid end to end.
+
+    ``texts`` are the first places of the texts that are not empty. The published pattern is
+    ``'(?:[sdmt]|ll|ve|re)| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+``: runs of one kind, of which
+    a run that follows spaces takes the last one if it is a plain space, and any other last space is a
+    piece. An apostrophe that begins a piece by itself takes the ending of a contraction.
+    """
+    n, kind = len(codes), kinds[codes]
+    first = np.zeros(n + 1, bool)
+    first[texts] = first[n] = True
+    begins = first.copy()
+    begins[1:n] |= kind[1:] != kind[:-1]
+    runs = np.flatnonzero(begins)
+    start, end = runs[:-1], runs[1:]
+    # Spaces before something else in the same text.
+    ahead = end[(kind[start] == SPACE) & ~first[end]]
+    begins[ahead - 1] = True
+    begins[ahead[codes[ahead - 1] == 32]] = False
+    # Apostrophes by themselves before letters.
+    alone = start[(codes[start] == 39) & (end - start == 1) & begins[start] & ~first[end]]
+    alone = alone[kind[alone + 1] == LETTER]
+    padded = np.append(codes, np.zeros(2, codes.dtype))
+    one, two = padded[alone + 1], padded[alone + 2]
+    short = np.isin(one, [ord(c) for c in "sdmt"])
+    long = np.zeros(len(alone), bool)
+    for a, b in ("ll", "ve", "re"):
+        long |= (one == ord(a)) & (two == ord(b))
+    long &= ~first[np.minimum(alone + 2, n)]
+    begins[alone[short | long] + 1] = False
+    begins[alone[short] + 2] = begins[alone[long] + 3] = True
+    return np.flatnonzero(begins[:n])
+
+
+class TextEncoder:
+    """Encodes texts as the tokenizers library does, each distinct piece only once.
+
+    A byte-level tokenizer splits a text into pieces and encodes each on its own. Pieces of many texts
+    are found and told apart in arrays; distinct ones are looked up, and what is new goes through the
+    library. A text with the string of a special token goes through the library whole, and so do all
+    texts of a tokenizer of another make.
+    """
+
+    def __init__(self, tokenizer_path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.vocabulary = self.tokenizer.get_vocab_size()
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        pre = self.tokenizer.pre_tokenizer
+        plain = isinstance(pre, pre_tokenizers.ByteLevel) and getattr(pre, "use_regex", True) and not pre.add_prefix_space
+        self.by_piece = plain and self.tokenizer.normalizer is None
+        self.kinds = char_kinds() if self.by_piece else None
+        self.known: dict[bytes, bytes] = {}
+
+    @classmethod
+    def of_process(cls, tokenizer_path: str) -> TextEncoder:
+        """The process's encoder, with what it has learnt in earlier tasks."""
+        held = sys.modules.setdefault(PROCESS, types.ModuleType(PROCESS)).__dict__
+        if tokenizer_path not in held:
+            held[tokenizer_path] = cls(tokenizer_path)
+        return held[tokenizer_path]
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
+        """The ids of every text."""
+        apart = [not self.by_piece or any(s in text for s in self.special) for text in texts]
+        parts: list[list[np.ndarray]] = [[self.whole(text)] if alone else [] for text, alone in zip(texts, apart)]
+        held, size = [], 0
+        for i, (text, alone) in enumerate(zip(texts, apart)):
+            for section in [] if alone else sections_of(text):
+                held.append((i, section))
+                size += len(section)
+                if size >= CHUNK_CHARS:
+                    self._encode(held, parts)
+                    held, size = [], 0
+        self._encode(held, parts)
+        none = np.zeros(0, "<u4")
+        return [p[0] if len(p) == 1 else np.concatenate([none, *p]) for p in parts]
+
+    def _encode(self, held: Sequence[tuple[int, str]], parts: list[list[np.ndarray]]) -> None:
+        sections = [s for _, s in held]
+        sizes = np.array([len(s) for s in sections], np.int64)
+        joined = "".join(sections)
+        if not joined:
+            return
+        codes = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        bounds = np.cumsum(sizes) - sizes
+        starts = piece_starts(codes, bounds[sizes > 0], self.kinds)
+        data = joined.encode()
+        at = starts
+        if len(data) > len(joined):
+            width = 1 + (codes >= 0x80).astype(np.int8) + (codes >= 0x800) + (codes >= 0x10000)
+            at = (np.cumsum(width, dtype=np.int64) - width)[starts]
+        data = np.concatenate([np.frombuffer(data, np.uint8), np.zeros(8, np.uint8)])
+        ends = np.append(at[1:], len(data) - 8)
+
+        hashes = hashes_of(data, at, ends)
+        _, chosen, number = np.unique(hashes, return_index=True, return_inverse=True)
+        same = ends - at == (ends - at)[chosen][number]
+        same[same] = same_bytes(data, at[same], at[chosen[number[same]]], (ends - at)[same])
+        odd = np.flatnonzero(~same)  # another piece with the hash of an earlier one
+        number[odd] = len(chosen) + np.arange(len(odd))
+        chosen = np.append(chosen, odd)
+        ids = self._ids([data[a:b].tobytes() for a, b in zip(at[chosen].tolist(), ends[chosen].tolist())])
+
+        counts = np.array([len(x) // 4 for x in ids], np.int64)
+        flat, offset = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(counts) - counts
+        own = counts[number]
+        before = np.cumsum(own) - own
+        total = int(own.sum())
+        stream = flat[np.arange(total) + np.repeat(offset[number] - before, own)]
+        cuts = np.append(before, total)[np.searchsorted(starts, np.append(bounds, len(joined)))]
+        for (i, _), a, b in zip(held, cuts[:-1].tolist(), cuts[1:].tolist()):
+            parts[i].append(stream[a:b])
+
+    def _ids(self, pieces: Sequence[bytes]) -> list[bytes]:
+        """The packed ids of distinct pieces; the library sees only those that are not known yet."""
+        new = [p for p in pieces if p not in self.known]
+        if len(self.known) + len(new) > KNOWN_PIECES:
+            self.known = {p: self.known[p] for p in pieces if p in self.known}
+        for at in range(0, len(new), NEW_PIECES):
+            part = new[at : at + NEW_PIECES]
+            found = self.tokenizer.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)
+            self.known.update(zip(part, [array("I", e.ids).tobytes() for e in found]))
+        return [self.known[p] for p in pieces]
+
+
+CUT = re.compile(r"(?<=\S)\s")
+
+
+def sections_of(text: str) -> Iterator[str]:
+    """A long text cut before a space that follows something else, where a piece ends in any case."""
+    at = 0
+    while len(text) - at > CHUNK_CHARS:
+        cut = CUT.search(text, at + CHUNK_CHARS)
+        if cut is None:
+            break
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:]
 
 
 # --- writing and reading ----------------------------------------------------------------
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder as a URI; without a scheme it lies on Hadoop's default file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return re.sub("^file:/(?!/)", "file:///", uri)
+
+
+def encoded(batch: pa.RecordBatch, encoder: TextEncoder) -> Iterator[tuple[int | None, np.ndarray]]:
+    """The doc_id and ids of a batch's rows, encoded together up to a bound of characters."""
+    doc_ids = batch.column("doc_id").to_pylist()
+    held, size, done = [], 0, 0
+    for text in batch.column("text"):
+        held.append(text.as_py() or "")
+        size += len(held[-1])
+        if size >= CHUNK_CHARS or done + len(held) == len(doc_ids):
+            yield from zip(doc_ids[done : done + len(held)], encoder.encode(held))
+            done += len(held)
+            held, size = [], 0
+
+
 def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 0, parts: int | None = None) -> DataFrame:
     """Encode, append ``end_id`` to each document and write the files; returns the manifest.
 
@@ -180,13 +324,13 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     """
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    location = folder if ":" in folder else f"file://{folder}"
+    location = qualified(spark, folder)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, vocabulary = cached_encoder(tokenizer_path)
-        bits, part, file_no = bits_for(max(end_id + 1, vocabulary)), TaskContext.get().partitionId(), 0
+        encoder = TextEncoder.of_process(tokenizer_path)
+        bits, part, file_no = bits_for(max(end_id + 1, encoder.vocabulary)), TaskContext.get().partitionId(), 0
         store, base = fs.FileSystem.from_uri(location)
         store.create_dir(base, recursive=True)
         doc_ids: list[int] = []
@@ -206,14 +350,13 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
             n_held, file_no = 0, file_no + 1
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
-                ids = np.append(encode(text.as_py() or ""), np.uint32(end_id))
-                if held and n_held + len(ids) > FILE_IDS:
-                    yield flush()
-                doc_ids.append(NO_ID if doc_id.as_py() is None else doc_id.as_py())
-                held.append(ids)
-                n_held += len(ids)
+        for doc_id, ids in (row for batch in batches for row in encoded(batch, encoder)):
+            ids = np.append(ids, np.uint32(end_id))
+            if held and n_held + len(ids) > FILE_IDS:
+                yield flush()
+            doc_ids.append(NO_ID if doc_id is None else doc_id)
+            held.append(ids)
+            n_held += len(ids)
         if held:
             yield flush()
 

@@ -1,5 +1,6 @@
 """Packed token files: exact round trips, random access and the contract's digests."""
 
+import random
 import zlib
 
 import numpy as np
@@ -52,24 +53,58 @@ def test_equal_to_the_library(spark):
     assert found == plain([tuple(r) for r in docs])
 
 
-def test_odd_pieces_equal_the_library():
+def library():
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(queries.tokenizer_path())
-    encode, size = T.cached_encoder(queries.tokenizer_path())
-    assert size == 50_257
-    for text in ("", " ", "  a   b\n\n c\t", "it's we'LL they're 'x", "é漢字😀 12³ ½ a1b2", "x<|endoftext|>y", "   z ", "a" * 3000):
-        assert encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    return Tokenizer.from_file(queries.tokenizer_path())
+
+
+def test_odd_pieces_equal_the_library():
+    encoder, tokenizer = T.TextEncoder(queries.tokenizer_path()), library()
+    assert encoder.vocabulary == 50_257
+    texts = ["", " ", "  a   b\n\n c\t", "it's we'LL they're 'x", "é漢字😀 12³ ½ a1b2", "x<|endoftext|>y", "   z ", "a" * 3000]
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert encoder.encode([]) == []
+
+
+def test_pieces_follow_the_published_pattern():
+    import regex
+
+    pattern = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+    kinds, rng = T.char_kinds(), random.Random(5)
+    parts = ["'", "'", "s", "t", "ll", "ve", "re", "d", " ", "  ", "\n", "\t", " ", "é", "漢", "😀", "1", "٣", "!", "a", "Z", "'ll"]
+    for _ in range(3000):
+        texts = ["".join(rng.choices(parts, k=rng.randint(1, 12))) for _ in range(rng.randint(1, 3))]
+        codes = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
+        firsts = np.cumsum([0] + [len(t) for t in texts])
+        want = [at + m.start() for at, t in zip(firsts, texts) for m in pattern.finditer(t)]
+        assert T.piece_starts(codes, firsts[:-1], kinds).tolist() == want
 
 
-def test_a_small_cache_changes_nothing(spark, monkeypatch):
+def test_bounds_change_nothing(spark, monkeypatch):
     texts = [r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("text").limit(30).collect()]
-    want = [T.cached_encoder(queries.tokenizer_path())[0](t).tolist() for t in texts[:5]]
-    monkeypatch.setattr(T, "CACHE_PIECES", 20)
-    encode, _ = T.cached_encoder(queries.tokenizer_path())
-    for t in texts:
-        encode(t)
-    assert [encode(t).tolist() for t in texts[:5]] == want
+    texts += ["no-cut" * 500, "", "tail   \n" * 200]
+    want = [e.ids for e in library().encode_batch(texts, add_special_tokens=False)]
+    for known, chars, new in ((20, 3 << 20, 7), (10**6, 50, 10_000), (300, 1000, 100)):
+        monkeypatch.setattr(T, "KNOWN_PIECES", known)
+        monkeypatch.setattr(T, "CHUNK_CHARS", chars)
+        monkeypatch.setattr(T, "NEW_PIECES", new)
+        encoder = T.TextEncoder(queries.tokenizer_path())
+        for _ in range(2):
+            assert [ids.tolist() for ids in encoder.encode(texts)] == want
+
+
+def test_equal_hashes_are_told_apart(monkeypatch):
+    monkeypatch.setattr(T, "hashes_of", lambda data, start, end: np.zeros(len(start), np.uint64))
+    texts = ["some words and some more", "", "other words"]
+    want = [e.ids for e in library().encode_batch(texts, add_special_tokens=False)]
+    assert [ids.tolist() for ids in T.TextEncoder(queries.tokenizer_path()).encode(texts)] == want
+
+
+def test_folders_become_uris(spark, tmp_path):
+    assert T.qualified(spark, f"{tmp_path}/x") == f"file://{tmp_path}/x"
+    assert T.qualified(spark, f"file:{tmp_path}/x") == f"file://{tmp_path}/x"
 
 
 def test_hard_rows(hard_docs, no_docs):
