@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contest_analytics.session import cut_lineage
+from contest_analytics.session import Scope, cut_lineage, scratch_scope
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -19,6 +19,11 @@ def components(edges: DataFrame) -> DataFrame:
     least hash. Hashes put the nodes in random order, so a round leaves a fraction of them also on
     long paths and at large hubs. Rounds are written to the shared folder.
     """
+    with scratch_scope(edges.sparkSession) as scope:
+        return scope.keep(_contract(edges, scope))
+
+
+def _contract(edges: DataFrame, scope: Scope) -> DataFrame:
     known = edges.where("a IS NOT NULL AND b IS NOT NULL")
     label = [F.struct(F.xxhash64(c).alias("h"), F.col(c).alias("n")).alias(c) for c in ("a", "b")]
     nodes = known.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -31,12 +36,12 @@ def components(edges: DataFrame) -> DataFrame:
         least = cut_lineage(least.select(F.col("a").alias("from"), "to"))
         moved = now.join(least, F.col("a") == F.col("from")).select(F.col("to").alias("a"), "b")
         moved = moved.join(least, F.col("b") == F.col("from")).select("a", F.col("to").alias("b"))
-        reached = cut_lineage(
-            reached.join(least, F.col("at") == F.col("from"), "left").select(
-                "node", F.coalesce("to", "at").alias("at")
-            )
-        )
-        now = cut_lineage(moved.where("a <> b").distinct())
+        further = reached.join(least, F.col("at") == F.col("from"), "left")
+        old, reached = reached, cut_lineage(further.select("node", F.coalesce("to", "at").alias("at")))
+        scope.drop(old)
+        old, now = now, cut_lineage(moved.where("a <> b").distinct())
+        scope.drop(old)
+        scope.drop(least)
     ids = reached.groupBy("at").agg(F.min("node").alias("component"))
     return reached.join(ids, "at").select("node", "component")
 
@@ -57,6 +62,11 @@ def linked_components(keys: DataFrame, verify: Pairs, may: May, rounds: int = 2)
     one leader: that of its keys' leaders (the members of greatest weight, then of greatest hash)
     with which it shares most keys. A group of n near copies then costs about n pairs.
     """
+    with scratch_scope(keys.sparkSession) as scope:
+        return scope.keep(_verified(keys, verify, may, rounds))
+
+
+def _verified(keys: DataFrame, verify: Pairs, may: May, rounds: int) -> DataFrame:
     links: list[DataFrame] = []
     tested: list[DataFrame] = []
     keys = keys.select("key", "node", "weight", "info")

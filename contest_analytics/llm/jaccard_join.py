@@ -14,8 +14,8 @@ a shorter text is one shingle. Two sets link when their Jaccard similarity is at
    sets that meet in it can share (positional filter). Frequent passages come last in all orders.
 
 Null, empty and blank texts have an empty set and link with nothing; each is a component of its own.
-Repeated rows get a row each. A null doc_id never names a component of rows that have an id. Other
-columns are ignored; an empty table gives an empty result.
+Repeated rows get a row each. A null doc_id never names a component of rows that have an id. A very long
+text is one array of hashes in its row. Other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from contest_analytics.llm.graph import linked_components
 from contest_analytics.llm.simhash import bitmap_column, in_bitmap
 from contest_analytics.llm.text import SHINGLE_WORDS, let, lower_ascii, shingle_hashes, words
-from contest_analytics.session import cut_lineage
+from contest_analytics.session import cut_lineage, scratch_scope
 
 PER_CENT = 75
 EXTRA = 16  # one token in so many extends the prefix
@@ -51,27 +51,32 @@ def _rotated(x: Column, bits: int) -> Column:
     return F.shiftleft(x, bits).bitwiseOR(F.shiftrightunsigned(x, 64 - bits))
 
 
-def _classes(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id``, the class ``k`` and the number of tokens ``n`` of every row."""
-    sets = docs.select("doc_id", shingle_set(F.col("text"), size).alias("s"))
-    return sets.select("doc_id", F.xxhash64("s").alias("k"), F.size("s").alias("n"))
+def row_key(docs: DataFrame) -> Column:
+    """A 64-bit hash of a row's doc_id and text; rows of equal ids and texts share it."""
+    return F.xxhash64(F.col("doc_id").isNull(), F.coalesce(F.col("doc_id"), F.lit(0)), F.col("text").isNull(), F.coalesce("text", F.lit("")))
 
 
-def _possible(docs: DataFrame, size: int, per_cent: int) -> DataFrame:
-    """Classes ``k`` that share enough of their extended prefix with others."""
+def _heads(docs: DataFrame, size: int, per_cent: int) -> DataFrame:
+    """``doc_id``, ``row``, the class ``k``, the number of tokens ``n`` and the extended prefix ``head`` of every row."""
 
     def head(s: Column) -> Column:
         n = F.size(s)
         length = n - _least_overlap(n, per_cent) + _extra(n)
         return F.struct(F.xxhash64(s).alias("k"), n.alias("n"), F.slice(s, 1, F.least(length, n)).alias("head"))
 
-    heads = docs.select(let(shingle_set(F.col("text"), size), head).alias("h")).select("h.*")
-    heads = cut_lineage(heads.groupBy("k", "n").agg(F.first("head").alias("head")))  # copies meet in the map-side step
+    sets = let(shingle_set(F.col("text"), size), head)
+    return docs.select("doc_id", row_key(docs).alias("row"), sets.alias("h")).select("doc_id", "row", "h.*")
+
+
+def _possible(heads: DataFrame, per_cent: int) -> DataFrame:
+    """Classes ``k`` that share enough of their extended prefix with others, and a ``row`` of each."""
+    # Copies meet in the map-side step.
+    heads = cut_lineage(heads.where("n > 0").groupBy("k", "n").agg(F.first("head").alias("head"), F.min("row").alias("row")))
     tokens = heads.select("k", "n", F.explode("head").alias("x"))
     frequent = tokens.groupBy("x").agg(F.count("*").alias("df")).where("df > 1").select("x")
     shared = tokens.join(frequent, "x").groupBy("k", "n").agg(F.count("*").alias("shared"))
     must = _extra(_least_overlap(F.col("n"), per_cent))  # the least l(n) of a partner
-    return shared.where(F.col("shared") >= must).select("k")
+    return shared.where(F.col("shared") >= must).select("k").join(heads.select("k", "row"), "k")
 
 
 def _nodes(sets: DataFrame, per_cent: int) -> DataFrame:
@@ -99,20 +104,26 @@ def _nodes(sets: DataFrame, per_cent: int) -> DataFrame:
     return enough.select("k", "n", "c", weight.alias("weight"), *(p.alias(f"p{i}") for i, p in enumerate(orders)))
 
 
-def jaccard_components(docs: DataFrame, size: int = SHINGLE_WORDS, per_cent: int = PER_CENT) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id``, the least doc_id reachable by links, of every row."""
-    ids = cut_lineage(_classes(docs, size))
-    possible = cut_lineage(_possible(docs, size, per_cent))
-
-    # The whole sets of possible partners only; a bitmap of fixed size keeps most others out of the join.
-    bitmap = bitmap_column(possible.select(F.col("k").alias("x")))
-    chosen = let(
-        shingle_set(F.col("text"), size),
-        lambda s: F.when(in_bitmap(bitmap, F.xxhash64(s)), F.array(F.struct(F.xxhash64(s).alias("k"), s.alias("s")))),
-    )
-    sets = docs.select(F.explode_outer(chosen).alias("c")).where("c IS NOT NULL").select("c.*")
-    sets = sets.groupBy("k").agg(F.first("s").alias("s")).join(possible, "k", "left_semi")
-    sets = cut_lineage(sets)
+def _grouped(docs: DataFrame, size: int, per_cent: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, row, k, n`` of every row, and (node, component) of the classes that link to others."""
+    with scratch_scope(docs.sparkSession) as scope:
+        heads = cut_lineage(_heads(docs, size, per_cent))  # the one pass that shingles all texts
+        ids = scope.keep(heads.select("doc_id", "row", "k", "n"))
+        possible = cut_lineage(_possible(heads, per_cent))
+        scope.drop(heads)
+
+        # The whole sets of possible partners only, from one row of each class. A bitmap of fixed size
+        # keeps most other rows from being shingled again.
+        wanted = possible.select(F.col("row").alias("x"))
+        rows = docs.select("text", row_key(docs).alias("row")).where(in_bitmap(bitmap_column(wanted), F.col("row")))
+        sets = rows.select("row", shingle_set(F.col("text"), size).alias("s")).where("size(s) > 0")
+        sets = sets.join(possible.select("row"), "row", "left_semi").select(F.xxhash64("s").alias("k"), "s")
+        sets = cut_lineage(sets.groupBy("k").agg(F.first("s").alias("s")))
+        return ids, scope.keep(_linked(sets, per_cent))
+
+
+def _linked(sets: DataFrame, per_cent: int) -> DataFrame:
+    """(node, component) of the sets (k, s) that link to others."""
     nodes = cut_lineage(_nodes(sets, per_cent))
     # If the first token that two sets share has this rank, they share no more than the tokens from it
     # on; that bounds the sum of their sizes. The pair's first common token passes the bound.
@@ -135,7 +146,12 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE_WORDS, per_cent: int
         shared = F.size(F.array_intersect("u", "v"))
         return whole.where(shared * 100 >= (F.size("u") + F.size("v") - shared) * per_cent)
 
-    linked = linked_components(keys, verify, may)
+    return linked_components(keys, verify, may)
+
+
+def jaccard_components(docs: DataFrame, size: int = SHINGLE_WORDS, per_cent: int = PER_CENT) -> DataFrame:
+    """``doc_id``, ``n_shingles`` and ``component_id``, the least doc_id reachable by links, of every row."""
+    ids, linked = _grouped(docs, size, per_cent)
     least = ids.groupBy("k").agg(F.min("doc_id").alias("least"))
     grouped = linked.join(least, F.col("node") == F.col("k"))
     roots = grouped.groupBy("component").agg(F.min("least").alias("root"))
@@ -148,11 +164,18 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE_WORDS, per_cent: int
     )
 
 
-def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
-    """One document of each component, that of least doc_id; texts without words all stay.
+def drop_near_copies(docs: DataFrame, size: int = SHINGLE_WORDS, per_cent: int = PER_CENT) -> DataFrame:
+    """One row of each component, that of least doc_id, nulls last, then of least hash; texts without words all stay.
 
-    Of repeated rows of that doc_id one stays. Rows without doc_id stay unless another row links to them.
+    Of rows of equal doc_id and text one stays. Rows are told apart by doc_id and text, so a row goes only
+    for a text that it links to.
     """
-    found = jaccard_components(docs, **options).where("n_shingles > 0 AND doc_id IS NOT NULL AND doc_id <> component_id")
-    gone = found.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti").dropDuplicates(["doc_id", "text"])
+    ids, linked = _grouped(docs, size, per_cent)
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    of_class = ids.where("n > 0").groupBy("k").agg(F.min(first).alias("first"))  # copies meet in the map-side step
+    placed = of_class.join(linked, F.col("k") == F.col("node"), "left")
+    stays = placed.groupBy(F.coalesce("component", "k").alias("c")).agg(F.min("first").alias("first"))
+    stays = stays.select(F.col("first.row").alias("_row"))
+    blank = ~F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    with_words = docs.where(~blank).withColumn("_row", row_key(docs)).dropDuplicates(["_row"])
+    return with_words.join(stays, "_row", "left_semi").drop("_row").unionByName(docs.where(blank))

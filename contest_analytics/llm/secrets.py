@@ -15,7 +15,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +23,10 @@ from pyspark.sql import functions as F
 KINDS = ("assign", "access", "hex", "novel")
 SPANS = "array<struct<start:bigint,kind_no:int,kind:string,end:bigint,novelty:double>>"
 
+SPAN_TYPE = pa.list_(
+    pa.struct([("start", pa.int64()), ("kind_no", pa.int32()), ("kind", pa.string()), ("end", pa.int64()), ("novelty", pa.float64())])
+)
+
 # The patterns of the base kinds and the least lengths of their matches.
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -105,18 +109,18 @@ def novel_spans(
 def find_secrets(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``spans``, sorted by start and kind, of every document."""
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         meter = NoveltyMeter()
         for batch in batches:
             rows = []
-            for text in batch["text"]:
+            for text in batch.column(1).to_pylist():
                 spans = base_spans(text or "")
                 rows.append(sorted(spans + novel_spans(text or "", spans, meter)) if text else [])
             names = ("start", "kind_no", "kind", "end", "novelty")
             out = [[dict(zip(names, span)) for span in spans] for spans in rows]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "spans": out})
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, SPAN_TYPE)], ["doc_id", "spans"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInPandas(scan, f"doc_id bigint, spans {SPANS}")
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(scan, f"doc_id bigint, spans {SPANS}")
 
 
 def joined_spans(spans: Column) -> Column:

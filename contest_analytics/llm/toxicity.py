@@ -6,27 +6,30 @@ words in both directions, attention pools its states, and a linear unit gives th
 Windows overlap by half and cover the whole text; a text scores as its worst window does, after a
 logistic calibration on the training texts.
 
-The model is fitted on the driver on at most ``TRAIN_DOCS`` labelled texts (chosen by a hash of the
-id, a bound on memory), and travels to the executors with the scoring function. Scoring works on
-batches of bounded size; only its cache of words is kept between them.
+The model is fitted by one task on at most ``TRAIN_DOCS`` labelled texts (chosen by a hash of the id, a
+bound on memory); its weights, of fixed size, travel through the driver to the tasks that score. Scoring
+works on batches of bounded size, apart from a single long text, whose windows are scored in parts; only
+its cache of words is kept between them. Ids and other columns pass through as they are.
 
 A null, empty or blank text is one empty window. Repeated rows get equal scores. A label that is
 null, or whose text is null or missing, is not used; a text labelled twice counts as toxic if one label says
-so. Without labels of both kinds every text gets the share of toxic labels, by Laplace's rule.
+so. An empty table has no scores. Without labels of both kinds every text gets the share of toxic labels, by Laplace's rule.
 """
 
 from __future__ import annotations
 
+import io
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WINDOW, STRIDE = 32, 16
 HALF, HIDDEN, ATTENTION = 8, 8, 8
@@ -35,7 +38,7 @@ TRAIN_DOCS = 2_000
 EPOCHS, STEPS, BATCH, RATE = 4, 100, 64, 0.01
 THRESHOLD = 0.3
 CACHE_WORDS, CHUNK_WINDOWS, CHUNK_WORDS = 200_000, 2048, 200_000
-SCORES = "score double, windows bigint, worst_word bigint"
+ADDED = {"score": T.DoubleType(), "windows": T.LongType(), "worst_word": T.LongType()}
 
 Arrays = dict[str, np.ndarray]
 WORD = re.compile(r"\w+")
@@ -361,10 +364,30 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
+FITTED = "params binary, vocabulary array<string>, scale double, shift double, constant double"
+
+
+def fit_rows(rate: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task that fits on the rows (doc_id, text, toxic) it gets and returns the model as one row."""
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        model = fit([text for _, text, _ in rows], [toxic for _, _, toxic in rows], rate)
+        params = io.BytesIO()
+        np.savez(params, **model.params)
+        values = [params.getvalue(), list(model.vocabulary), model.scale, model.shift, model.constant]
+        kinds = [pa.binary(), pa.list_(pa.string()), pa.float64(), pa.float64(), pa.float64()]
+        names = [field.split()[0] for field in FITTED.split(", ")]
+        yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names)
+
+    return fitted
+
+
 def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Model:
     """Fit on labelled texts that are not held out, at most ``most`` / 2 of either label.
 
-    The share of toxic labels for the calibration is counted over all of them.
+    One task fits, so that the driver holds no texts, only the weights. Of several texts of one doc_id the
+    last in order counts. The share of toxic labels for the calibration is counted over all of them.
     """
     usable = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     marked = usable.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
@@ -374,35 +397,41 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Model:
     ]
     ids = F.broadcast(halves[0].union(halves[1]))  # at most ``most`` rows
     texts = docs.select("doc_id", "text").where("text IS NOT NULL").join(ids, "doc_id")
-    of_id = {r.doc_id: r for r in sorted(texts.select("doc_id", "text", "toxic").collect())}
+    texts = texts.groupBy("doc_id", "toxic").agg(F.max("text").alias("text")).select("doc_id", "text", "toxic")
     rate = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
-    return fit([r.text for r in of_id.values()], [r.toxic for r in of_id.values()], rate)
+    rows = texts.repartition(1).mapInArrow(fit_rows(rate), FITTED).collect()  # the weights, of fixed size
+    if not rows:
+        return fit([], [], rate)
+    row = rows[0]
+    params = dict(np.load(io.BytesIO(row.params)))
+    return Model(params, {w: i for i, w in enumerate(row.vocabulary)}, row.scale, row.shift, row.constant)
 
 
 def score_documents(docs: DataFrame, model: Model, keep: Iterable[str] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` of every row with its ``score``, number of ``windows`` and ``worst_word``,
-    the first word of the worst window; columns of these names are replaced."""
-    keep = [c for c in keep if c not in ("score", "windows", "worst_word")]
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    the first word of the worst window; columns of these names are replaced. Kept columns pass as they are."""
+    keep = [c for c in keep if c not in ADDED]
+    schema = T.StructType([docs.schema[c] for c in keep])
+    for name, kind in ADDED.items():
+        schema = schema.add(name, kind)
 
-    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns, held, n = [], [], 0
-            for text in batch["_text"]:
-                held.append(tokens(text))
+            found, held, n = [], [], 0
+            for text in batch.column(batch.num_columns - 1):
+                held.append(tokens(text.as_py()))
                 n += len(held[-1])
                 if n > CHUNK_WORDS:
-                    columns.append(model.score(held))
+                    found.append(model.score(held))
                     held, n = [], 0
             if held:
-                columns.append(model.score(held))
-            out = batch.drop(columns="_text")
-            for i, name in enumerate(("score", "windows", "worst_word")):
-                out[name] = np.concatenate([c[i] for c in columns]) if columns else []
-            yield out
-
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), SCORES])
-    return docs.select(*keep, F.col("text").alias("_text")).mapInPandas(scored, schema)
+                found.append(model.score(held))
+            added = [np.concatenate([f[i] for f in found]) if found else np.zeros(0) for i in range(len(ADDED))]
+            kinds = (pa.float64(), pa.int64(), pa.int64())
+            columns = batch.columns[:-1] + [pa.array(a.astype(k.to_pandas_dtype()), k) for a, k in zip(added, kinds)]
+            yield pa.RecordBatch.from_arrays(columns, [*keep, *ADDED])
+
+    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(scored, schema)
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

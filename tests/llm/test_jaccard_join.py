@@ -79,11 +79,26 @@ def test_hard_rows(hard_docs, no_docs):
     assert jaccard_join.jaccard_components(no_docs).count() == 0
     kept = jaccard_join.drop_near_copies(hard_docs)
     assert kept.columns == hard_docs.columns
-    want = {d for d, n, c in plain(rows) if d == c or n == 0}
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(want)
+    want = sorted({d for d, n, c in plain(rows) if d == c and n} | {d for d, n, c in plain(rows) if not n})
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == want
     assert jaccard_join.drop_near_copies(no_docs).count() == 0
 
 
+def test_near_copies_of_null_and_repeated_ids(spark):
+    text, other, third = (" ".join(f"{w}{i}" for i in range(40)) for w in "abc")
+    near = text.replace("a7 ", "x ")
+    rows = [
+        (1, text), (2, near), (2, other), (None, text), (None, near), (None, third), (None, third), (5, ""), (5, ""),
+        (None, None), (7, other), (7, other), (2**60 + 1, third + " more"), (8, " \n"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    kept = [(r.doc_id, r.text) for r in jaccard_join.drop_near_copies(df).collect()]
+    want = [(1, text), (2, other), (2**60 + 1, third + " more"), (5, ""), (5, ""), (None, None), (8, " \n")]
+    assert sorted(kept, key=str) == sorted(want, key=str)
+    only_null = spark.createDataFrame([(None, third), (None, third), (None, third + " y")], "doc_id bigint, text string")
+    assert jaccard_join.drop_near_copies(only_null).count() == 1
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 140)] + [(7, 7), (None, 3), (200, 200), (61, 60)]
     df = spark.createDataFrame(edges, "a bigint, b bigint")

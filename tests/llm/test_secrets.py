@@ -72,3 +72,9 @@ def test_hard_rows(hard_docs, no_docs):
     rows = S.find_secrets(hard_docs).collect()
     assert len(rows) == hard_docs.count() and all(r.spans == [] for r in rows if not r.doc_id)
     assert S.find_secrets(no_docs).count() == 0
+
+
+def test_large_ids_beside_nulls(spark):
+    ids = [2**60 + 1, None, 2**60 + 3]
+    docs = spark.createDataFrame([(i, "token=abcdefgh") for i in ids], "doc_id bigint, text string").coalesce(1)
+    assert [(r.doc_id, len(r.spans)) for r in S.find_secrets(docs).collect()] == [(i, 1) for i in ids]

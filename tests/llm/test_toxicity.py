@@ -92,3 +92,23 @@ def test_hard_rows(spark, hard_docs, no_docs):
     assert X.train(hard_docs, labels).constant is not None
     assert X.drop_toxic(hard_docs, X.train(no_docs, labels), 2.0).columns == hard_docs.columns
     assert X.train(no_docs, labels.limit(0)).constant == 0.5
+
+
+def test_large_ids_beside_nulls(spark):
+    """Ids above 2^53 come back whole, also with a null in their batch."""
+    ids = [2**60 + 1, None, 2**60 + 3, -5]
+    docs = spark.createDataFrame([(i, f"text {i}", [i]) for i in ids], "doc_id bigint, text string, more array<bigint>")
+    model = X.fit(["bad words here", "good words here"] * 10, [1, 0] * 10)
+    rows = X.score_documents(docs.coalesce(1), model, docs.columns).collect()
+    assert [(r.doc_id, r.more) for r in rows] == [(i, [i]) for i in ids]
+
+
+def test_held_out_labels(spark):
+    """Held-out documents of a whole table, against their labels."""
+    folder = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    rows = [r for r in queries.op2_toxicity(spark, folder).collect() if r.held_out and labels.get(r.doc_id) is not None]
+    toxic, clean = ([r for r in rows if labels[r.doc_id] == k] for k in (1, 0))
+    assert len(toxic) >= 5 and len(clean) >= 50
+    assert sum(r.predicted for r in toxic) / len(toxic) >= 0.9
+    assert sum(r.predicted for r in clean) / len(clean) <= 0.1
