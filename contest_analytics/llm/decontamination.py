@@ -17,7 +17,8 @@ items' blocks are indexed with all such changes and none within the radius is mi
 A null, empty or blank text has no shingles and contains nothing. A text or item of fewer than five
 words is one shingle, which only an equal whole text has. A document shorter than an item is one
 window. Rows of equal doc_id count as one document; repeated items are found alike, and items
-without item_id are ignored. Other columns are ignored. Without documents or items the result is empty.
+without item_id are ignored. Very long texts
+are one array of hashes in their row. Other columns are ignored. Without documents or items the result is empty.
 """
 
 from __future__ import annotations

@@ -4,28 +4,31 @@ The hashes of a text's distinct 5-word shingles are dealt once into bins by thei
 keeps its least hash. An empty bin takes the value of another: it tries ``PROBES`` bins at random and
 then all filled bins in a random order of its own, so every empty bin has one fixed sequence of bins
 that all texts share (optimal densification), and the search always ends. Of each bin the low-order
-bits are kept. Two different hashes agree in b bits by chance with probability 2^-b; the likeness
-takes that out. That needs chance to be independent from bin to bin, which copies of one value are
-not: a text of one shingle has one value in all bins. So likeness is taken from sketches, whose digits
-are the low-order bits of a hash of (value, bin number). Copies in different bins then differ, and
-equal texts still agree. Fingerprints keep the bare bits; they tell short texts apart badly.
-
-A text with fewer than five words is one shingle. A null, empty or blank text has no shingles and the
-empty fingerprint; it is like itself and unlike all others. Equal texts have equal fingerprints
-and sketches.
+bits of a hash of (value, bin number) are kept. Two different values agree in b bits by chance with
+probability 2^-b; the likeness takes that out. That needs chance to be independent from bin to bin, which
+copies of one value would not be: a text of one shingle has one value in all bins. With the bin number
+hashed in, copies in different bins differ, and equal texts still agree.
+
+A text with fewer than five words is one shingle; a very long text is one array of hashes in its row. A
+null, empty or blank text has no shingles and the empty fingerprint; it is like itself and unlike all
+others. Equal texts have equal fingerprints, so repeated rows do. An empty table gives an empty result;
+columns are taken and added by the caller's names.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contest_analytics.llm.text import let, shingle_hashes, words
+from contest_analytics.session import cut_lineage
 
 BINS, BITS, PROBES = 256, 4, 8
 VALUE_BITS = 64 - (BINS.bit_length() - 1)
-NEIGHBOUR_ROWS = 20_000
+NEIGHBOUR_ROWS = 5_000
 
 
 def bin_values(text: Column) -> Column:
@@ -76,33 +79,15 @@ def densify(values: Column) -> Column:
     return let(values, fill)
 
 
-def _packed(digits: Column) -> Column:
-    low = F.lit((1 << BITS) - 1)
-    return F.lower(F.array_join(F.transform(digits, lambda v: F.hex(v.bitwiseAND(low))), ""))
-
-
-def _sketched(bins: Column) -> Column:
-    return _packed(F.transform(bins, lambda v, i: F.xxhash64(v, i)))
-
-
 def fingerprint(text: Column) -> Column:
-    """The low-order bits of every bin, packed: one hexadecimal digit a bin; empty without words."""
-    return _packed(densify(bin_values(text)))
-
-
-def sketch(text: Column) -> Column:
-    """As the fingerprint, of a hash of each bin's value and number; what likeness compares."""
-    return _sketched(densify(bin_values(text)))
-
-
-def fingerprint_and_sketch(text: Column) -> Column:
-    """Both as a struct, with the bins filled once."""
-    both = lambda bins: F.struct(_packed(bins).alias("fingerprint"), _sketched(bins).alias("sketch"))
-    return let(densify(bin_values(text)), both)
+    """The low-order bits of every bin's hashed value, packed: one hexadecimal digit a bin; empty without words."""
+    low = F.lit((1 << BITS) - 1)
+    digits = F.transform(densify(bin_values(text)), lambda v, i: F.hex(F.xxhash64(v, i).bitwiseAND(low)))
+    return F.lower(F.array_join(digits, ""))
 
 
 def likeness(one: Column, other: Column) -> Column:
-    """Estimated Jaccard similarity of the shingle sets of two sketches, from 0 to 1."""
+    """Estimated Jaccard similarity of the shingle sets of two fingerprints, from 0 to 1."""
     equal = F.length(F.replace(F.array_join(F.transform(
         F.sequence(F.lit(1), F.lit(BINS)), lambda i: F.when(one.substr(i, F.lit(1)) == other.substr(i, F.lit(1)), "1").otherwise("0")
     ), ""), F.lit("0"), F.lit("")))
@@ -111,36 +96,50 @@ def likeness(one: Column, other: Column) -> Column:
     return F.when(one == other, 1.0).when((one == "") | (other == ""), 0.0).otherwise(estimate)
 
 
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """Adds ``next_<column>`` of the next document by descending doc_id; after the last comes the first.
+def with_next(docs: DataFrame, added: dict[str, Callable[[Column], Column]], text: str = "text") -> DataFrame:
+    """The columns ``doc_id``, ``text`` and ``added`` (made of the text) of every row, and all but the id as
+    ``next_<column>`` of the next document by descending doc_id; after the last comes the first.
 
-    Ranges of doc_id are windows; a range's last document takes the first of the next range from a
-    table with one row for each range. Ties are ordered by a hash of the text, null ids come last.
+    Rows are dealt by ranges of doc_id, null ids (which come last) by ranges of the text's hash. Each
+    range also gets a copy of the first row of the next one, so that every row's next is in its range.
+    Ties are ordered by the hash of the text. Columns are added after the rows were dealt, once a row.
     """
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n = docs.count()
-    ranges = max(1, -(-n // NEIGHBOUR_ROWS))
+    ranges = max(1, min(-(-n // NEIGHBOUR_ROWS), 4 * parts))
     ids = docs.select(F.col("doc_id").cast("double").alias("_id"))
     cuts = sorted(set(ids.approxQuantile("_id", [i / ranges for i in range(1, ranges)], 0.1 / ranges))) if ranges > 1 else []
-    numbered = docs.withColumn("_id", -F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))))
-    splits = [-float("inf"), *sorted(-c for c in cuts), float("inf")]
+    # Numbers of ranges rise with the order: falling ids first, then null ids by hash.
+    narrow = docs.select("doc_id", F.col(text).alias("text"))
+    narrow = narrow.withColumn("_neg", -F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))))
+    of_id = F.lit(0)
     if cuts:
-        bucketed = Bucketizer(splits=splits, inputCol="_id", outputCol="_range").transform(numbered)
-    else:
-        bucketed = numbered.withColumn("_range", F.lit(0.0))
-    bucketed = bucketed.withColumn("_order", F.struct(-F.coalesce("doc_id", F.lit(-(2**63) + 1)), F.xxhash64("text")))
-    record = F.struct(*columns)
-    in_range = Window.partitionBy("_range").orderBy("_order")
-    led = bucketed.withColumn("_next", F.lead(record).over(in_range))
-
-    # The first document of each range, then of the range that follows; one row for each range.
-    firsts = bucketed.groupBy("_range").agg(F.min(F.struct("_order", record.alias("_first"))).alias("_head"))
+        splits = [-float("inf"), *(-c for c in reversed(cuts)), float("inf")]
+        narrow = Bucketizer(splits=splits, inputCol="_neg", outputCol="_bucket").transform(narrow)
+        of_id = F.col("_bucket").cast("int")
+    share = F.shiftrightunsigned(F.xxhash64("text").bitwiseXOR(F.lit(-(2**63))), 32) * F.lit(ranges)
+    of_null = F.lit(len(cuts) + 1) + F.shiftright(share, 32).cast("int")
+    narrow = narrow.withColumn("_range", F.when(F.col("doc_id").isNull(), of_null).otherwise(of_id))
+    order = F.struct(F.col("doc_id").isNull(), -F.coalesce("doc_id", F.lit(0)), F.xxhash64("text"))
+    rows = narrow.select("doc_id", "text", "_range", order.alias("_order"))
+
+    # A row per range, without texts; then the texts of these few rows.
+    heads = cut_lineage(rows.groupBy("_range").agg(F.min("_order").alias("_head")))
     around = Window.orderBy("_range")
-    head = F.col("_head._first")
-    whole = around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    following = firsts.select("_range", F.coalesce(F.lead(head).over(around), F.first(head).over(whole)).alias("_following"))
-    joined = led.join(following, "_range")
-    nexts = F.coalesce("_next", "_following")
-    return joined.select(*docs.columns, *(nexts[c].alias(f"next_{c}") for c in columns))
+    ring = around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = F.coalesce(F.lag("_range").over(around), F.last("_range").over(ring)).alias("_before")
+    heads = heads.select("_range", "_head", before)
+    found = rows.join(F.broadcast(heads), "_range").where("_order = _head")
+    found = found.groupBy("_before").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
+    guests = found.select("doc_id", "text", F.col("_before").alias("_range"), order.alias("_order"), F.lit(True).alias("_guest"))
+
+    dealt = rows.withColumn("_guest", F.lit(False)).unionByName(guests)
+    dealt = dealt.repartitionByRange(len(cuts) + 1 + ranges, "_range")
+    filled = dealt.select("*", *(make(F.col("text")).alias(name) for name, make in added.items()))
+    record = F.struct("text", *added)
+    led = filled.withColumn("_next", F.lead(record).over(Window.partitionBy("_range").orderBy("_guest", "_order")))
+    names = ["text", *added]
+    return led.where("NOT _guest").select("doc_id", *names, *(F.col(f"_next.{c}").alias(f"next_{c}") for c in names))
 
 
 def edited_text(text: Column, following: Column) -> Column:

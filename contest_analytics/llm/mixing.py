@@ -9,7 +9,8 @@ exactly. A leaf draws the next blocks of each source, and its rows are shuffled
 
 Rows with equal content are told apart by nothing and share their fate, except that the boundary of
 the partial pass may fall between them. A null text has no words and a null source is a source of
-its own. A text without words is never drawn. An empty table gives an empty result.
+its own. A text without words is never drawn. A
+very long text is drawn like others. An empty table gives an empty result.
 """
 
 from __future__ import annotations

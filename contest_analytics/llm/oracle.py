@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from contest_analytics.llm import licenses, resampling
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -93,5 +95,60 @@ FROM rows LEFT JOIN based USING (r) LEFT JOIN found USING (r)
 """
 
 
-def statements() -> dict[str, str]:
-    return {"op12_resampling": resampled(), "op13_licenses": licensed()}
+def _host(url: str) -> str:
+    return f"translate(regexp_extract(coalesce({url}, ''), '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}')"
+
+
+def _path(url: str) -> str:
+    return f"regexp_extract(coalesce({url}, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+
+
+def _address(url: str) -> str:
+    rest = f"regexp_extract(coalesce({url}, ''), '(?s)^.*?://[^/?#]*([^#]*)', 1)"
+    return f"CASE WHEN {_host(url)} <> '' THEN {_host(url)} || coalesce(nullif({rest}, ''), '/') END"
+
+
+def filtered(rules: Sequence[tuple[str, str, str]]) -> str:
+    """Rules by host suffix and path start; links of the pages closed to groups by recursion."""
+    listed = ", ".join(f"({_quoted(v)}, {_quoted(h)}, {_quoted(p)})" for v, h, p in rules)
+    quote = "[\"'']?"
+    return f"""
+WITH RECURSIVE rules(verdict, rule_host, rule_path) AS (VALUES {listed}),
+parsed AS (SELECT page_id, html, {_host('url')} AS host, {_path('url')} AS path, {_address('url')} AS node FROM pages),
+tags AS (
+  SELECT node, host, path, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\\b[^>]*>')) AS tag
+  FROM parsed WHERE regexp_matches(html, '(?i)canonical|http-equiv')
+), links AS (
+  SELECT node, host, path, CASE
+    WHEN regexp_matches(tag, '(?is)^<link\\b.*\\brel\\s*=\\s*{quote}canonical\\b')
+      THEN regexp_extract(tag, '(?is)\\bhref\\s*=\\s*{quote}\\s*([^"''\\s>]+)', 1)
+    WHEN regexp_matches(tag, '(?is)^<meta\\b.*\\bhttp-equiv\\s*=\\s*{quote}refresh\\b')
+      THEN regexp_extract(tag, '(?is)\\burl\\s*=\\s*{quote}\\s*([^"''\\s>]+)', 1) ELSE '' END AS link
+  FROM tags
+), targets AS (
+  SELECT node AS a, CASE WHEN contains(link, '://') THEN link WHEN starts_with(link, '//') THEN 'http:' || link
+    WHEN starts_with(link, '/') THEN 'http://' || host || link
+    ELSE 'http://' || host || coalesce(nullif(regexp_extract(path, '(?s)^(.*/)', 1), ''), '/') || link END AS target
+  FROM links WHERE link <> ''
+), edges AS (SELECT a, b FROM (SELECT a, {_address('target')} AS b FROM targets) WHERE a IS NOT NULL AND b IS NOT NULL),
+near AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+reached(node, other) AS (
+  SELECT a, a FROM near UNION SELECT reached.node, near.b FROM reached JOIN near ON reached.other = near.a
+), groups AS (SELECT node, min(other) AS component FROM reached GROUP BY node),
+aliases AS (SELECT component, {_host("'http://' || node")} AS host, {_path("'http://' || node")} AS path FROM groups),
+spots AS (SELECT host, path FROM parsed UNION SELECT host, path FROM aliases),
+fits AS (
+  SELECT host, path, rule_host || rule_path AS rule, verdict, row_number() OVER (
+    PARTITION BY host, path ORDER BY length(rule_host || rule_path) DESC, verdict = 'allow' DESC, rule_host || rule_path DESC) AS place
+  FROM spots JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+), best AS (SELECT host, path, rule, verdict FROM fits WHERE place = 1),
+blocked AS (SELECT DISTINCT component FROM aliases JOIN best USING (host, path) WHERE verdict = 'block'),
+hit AS (SELECT node FROM groups JOIN blocked USING (component))
+SELECT page_id, parsed.host, parsed.path, rule,
+  coalesce(best.verdict, CASE WHEN hit.node IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM parsed LEFT JOIN best ON parsed.host = best.host AND parsed.path = best.path LEFT JOIN hit ON parsed.node = hit.node
+"""
+
+
+def statements(url_rules: Sequence[tuple[str, str, str]]) -> dict[str, str]:
+    return {"op4_url_filters": filtered(url_rules), "op12_resampling": resampled(), "op13_licenses": licensed()}

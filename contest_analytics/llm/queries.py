@@ -29,10 +29,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a mixture to the weights 3, 1, 2, ... takes of each document."""
+    """What a mixture to the weights 3, 1, 2, ... takes of each document, and into which shards."""
     rows = mixing.allocate(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return rows.select(
-        "doc_id", "size", "source_size", "target", mixing.taken_words(F.col("draws")).alias("taken")
+        "doc_id", "size", "source_size", "target", mixing.taken_words(F.col("draws")).alias("taken"), "draws"
     )
 
 
@@ -40,33 +40,23 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likeness."""
     text = F.coalesce("text", F.lit(""))
     docs = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
-    marked = docs.select("*", fingerprints.fingerprint_and_sketch(F.col("text")).alias("f")).select("doc_id", "text", "f.*")
-    paired = fingerprints.with_next(marked, ["text", "sketch"])
+    paired = fingerprints.with_next(docs, {"fingerprint": fingerprints.fingerprint})
     edited = paired.select(
         "doc_id",
         F.length("text").cast("bigint").alias("n_chars"),
         "fingerprint",
-        "sketch",
-        "next_sketch",
+        "next_fingerprint",
         fingerprints.edited_text(F.col("text"), F.col("next_text")).alias("edited"),
     )
-    hashed = edited.select(
-        "doc_id",
-        "n_chars",
-        F.sha2("edited", 256).alias("edited_sha256"),
-        "fingerprint",
-        "sketch",
-        "next_sketch",
-        fingerprints.fingerprint_and_sketch(F.col("edited")).alias("e"),
-    )
+    hashed = edited.select("*", fingerprints.fingerprint(F.col("edited")).alias("edited_fingerprint"))
     return hashed.select(
         "doc_id",
         "n_chars",
-        "edited_sha256",
+        F.sha2("edited", 256).alias("edited_sha256"),
         "fingerprint",
-        F.col("e.fingerprint").alias("edited_fingerprint"),
-        fingerprints.likeness(F.col("sketch"), F.col("e.sketch")).alias("near_edited"),
-        fingerprints.likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        "edited_fingerprint",
+        fingerprints.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        fingerprints.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
     )
 
 
@@ -178,4 +168,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    return oracle.statements(URL_RULES)

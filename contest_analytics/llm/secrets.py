@@ -1,13 +1,16 @@
 """Find secrets: fixed patterns, and incompressible strings in a sensitive context.
 
 The patterns give spans of the kinds assign, access and hex. Besides, a string of code characters
-with letters and digits that follows a sensitive word closely is a candidate; its novelty is the
+that follows a sensitive word closely is a candidate; its novelty is the
 number of bytes that it adds to the zstandard-compressed surroundings, for each of its own bytes,
 with a dictionary of identifiers loaded into the compressor. What neither the surroundings nor the
-dictionary explain is reported as a span of the kind novel.
+dictionary explain is reported as a span of the kind novel; of letters or digits alone only what hardly
+compresses at all, since long words are such strings. The word has to start within ``NEAR`` code points
+before the string, and ``AROUND`` code points on either side are its surroundings.
 
 Offsets count code points, ends are exclusive. Null and empty texts have no spans. A candidate that
-overlaps a pattern's span is not reported again. Repeated rows give the same spans each.
+overlaps a pattern's span is not reported again. Repeated rows give the same spans each. Very long texts
+are scanned whole. Other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -40,6 +43,7 @@ CONTEXT = re.compile(
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_~=-]{16,}")
 DIGIT, LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
 NEAR, AROUND, LEAST_NOVELTY = 64, 512, 0.7
+LEAST_OF_ONE_KIND = 0.9  # of letters or digits alone, such as long words
 
 IDENTIFIERS = " ".join(
     f"{a}{b}"
@@ -92,15 +96,13 @@ def novel_spans(
 ) -> list[tuple[int, int, str, int, float | None]]:
     """Incompressible candidates that start within ``NEAR`` code points after a sensitive word."""
     found, taken, reach = [], sorted((s, e) for s, _, _, e, _ in known), -1
-    if not DIGIT.search(text):
-        return found
     for m in CANDIDATE.finditer(text):
         start, end = m.span()
-        if not (DIGIT.search(m[0]) and LETTER.search(m[0])) or any(s < end and start < e for s, e in taken):
+        if any(s < end and start < e for s, e in taken):
             continue
         if CONTEXT.search(text, max(0, start - NEAR), start) and start >= reach:
             novelty = meter(text, start, end)
-            if novelty >= least:
+            if novelty >= (least if DIGIT.search(m[0]) and LETTER.search(m[0]) else max(least, LEAST_OF_ONE_KIND)):
                 found.append((start, 3, "novel", end, round(novelty, 4)))
                 reach = end
     return found

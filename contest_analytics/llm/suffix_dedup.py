@@ -7,14 +7,18 @@ or another document; strings never cross documents and are judged on the input.
    minimizer position make a run of at most 337 windows. Equal windows have equal minimizers, so only
    runs of one minimizer need comparing. Runs are counted by minimizer and content over all documents:
    the windows of a content that occurs twice are repeated, and a minimizer with one content is done.
-2. The distinct run contents of the other minimizers are dealt by minimizer. Each such bin becomes one
-   text, whose suffix array is built by Lyndon grouping (module ``lyndon``); neighbours in it that
-   share ``LENGTH`` bytes, compared byte for byte, are repeated windows.
-3. A minimizer with more than ``BIN_BYTES`` of content, such as the edge of a very common passage, is
-   not gathered in one task: its windows are counted by a 128-bit hash instead, over all tasks.
-
-Which minimizers need what travels in bitmaps of fixed size. A wrong hit in them costs time only.
-Documents of equal content (64-bit hash and length) have their passages repeated by definition.
+2. A window that two contents share reaches ``SIDE`` bytes beyond the minimizer's gram on one side at
+   least. So a content that has neither its left nor its right side with its gram in common with another
+   content of its minimizer is done, too: most of those that only share a short line are.
+3. The other contents are cut from one text each and dealt by minimizer. Each such bin becomes one text,
+   whose suffix array is built by Lyndon grouping (module ``lyndon``); neighbours in it that share
+   ``LENGTH`` bytes, compared byte for byte, are repeated windows.
+4. A minimizer with more than ``BIN_BYTES`` of such content, such as the edge of a very common passage,
+   is not gathered in one task: its windows are counted by a 128-bit hash instead, over all tasks.
+
+Runs of a content that holds more than a thousandth of all runs are placed by a broadcast, of which there
+are at most a thousand; the others by a join. Documents of equal content (64-bit hash and length) have
+their passages repeated by definition.
 
 A null text is empty. Texts below ``LENGTH`` bytes stay whole. Repeated rows remove each other where
 they are long enough. Other columns are ignored; an empty table gives an empty result.
@@ -27,19 +31,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contest_analytics.llm.lyndon import suffix_arrays
-from contest_analytics.session import cut_lineage
+from contest_analytics.llm.simhash import bitmap_column, in_bitmap
+from contest_analytics.llm.text import let
+from contest_analytics.session import Scope, cut_lineage, scratch_scope
 
 LENGTH, GRAM = 400, 64
 PLACE_BITS = 20
+SIDE = (LENGTH - GRAM) // 2
 PIECE_BYTES = (1 << PLACE_BITS) - 512  # with LENGTH more bytes its places fit in PLACE_BITS
 BIN_BYTES, BATCH_BYTES, HELD_BYTES = 32_768, 1 << 20, 8 << 20
-BITMAP_BITS = 22
-RUNS = "k bigint, start bigint, n int, m bigint, d binary"
-CONTENTS = "m bigint, d binary, content binary, large boolean"
+HOT_SHARE = 1000  # a hot content has more than one in so many runs
+RUNS = "k bigint, start bigint, n int, m bigint, d binary, hl bigint, hr bigint"
 WINDOWS = "m bigint, d binary, w binary, lo int"
 REPEATED = "m bigint, d binary, lo int, hi int"
 
@@ -69,38 +75,32 @@ def minimizer_keys(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) ->
     return np.minimum(key[: len(key) - (width - m)], key[width - m :])
 
 
-def runs_of(data: bytes, length: int = LENGTH) -> Iterator[tuple[int, int, int, bytes]]:
-    """(start, number of windows, minimizer, bytes) of the runs of one text; long texts go in pieces."""
+def runs_of(data: bytes, length: int = LENGTH) -> Iterator[tuple[int, int, int, bytes, int | None, int | None]]:
+    """(start, number of windows, minimizer, bytes, hashes of both sides) of the runs of one text.
+
+    A side is the gram with ``SIDE`` bytes before or after it, where the run's bytes have so many. Long
+    texts go in pieces.
+    """
+    mask = (1 << PLACE_BITS) - 1
     for at in range(0, len(data) - length + 1, PIECE_BYTES):
         piece = data[at : at + PIECE_BYTES + length - 1]
         keys = minimizer_keys(np.frombuffer(piece, np.uint8), length)
         cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
         starts = np.append(0, cuts).tolist()
         ends = np.append(cuts, len(keys)).tolist()
-        for a, b, m in zip(starts, ends, (keys[starts] >> np.uint64(PLACE_BITS)).tolist()):
-            yield at + a, b - a, m, piece[a : b + length - 1]
+        for a, b, key in zip(starts, ends, keys[starts].tolist()):
+            g, end = key & mask, b + length - 1
+            left = side_key(piece[g - SIDE : g + GRAM]) if g - a >= SIDE else None
+            right = side_key(piece[g : g + GRAM + SIDE]) if end - g - GRAM >= SIDE else None
+            yield at + a, b - a, key >> PLACE_BITS, piece[a:end], left, right
 
 
-def content_key(content: bytes) -> bytes:
-    return xxhash.xxh3_128_digest(content)
+def side_key(side: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(side) - (1 << 63)
 
 
-def bitmap_of(keys: DataFrame) -> np.ndarray:
-    """Bitmap of fixed size of the column ``m``."""
-    place = keys.select(F.explode(F.array(*(F.shiftright("m", s).bitwiseAND(F.lit((1 << BITMAP_BITS) - 1)) for s in (0, 22)))).alias("p"))
-    rows = place.groupBy(F.shiftright("p", 5).alias("no")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 31 as int))")).alias("word"))
-    out = np.zeros(1 << (BITMAP_BITS - 5), np.uint32)
-    for row in rows.collect():  # at most 2^17 rows
-        out[row.no] = row.word
-    return out
-
-
-def in_bitmap(bitmap: np.ndarray, m: int) -> bool:
-    for shift in (0, 22):
-        p = (m >> shift) & ((1 << BITMAP_BITS) - 1)
-        if not (int(bitmap[p >> 5]) >> (p & 31)) & 1:
-            return False
-    return True
+def content_key(content: bytes) -> bytes:
+    return xxhash.xxh3_128_digest(content)
 
 
 def _arrow(schema: str, columns: list[list]) -> pa.RecordBatch:
@@ -133,39 +133,41 @@ def find_runs(texts: DataFrame) -> DataFrame:
                 for k, text in zip(batch.column("k").to_pylist(), batch.column("text")):
                     seen[k] = seen.get(k, 0) + 1
                     if seen[k] <= 2:
-                        for start, n, m, content in runs_of(text.as_py().encode()):
-                            yield k, start, n, m, content_key(content)
+                        for start, n, m, content, left, right in runs_of(text.as_py().encode()):
+                            yield k, start, n, m, content_key(content), left, right
 
         yield from _emit(rows(), RUNS)
 
     return texts.select("k", "text").mapInArrow(scan, RUNS)
 
 
-def find_contents(texts: DataFrame, needed: np.ndarray, large: np.ndarray) -> DataFrame:
-    """Contents of the runs whose minimizer is needed, and whether it is in ``large``."""
+def undecided(counts: DataFrame) -> DataFrame:
+    """The contents (m, d, n, k, start) that may share a window with another one of their minimizer."""
+    by_m = counts.groupBy("m").agg(F.count("*").alias("contents")).where("contents > 1").select("m")
+    several = cut_lineage(counts.join(by_m, "m", "left_semi").select("m", "d", "n", "k", "start", "hl", "hr"))
+    sides = several.select("m", "d", F.posexplode(F.array("hl", "hr")).alias("side", "h")).where("h IS NOT NULL")
+    common = sides.groupBy("m", "side", "h").agg(F.count("*").alias("c")).where("c > 1").select("m", "side", "h")
+    meet = sides.join(common, ["m", "side", "h"], "left_semi").select("m", "d").distinct()
+    return several.join(meet, ["m", "d"], "left_semi").select("m", "d", "n", "k", "start")
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
 
-        def rows() -> Iterator[tuple]:
-            for batch in batches:
-                sent: set[bytes] = set()
-                for k, text in zip(batch.column("k").to_pylist(), batch.column("text")):
-                    if k in seen:
-                        continue
-                    seen.add(k)
-                    for _, _, m, content in runs_of(text.as_py().encode()):
-                        if not in_bitmap(needed, m):
-                            continue
-                        d = content_key(content)
-                        if d in sent:
-                            continue
-                        sent.add(d)
-                        yield m, d, content, in_bitmap(large, m)
+def find_contents(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(m, d, content, large) of the contents ``wanted``, each cut from one text that has it."""
+    of_bin = wanted.groupBy("m").agg((F.sum(F.col("n") + LENGTH - 1) > BIN_BYTES).alias("large"))
+    by_text = wanted.join(of_bin, "m").groupBy("k").agg(F.collect_list(F.struct("m", "d", "start", "n", "large")).alias("runs"))
+    by_text = cut_lineage(by_text)
+    bitmap = bitmap_column(by_text.select(F.col("k").alias("x")))
+    held = texts.select("k", "text").where(in_bitmap(bitmap, F.col("k"))).groupBy("k").agg(F.first("text").alias("text"))
 
-        yield from _emit(rows(), CONTENTS)
+    def cuts(body: Column) -> Column:
+        def cut(r: Column) -> Column:
+            content = F.substring(body, (r["start"] + 1).cast("int"), r["n"] + F.lit(LENGTH - 1))
+            return F.struct(r["m"].alias("m"), r["d"].alias("d"), content.alias("content"), r["large"].alias("large"))
 
-    return texts.select("k", "text").mapInArrow(scan, CONTENTS)
+        return F.transform("runs", cut)
+
+    parts = held.join(by_text, "k").select(let(F.col("text").cast("binary"), cuts).alias("parts"))
+    return parts.select(F.explode("parts").alias("p")).select("p.*")
 
 
 def window_keys(contents: DataFrame) -> DataFrame:
@@ -274,20 +276,34 @@ def decide_bins(contents: DataFrame) -> DataFrame:
 
 def removed_spans(texts: DataFrame) -> DataFrame:
     """``k`` and ``spans``, byte ranges that may overlap, of the texts (k, text) that lose bytes."""
+    with scratch_scope(texts.sparkSession) as scope:
+        return scope.keep(_removed_spans(texts, scope))
+
+
+def _removed_spans(texts: DataFrame, scope: Scope) -> DataFrame:
     runs = cut_lineage(find_runs(texts))
-    counts = cut_lineage(runs.groupBy("m", "d").agg(F.count("*").alias("times"), F.first("n").alias("n")))
-    by_m = counts.groupBy("m").agg(F.count("*").alias("contents"), F.sum(F.col("n") + LENGTH - 1).alias("bytes"))
-    by_m = cut_lineage(by_m.where("contents > 1"))
-    contents = cut_lineage(
-        find_contents(texts, bitmap_of(by_m.select("m")), bitmap_of(by_m.where(F.col("bytes") > BIN_BYTES).select("m")))
-    )
+    place = F.min(F.struct("k", "start")).alias("at")
+    sides = [F.first(c).alias(c) for c in ("n", "hl", "hr")]
+    counts = runs.groupBy("m", "d").agg(F.count("*").alias("times"), place, *sides)
+    counts = cut_lineage(counts.select("m", "d", "times", "n", "at.k", "at.start", "hl", "hr"))
+    wanted = cut_lineage(undecided(counts))
+    contents = cut_lineage(find_contents(texts, wanted))
     windows = cut_lineage(window_keys(contents))
     often = windows.groupBy("w").agg(F.count("*").alias("c")).where("c > 1").select("w")
     counted = windows.join(often, "w", "left_semi").select("m", "d", "lo", (F.col("lo") + 1).alias("hi"))
     whole = counts.where("times > 1").select("m", "d", F.lit(0).alias("lo"), F.col("n").alias("hi"))
     repeated = whole.union(decide_bins(contents)).union(counted)
-    repeated = repeated.groupBy("m", "d").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
-    placed = runs.join(repeated, ["m", "d"]).select("k", "start", F.explode("ranges").alias("r"))
+    repeated = cut_lineage(repeated.groupBy("m", "d").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges")))
+    for done in (contents, windows, wanted):
+        scope.drop(done)
+
+    least = runs.count() // HOT_SHARE
+    hot = cut_lineage(counts.where(F.col("times") > least).select("m", "d"))
+    hot_ranges = repeated.join(F.broadcast(hot), ["m", "d"], "left_semi")
+    places = runs.select("k", "start", "m", "d")
+    often_placed = places.join(F.broadcast(hot_ranges), ["m", "d"])
+    rest = places.join(F.broadcast(hot), ["m", "d"], "left_anti").join(repeated, ["m", "d"])
+    placed = often_placed.unionByName(rest).select("k", "start", F.explode("ranges").alias("r"))
     spans = placed.select(
         "k", (F.col("start") + F.col("r.lo")).alias("lo"), (F.col("start") + F.col("r.hi") + LENGTH - 1).alias("hi")
     )

@@ -6,7 +6,8 @@ redirect to each other or name each other as canonical form one group; a block d
 urls of its group that no rule allows explicitly. Other urls are allowed.
 
 A null url, or one without ``://``, has an empty host and path, fits no rule and is allowed. Repeated
-rows get the same verdict each. A null html has no links. Other columns are dropped.
+rows get the same verdict each. A null html has no links. Very long urls and pages are read whole. Other
+columns are dropped; an empty table gives an empty result.
 """
 
 from __future__ import annotations

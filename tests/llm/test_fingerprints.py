@@ -50,7 +50,7 @@ def plain_fingerprint(text):
                 h = xx_int(fingerprints.PROBES, xx_int(no, xx_int(i, 42)))
                 order[h - (1 << 64) if h >= 1 << 63 else h] = v
             value = order[min(order)]
-        out.append("0123456789abcdef"[value & 15])
+        out.append("0123456789abcdef"[xx_int(i, xx([value])) & 15])
     return "".join(out)
 
 
@@ -105,12 +105,37 @@ def test_likeness_of_short_texts(spark, tmp_path):
     assert all(found[i] == 1.0 if i % 2 else found[i] < 0.15 for i in range(16))
 
 
-def test_ranges_do_not_change_the_neighbours(spark, monkeypatch):
-    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
-    whole = fingerprints.with_next(docs, ["doc_id"]).toPandas().set_index("doc_id").next_doc_id.to_dict()
-    monkeypatch.setattr(fingerprints, "NEIGHBOUR_ROWS", 17)
-    cut = fingerprints.with_next(docs.repartition(5), ["doc_id"]).toPandas().set_index("doc_id").next_doc_id.to_dict()
-    assert whole == cut and whole[0] == 199 and whole[17] == 16
+def test_short_texts_have_fingerprints_of_their_own(spark):
+    texts = spark.createDataFrame([(f"one{i} two{i}",) for i in range(200)], "text string")
+    found = texts.select(fingerprints.fingerprint(F.col("text")).alias("f"))
+    assert found.distinct().count() == 200
+
+
+def nexts(df, **options):
+    made = {"size": lambda text: F.length(text)}
+    rows = fingerprints.with_next(df, made, **options).collect()
+    assert all(r.size == len(r.text) and r.next_size == len(r.next_text) for r in rows)
+    return sorted((str(r.doc_id), r.text, r.next_text) for r in rows)
+
+
+@pytest.mark.parametrize("rows_of_range", [1, 17, 5000])
+def test_ranges_do_not_change_the_neighbours(spark, monkeypatch, rows_of_range):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = [tuple(r) for r in docs.orderBy(F.desc("doc_id")).collect()]
+    want = sorted((str(i), t, rows[(at + 1) % len(rows)][1]) for at, (i, t) in enumerate(rows))
+    monkeypatch.setattr(fingerprints, "NEIGHBOUR_ROWS", rows_of_range)
+    assert nexts(docs.repartition(5)) == want
+
+
+@pytest.mark.parametrize("rows_of_range", [1, 3, 5000])
+def test_neighbours_of_null_and_repeated_ids(spark, monkeypatch, rows_of_range):
+    """A third of the rows have no id, and some ids repeat with the same and other texts."""
+    rows = [(i % 20, f"text {i % 27}") for i in range(60)] + [(None, f"none {i % 23}") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("h", F.xxhash64("text"))
+    order = sorted(((r.doc_id is None, -(r.doc_id or 0), r.h, r.doc_id, r.text) for r in df.collect()), key=lambda r: r[:3])
+    want = sorted((str(r[3]), r[4], order[(at + 1) % len(order)][4]) for at, r in enumerate(order))
+    monkeypatch.setattr(fingerprints, "NEIGHBOUR_ROWS", rows_of_range)
+    assert nexts(df.drop("h").repartition(4)) == want
 
 
 def test_hard_rows(hard_docs, no_docs):
@@ -120,8 +145,9 @@ def test_hard_rows(hard_docs, no_docs):
     for row in marked:
         assert by_text.setdefault(row.text, row.f) == row.f
     assert by_text[None] == by_text[""] == by_text["   \n\t "] == "" and len(by_text["one"]) == 256
-    assert fingerprints.with_next(hard_docs, ["text"]).count() == len(marked)
-    assert fingerprints.with_next(no_docs, ["text"]).count() == 0
+    texts = hard_docs.withColumn("text", F.coalesce("text", F.lit("")))
+    assert fingerprints.with_next(texts, {}).count() == len(marked)
+    assert fingerprints.with_next(no_docs, {"f": fingerprints.fingerprint}).count() == 0
     both = hard_docs.sparkSession.range(1).select(
         fingerprints.likeness(F.lit(""), F.lit("")).alias("a"), fingerprints.likeness(F.lit(""), F.lit("0" * 256)).alias("b")
     )

@@ -74,6 +74,19 @@ def test_hard_rows(hard_docs, no_docs):
     assert S.find_secrets(no_docs).count() == 0
 
 
+def test_strings_of_one_kind_are_measured(spark):
+    """Random letters count as novel, ordinary long words near a key do not when the surroundings hold them."""
+    rng, meter = random.Random(2), S.NoveltyMeter()
+    found = 0
+    for _ in range(50):
+        odd = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") for _ in range(32))
+        spans = S.novel_spans(f"the auth key {odd} is used", [], meter)
+        found += [m[0] for m in spans] == [13]
+    assert found >= 45
+    word = "internationalization"
+    assert S.novel_spans(f"{word} of the key {word} and more", [], meter) == []
+
+
 def test_large_ids_beside_nulls(spark):
     ids = [2**60 + 1, None, 2**60 + 3]
     docs = spark.createDataFrame([(i, "token=abcdefgh") for i in ids], "doc_id bigint, text string").coalesce(1)

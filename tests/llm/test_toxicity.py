@@ -105,10 +105,10 @@ def test_large_ids_beside_nulls(spark):
 
 def test_held_out_labels(spark):
     """Held-out documents of a whole table, against their labels."""
-    folder = "/root/testdata/sf0.01"
+    folder = "/root/testdata/sf0.1"
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
     rows = [r for r in queries.op2_toxicity(spark, folder).collect() if r.held_out and labels.get(r.doc_id) is not None]
     toxic, clean = ([r for r in rows if labels[r.doc_id] == k] for k in (1, 0))
-    assert len(toxic) >= 5 and len(clean) >= 50
-    assert sum(r.predicted for r in toxic) / len(toxic) >= 0.9
-    assert sum(r.predicted for r in clean) / len(clean) <= 0.1
+    assert len(toxic) >= 100 and len(clean) >= 500
+    assert sum(r.predicted for r in toxic) / len(toxic) >= 0.8
+    assert sum(r.predicted for r in clean) / len(clean) <= 0.03

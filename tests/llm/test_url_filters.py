@@ -68,3 +68,31 @@ def test_hard_rows(spark):
     assert got == sorted(want)
     assert U.filter_urls(df.limit(0), queries.URL_RULES).count() == 0
     assert {r.verdict for r in U.filter_urls(df, []).collect()} == {"allow"}
+
+
+def test_sql_twin_on_pages_with_links(spark, tmp_path):
+    """Canonical links and refreshes in all their spellings, against the SQL twin."""
+    import duckdb
+
+    from contest_analytics.llm import oracle, queries
+
+    def canonical(link):
+        return f'<head><LINK href="{link}" rel=canonical></head>'
+
+    pages = [
+        ("https://shop.com/de/1", None), ("http://shop.com/1", canonical("https://shop.com/de/1")),
+        ("http://mirror.net/a/b", canonical("http://shop.com/1")), ("http://mirror.net/a/c", "<meta content='0; URL=b' http-equiv=\"refresh\">"),
+        ("http://mirror.net/d", canonical("/a/c")), ("http://x.org/1", canonical("//mirror.net/d")), ("http://other.net/", canonical("e?q=1#top")),
+        ("http://www.example.org/en/12", ""), ("http://EXAMPLE.org/es/", None), ("http://notexample.org/es/", None),
+        ("http://a.com/fr/x", canonical("https://shop.com/de/1")), (None, canonical("http://shop.com/1")), ("no scheme", None), ("http://", None),
+        ("http://mirror.net/d", None), ("http://free.net/?x", "<link rel=stylesheet href=/a/c>"),
+    ]
+    df = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id bigint, url string, html string")
+    df.write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = con.execute(oracle.filtered(queries.URL_RULES)).fetchall()
+    got = [tuple(r) for r in queries.op4_url_filters(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    verdicts = {r[0]: r[4] for r in got}
+    assert [verdicts[i] for i in (0, 1, 2, 3, 4, 5, 10, 15)] == ["block", "block", "block", "block", "block", "allow", "allow", "allow"]
