@@ -5,6 +5,7 @@ BENCH_SF_DIR picks the data (default sf0.1), BENCH_CPUS the local cores (default
 * Relational queries are produced in full through a no-op sink, including every job they start
   while they are built. They run once untimed at the smallest scale, which loads and compiles
   the JVM code, then once timed.
+* ``layout_write`` writes the bucketed layout; ``layout_feature_table_*`` read it.
 * ``stage_*`` builds a feature table and writes it for the fits.
 * ``prepare_*`` splits, assembles, scales and caches the training rows.
 * ``fit_*`` is the training alone, on cached rows; ``score_*`` predicts the test part and
@@ -23,8 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from contest_analytics.operators import features, learning
 from contest_analytics.plans import catalog
-from contest_analytics.session import cut_lineage, local_session
-from contest_analytics.sources import standins
+from contest_analytics.session import cut_lineage, local_session, scratch_path, scratch_scope
+from contest_analytics.sources import bucketed, standins
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -96,6 +97,14 @@ def main() -> None:
         watch.run(name, lambda: produce(spark, name, SF_DIR))
 
     tables = standins.load(spark, SF_DIR)
+    with scratch_scope(spark) as scope:
+        folder = scope.own(scratch_path(spark, "layout"))
+        watch.run("layout_write", lambda: bucketed.write_layout(tables, folder))
+        laid = bucketed.load_layout(spark, folder)
+        for name, build in (("outcome", features.outcome_table), ("duration", features.duration_table)):
+            table = build(laid, catalog.KINDS)
+            watch.run(f"layout_feature_table_{name}", lambda: table.write.format("noop").mode("overwrite").save())
+        bucketed.detach_layout(spark, folder)
     outcome = (features.OUTCOME_LABEL, learning.CLASSIFIERS, learning.classifier_metrics)
     duration = (features.DURATION_LABEL, learning.REGRESSORS, learning.regressor_metrics)
     train(watch, "outcome", features.outcome_table(tables, catalog.KINDS), features.OUTCOME_FEATURES, *outcome)

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from contest_analytics.operators import trends, winrates
 from contest_analytics.operators.enrich import enrich, keep_members
 from contest_analytics.session import cut_lineage, scratch_scope
-from contest_analytics.sources import sinks
-from contest_analytics.sources.layouts import ContestTables, load_match_files
+from contest_analytics.sources import bucketed, sinks
+from contest_analytics.sources.layouts import ContestTables
 
 # The tables and columns the reports read; a folder need not hold more.
 NEEDED = {
@@ -63,12 +63,12 @@ def reports(
 def run(
     spark: SparkSession, folder: str, output: str, fmt: str = "csv", mode: str = "errorifexists", **options
 ) -> dict[str, int]:
-    """Load a folder of match files and write every report, as one set; returns their record counts.
+    """Load a folder of match files, or a layout of them, and write every report as one set; returns their record counts.
 
     ``options`` are those of ``reports``.
     """
     with scratch_scope(spark):
-        named = reports(load_match_files(spark, folder, tuple(NEEDED), only=NEEDED), **options)
+        named = reports(bucketed.load_tables(spark, folder, NEEDED), **options)
         # The rankings follow from the staged cube.
         trend = named["entity"]["trends"]
         ranking = {

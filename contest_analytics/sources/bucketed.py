@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Mapping, Sequence
 from dataclasses import fields
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from pyspark.sql.types import StructType
 
 from contest_analytics.operators.keyed import KEY
 from contest_analytics.sources import files
-from contest_analytics.sources.layouts import ContestTables
+from contest_analytics.sources.layouts import ContestTables, load_match_files
 
 LAYOUT_FILE = "_layout.json"
 
@@ -67,6 +68,20 @@ def load_layout(spark: SparkSession, folder: str) -> ContestTables:
     return ContestTables(**{n: _attach(spark, folder, n, layout) for n in sorted(names)})
 
 
+def load_tables(spark: SparkSession, folder: str, needed: Mapping[str, Sequence[str]] | Sequence[str]) -> ContestTables:
+    """The needed tables of a folder, which holds a layout or the match files.
+
+    ``needed`` names tables, or tables with the columns that files have to hold.
+    """
+    if not is_layout(spark, folder):
+        only = needed if isinstance(needed, Mapping) else None
+        return load_match_files(spark, folder, tuple(needed), only=only)
+    found = load_layout(spark, folder).named()
+    if missing := set(needed) - set(found):
+        raise FileNotFoundError(f"the layout in {folder} lacks {', '.join(sorted(missing))}")
+    return ContestTables(**{name: found[name] for name in needed})
+
+
 def detach_layout(spark: SparkSession, folder: str) -> None:
     """Take a layout's tables out of the session's catalog; the files stay."""
     for field in fields(ContestTables):

@@ -7,10 +7,10 @@ from conftest import SMALL, as_dicts
 from pyspark.sql import functions as F
 
 from contest_analytics import __main__ as cli
-from contest_analytics.operators import keyed, learning, trends
+from contest_analytics.operators import features, keyed, learning, trends
 from contest_analytics.plans import analytics, catalog, models
 from contest_analytics.session import cut_lineage, scratch_dir
-from contest_analytics.sources import layouts, sinks, standins, tables
+from contest_analytics.sources import bucketed, layouts, sinks, standins, tables
 
 # Header order and spare columns differ from what the loader asks for, as in real files.
 FILES = {
@@ -262,3 +262,40 @@ def test_known_durations_only_and_missing_figures_as_zero(spark, rows):
     players = rows(schema, (1, 4, *[None] * 6), (1, None, *[None] * 6))
     assert keyed.participant_averages(players).first().avg_kills == 4
     assert keyed.participant_averages(players, missing_as_zero=True).first().avg_kills == 2
+
+
+def test_a_layout_serves_reports_and_models(spark, larger_folder, tmp_path):
+    cli.main(["layout", larger_folder, f"{tmp_path}/layout", "--buckets", "3"])
+    plain = analytics.run(spark, larger_folder, f"{tmp_path}/plain", "parquet")
+    assert analytics.run(spark, f"{tmp_path}/layout", f"{tmp_path}/laid", "parquet") == plain
+    for name in plain:
+        one, two = (sorted(map(str, spark.read.parquet(f"{tmp_path}/{d}/{name}").collect())) for d in ("plain", "laid"))
+        assert one == two
+    table = features.outcome_table(bucketed.load_tables(spark, f"{tmp_path}/layout", models.OUTCOME_INPUT))
+    assert table.count() > 0
+    bucketed.detach_layout(spark, f"{tmp_path}/layout")
+
+
+def test_updates_add_up(spark, larger_folder, tmp_path):
+    """Two folders with half of the matches each give what one folder with all gives."""
+    names = ("main_metadata.csv", "picks_bans.csv")
+    for half in (0, 1):
+        for name in names:
+            rows = spark.read.csv(f"{larger_folder}/{name}", header=True)
+            rows.where(F.col("match_id").cast("bigint") % 2 == half).write.option("header", True).csv(f"{tmp_path}/in{half}/{name}")
+    base = ["--state", f"{tmp_path}/state"]
+    for half in (0, 1, 1):
+        cli.main(["update", f"{tmp_path}/in{half}", f"{tmp_path}/out", *base, "--part", f"half {half}"])
+    cli.main(["update", larger_folder, f"{tmp_path}/once", "--state", f"{tmp_path}/state1", "--part", "all"])
+
+    def rows_of(folder, name):
+        rows = spark.read.csv(f"{tmp_path}/{folder}/{name}", header=True, inferSchema=True)
+        doubles = [F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in rows.dtypes]
+        return sorted(map(str, rows.select(doubles).collect()))
+
+    for name in ("entity_trends", "entity_top_volatile", "entity_top_series", "duration_trends"):
+        assert rows_of("out", name) == rows_of("once", name) and rows_of("out", name)
+    known = trends.period_stats(standins.matches(spark, SMALL), known_only=True)
+    assert spark.read.csv(f"{tmp_path}/out/duration_trends", header=True).count() == known.count()
+    with pytest.raises(SystemExit):
+        cli.main(["update", larger_folder, f"{tmp_path}/x"])
