@@ -88,6 +88,14 @@ def _rayleigh(a: np.ndarray, low: float, high: float, v: np.ndarray, norm: float
     return (value, v) if settled and low < value <= high else None
 
 
+def _apart(v: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """The vector without what rounding left of the others in it."""
+    for _ in range(2):
+        for other in others:
+            v = v - (other @ v) * other
+    return v / np.linalg.norm(v)
+
+
 def leading(a: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """(values, vectors as columns) of the up to ``most`` largest eigenvalues, which have to be above zero."""
     norm = float(np.abs(a).sum(0).max()) if len(a) else 0.0
@@ -115,7 +123,7 @@ def leading(a: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
                 if pair is not None:
                     apart = 128 * EPS * norm
                     if count(pair[0] - apart) >= number > count(pair[0] + apart):  # the number is certified
-                        values.append(pair[0]), vectors.append(pair[1])
+                        values.append(pair[0]), vectors.append(_apart(pair[1], vectors))
                         break
             if high - low <= CLOSE * norm:
                 size = counts[low] - number + 1
