@@ -54,6 +54,21 @@ def test_prepare_scales_with_training_rows_only(spark):
         data.release()
 
 
+def test_training_rows_come_in_parts_of_bounded_size(spark, monkeypatch):
+    """Ten times the rows are ten times the parts, however few files hold them; rows lie by label."""
+    monkeypatch.setattr(learning, "ROWS_A_PART", 100)
+    for rows, parts in ((400, 4), (4000, 32)):
+        table = spark.range(0, rows, 1, 1).selectExpr("id AS match_id", "CAST(id % 7 AS DOUBLE) AS x", "id * 31 % 50 AS y")
+        data = learning.prepare(table, ["x"], "y", "match_id")
+        try:
+            found = data.train.rdd.glom().map(lambda part: [r.y for r in part]).collect()
+        finally:
+            data.release()
+        assert len(found) == parts and max(map(len, found)) < 200
+        assert all(labels == sorted(labels) for labels in found)
+        assert sum(map(len, found)) == learning.hash_split(table, "match_id")[0].count()
+
+
 def test_parameters_of_both_profiles():
     def shape(make):
         estimator = make()
