@@ -33,6 +33,22 @@ def scan_csv_typed(spark: SparkSession, path: str, types: Mapping[str, str]) ->
 # From narrow to wide: a column gets the first type that fits its values.
 TYPE_LADDER = ("bigint", "double", "boolean", "timestamp")
 
+# A cast that fails costs an exception, a pattern far less. A text outside the form of a type is never
+# read as it, so it is not tried; what has the form is left to the cast.
+_AROUND = r"[^0-9A-Za-z.]*"  # signs, blanks and control characters
+_NUMBER = r"([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[dDfF]?"
+_FORMS = {
+    "bigint": rf"^{_AROUND}[0-9]+{_AROUND}$",
+    "double": rf"^{_AROUND}({_NUMBER}|0[xX].*|(?i:inf|infinity|nan)){_AROUND}$",
+    "boolean": rf"^{_AROUND}(?i:t|true|y|yes|1|f|false|n|no|0){_AROUND}$",
+}
+
+
+def _read(value: Column, kind: str) -> Column:
+    """The text as a type; null where it is not of it."""
+    tried = value.try_cast(kind)
+    return F.when(value.rlike(_FORMS[kind]), tried) if kind in _FORMS else tried
+
 
 def type_profile(texts: DataFrame, max_malformed: float = 0.0, ladder: Sequence[str] = TYPE_LADDER) -> DataFrame:
     """One row per text column: its type, and how many values it has, lacks and cannot be read as it.
@@ -48,7 +64,7 @@ def type_profile(texts: DataFrame, max_malformed: float = 0.0, ladder: Sequence[
             F.lit(c).alias("column_name"),
             F.count(value[c]).alias("n_values"),
             F.count_if(value[c].isNull()).alias("n_missing"),
-            F.array(*(F.count(value[c].try_cast(t)) for t in ladder)).alias("read"),
+            F.array(*(F.count(_read(value[c], t)) for t in ladder)).alias("read"),
         )
         for c in columns
     ]
@@ -68,7 +84,7 @@ def typed_by_profile(texts: DataFrame, profile: DataFrame) -> DataFrame:
 
     def cast(c: str) -> Column:
         text = F.col(f"`{c}`")
-        return text if types[c] == "string" else F.nullif(F.trim(text), F.lit("")).try_cast(types[c])
+        return text if types[c] == "string" else _read(F.nullif(F.trim(text), F.lit("")), types[c])
 
     return texts.select(*(cast(c).alias(c) for c in texts.columns))
 

@@ -301,3 +301,15 @@ def test_updates_add_up(spark, larger_folder, tmp_path):
     assert spark.read.csv(f"{tmp_path}/out/duration_trends", header=True).count() == known.count()
     with pytest.raises(SystemExit):
         cli.main(["update", larger_folder, f"{tmp_path}/x"])
+
+
+def test_texts_outside_the_form_of_a_type_need_no_cast(spark):
+    """The forms lose nothing that a cast reads, and leave out most of what it does not."""
+    texts = ["1.5", "1.", "+7", "--3", "1e5", "1e", " 4\t", "\t4", "4\n", "0x1p3", "nan", "-Infinity", "+INF", "1d", "1L", ".", "-.5e-3",
+             "1_0", "١", "12\x00", "TRUE ", "\ttrue", "no", "on", "00", "false\n", "9223372036854775808", "1e999", "2020-01-01", "x", "n/a"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    for kind in tables.TYPE_LADDER:
+        pairs = df.select(F.col("s").try_cast(kind).cast("string"), tables._read(F.col("s"), kind).cast("string")).collect()
+        assert all(plain == read for plain, read in pairs)
+    for kind, form in tables._FORMS.items():
+        assert df.where(F.col("s").isin("x", "n/a", "2020-01-01") & F.col("s").rlike(form)).count() == 0
