@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SMALL
 from hard_cases import hard_docs, no_docs  # noqa: F401
@@ -91,3 +93,31 @@ def test_hard_rows(hard_docs, no_docs):
     want = sorted(zip([str(d) for d, _ in rows], plain([t for _, t in rows])))
     assert sorted((str(d), x) for d, x in digests(S.remove_repeats(hard_docs))) == want
     assert S.remove_repeats(no_docs).count() == 0
+
+
+def test_memory_of_a_task_is_bounded():
+    """Suffix arrays of 2 MB of bins take less than 70 MB at a time, and all bins are solved."""
+    rng = random.Random(5)
+    bins = []
+    for m in range(1500):
+        shared = rng.randbytes(500)
+        bins.append((m, [(bytes([i]), rng.randbytes(89) + bytes([i]) + shared + bytes([i]) + rng.randbytes(89)) for i in range(2)]))
+    tracemalloc.start()
+    try:
+        found = list(S.solve_bins(bins))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sorted(found) == [(m, bytes([i]), 90, 191) for m in range(1500) for i in range(2)]
+    assert peak < 70 << 20
+
+
+def test_kept_texts_leave_in_batches_of_bounded_size():
+    texts = [f"{i}".zfill(7) * 100_000 for i in range(30)]
+    kind = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
+    spans = pa.array([[{"lo": 0, "hi": 7}] if i % 2 else None for i in range(30)], kind)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(30)), pa.array(texts), spans], ["doc_id", "text", "spans"])
+    out = list(S.cut_spans([batch]))
+    assert max(b.nbytes for b in out) < 6 << 20
+    kept = [k for b in out for k in b.column("kept").to_pylist()]
+    assert kept == [t[7 if i % 2 else 0 :].encode() for i, t in enumerate(texts)]
